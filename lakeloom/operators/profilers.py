@@ -14,14 +14,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, BooleanType, StringType
 
 from lakeloom.functions.json import looks_like_json, looks_like_xml
 from lakeloom.functions.patterns import is_date_text
 from lakeloom.functions.values import DIGEST_OVER, group_key, is_numeric, is_scalar, is_text_like, text_of
+from lakeloom.operators.parallel import spread
 from lakeloom.operators.quantiles import exact_quantiles
 from lakeloom.operators.transforms import parse_datetime, q
-from lakeloom.operators.unpivot import column_counts, column_summary, long_cells, resolve_keys, value_frequencies
+from lakeloom.operators.unpivot import (
+    column_counts,
+    column_summary,
+    key_stats,
+    long_cells,
+    long_keys,
+    resolve_keys,
+    value_frequencies,
+)
 
 
 def head(df: DataFrame, n: int = 5, order_by: Sequence[str] | str | None = None) -> DataFrame:
@@ -144,7 +153,8 @@ def duplicate_count(df: DataFrame, subset: Sequence[str] | None = None) -> DataF
     """
     cols = list(df.columns if subset is None else subset)
     keys = [_groupable(c, df.schema[c].dataType).alias(f"k{i}") for i, c in enumerate(cols)]
-    groups = df.select(*keys).groupBy(*[f"k{i}" for i in range(len(cols))]).agg(F.count(F.lit(1)).alias("n"))
+    groups = spread(df.select(*[q(c) for c in cols])).select(*keys).groupBy(*[f"k{i}" for i in range(len(cols))]).agg(
+        F.count(F.lit(1)).alias("n"))
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicate_qty"))
 
 
@@ -157,7 +167,11 @@ def unique_columns(df: DataFrame, columns: Sequence[str] | None = None, null_is_
     cols = [c for c in (df.columns if columns is None else columns) if is_scalar(df.schema[c].dataType)
             or isinstance(df.schema[c].dataType, ArrayType)]
     cc = column_counts(df, cols)
-    summary = column_summary(value_frequencies(long_cells(df, cols, explode_arrays=False)))
+    summary = key_stats(long_keys(df, [c for c in cols if is_scalar(df.schema[c].dataType)]))
+    arrays = [c for c in cols if not is_scalar(df.schema[c].dataType)]
+    if arrays:  # arrays compare by their text rendering
+        summary = summary.unionByName(column_summary(value_frequencies(long_cells(df, arrays, explode_arrays=False)))
+                                      .select("column", "distinct", "cells", "max_freq"))
     j = cc.join(summary, "column", "left")
     distinct = F.coalesce(F.col("distinct"), F.lit(0))
     max_freq = F.coalesce(F.col("max_freq"), F.lit(0))
@@ -187,7 +201,8 @@ def _detect(df: DataFrame, columns: Sequence[str], predicate, mode: str, order_b
         ]
     else:
         raise ValueError(f"mode must be 'first' or 'share', got {mode!r}")
-    one = df.agg(*aggs)
+    keys = [] if order_by is None else ([order_by] if isinstance(order_by, str) else list(order_by))
+    one = spread(df.select(*[q(c) for c in dict.fromkeys(list(columns) + keys)])).agg(*aggs)
     entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"d{i}").alias("hit")) for i, c in enumerate(columns)])
     return one.select(F.inline(entries)).where(F.col("hit")).select(F.col("column").alias("column_name"))
 
@@ -214,6 +229,10 @@ def detect_date_columns(df: DataFrame, mode: str = "share", order_by: str | None
                         threshold: float = 0.95, strict: bool = True) -> DataFrame:
     """Columns whose text renders as a date (R13 detection), any scalar type."""
     cols = scalar_columns(df)
+    if strict:
+        # a rendered number or boolean never has two date separators: skip the regex on them
+        cols = [c for c in cols if not is_numeric(df.schema[c].dataType)
+                and not isinstance(df.schema[c].dataType, BooleanType)]
     return _detect(df, cols, lambda t: is_date_text(t, strict), mode, order_by, threshold)
 
 

@@ -23,6 +23,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeloom.operators.parallel import spread
 from lakeloom.operators.transforms import q
 
 
@@ -31,7 +32,7 @@ def numeric_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     if not columns:
         return df.sparkSession.createDataFrame([], "column string, v double")
     entries = F.array(*[F.struct(F.lit(c).alias("column"), q(c).cast("double").alias("v")) for c in columns])
-    cells = df.select(F.inline(entries))
+    cells = spread(df.select(*[q(c) for c in columns])).select(F.inline(entries))
     return cells.where(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
@@ -51,7 +52,9 @@ def exact_quantiles(
     """(column, prob, value) with pandas' linear interpolation; value null for empty columns."""
     spark = df.sparkSession
     cells = numeric_cells(df, columns)
-    counts = {r["column"]: int(r["n"]) for r in cells.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # distinct-value compression: one shuffle, repeated values collapse map-side
+    compressed = cells.groupBy("column", "v").agg(F.count(F.lit(1)).alias("cnt"))
+    counts = {r["column"]: int(r["n"]) for r in compressed.groupBy("column").agg(F.sum("cnt").alias("n")).collect()}
 
     # (column, rank) targets and the interpolation plan per (column, prob)
     plan = []
@@ -123,34 +126,45 @@ def exact_quantiles(
             else:  # the sketch missed or did not narrow: keep the proven bracket, widen the margin
                 b["margin"] *= 4.0
 
-    # final exact step: rank the (few) distinct values inside each bracket
-    final_rows = [(c, r, b["lo"], b["hi"], b["below"]) for (c, r), b in brackets.items()]
-    if final_rows:
-        bt = spark.createDataFrame(final_rows, "column string, rank long, lo double, hi double, below long")
-        w = Window.partitionBy("column", "rank").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # final exact step: rank the distinct values inside each distinct bracket once
+    bracket_ids: dict[tuple, int] = {}
+    target_rows = []
+    for (c, r), b in brackets.items():
+        bkey = (c, b["lo"], b["hi"], b["below"])
+        bid = bracket_ids.setdefault(bkey, len(bracket_ids))
+        target_rows.append((c, bid, r))
+    if target_rows:
+        bt = spark.createDataFrame([(c, bid, lo, hi, below) for (c, lo, hi, below), bid in bracket_ids.items()],
+                                   "column string, bid int, lo double, hi double, below long")
+        tt = spark.createDataFrame(target_rows, "column string, bid int, rank long")
+        w = Window.partitionBy("column", "bid").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         ranked = (
-            cells.join(F.broadcast(bt), "column")
+            compressed.join(F.broadcast(bt), "column")  # bounded: columns x distinct brackets
             .where(_in_bracket())
-            .groupBy("column", "rank", "below", "v")
-            .agg(F.count(F.lit(1)).alias("cnt"))
             .withColumn("cum", F.sum("cnt").over(w))
-            .where((F.col("cum") - F.col("cnt") + F.col("below") <= F.col("rank")) & (F.col("below") + F.col("cum") > F.col("rank")))
+            .select("column", "bid", "v", (F.col("below") + F.col("cum") - F.col("cnt")).alias("first"),
+                    (F.col("below") + F.col("cum")).alias("after"))
+        )
+        ranked = (
+            ranked.join(F.broadcast(tt), ["column", "bid"])  # bounded: columns x targets
+            .where((F.col("first") <= F.col("rank")) & (F.col("rank") < F.col("after")))
             .select("column", "rank", F.col("v").alias("value"))
         )
     else:
         ranked = spark.createDataFrame([], "column string, rank long, value double")
 
     pt = spark.createDataFrame(plan, "column string, prob double, lo_r long, hi_r long, frac double")
-    a = ranked.alias("a")
-    b2 = ranked.alias("b")
+    # one pass over the (tiny) ranked targets: both interpolation ends in one aggregate
+    r = ranked.alias("r")
     out = (
-        pt.join(F.broadcast(a), (pt["column"] == F.col("a.column")) & (pt["lo_r"] == F.col("a.rank")), "left")
-        .join(F.broadcast(b2), (pt["column"] == F.col("b.column")) & (pt["hi_r"] == F.col("b.rank")), "left")
-        .select(
-            pt["column"],
-            pt["prob"],
-            (F.col("a.value") + pt["frac"] * (F.col("b.value") - F.col("a.value"))).alias("value"),
+        pt.join(F.broadcast(r), (pt["column"] == F.col("r.column"))
+                & ((pt["lo_r"] == F.col("r.rank")) | (pt["hi_r"] == F.col("r.rank"))), "left")
+        .groupBy(pt["column"], pt["prob"], pt["frac"])
+        .agg(
+            F.max(F.when(F.col("r.rank") == pt["lo_r"], F.col("r.value"))).alias("lo_v"),
+            F.max(F.when(F.col("r.rank") == pt["hi_r"], F.col("r.value"))).alias("hi_v"),
         )
+        .select("column", "prob", (F.col("lo_v") + F.col("frac") * (F.col("hi_v") - F.col("lo_v"))).alias("value"))
     )
     if persisted:
         out = out.checkpoint(eager=True)

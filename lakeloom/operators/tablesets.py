@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from lakeloom.functions.patterns import semantic_type
-from lakeloom.functions.values import DIGEST_OVER, group_key, is_scalar, tagged_value
+from lakeloom.functions.values import DIGEST_OVER, is_scalar, typed_key
+from lakeloom.operators.parallel import spread
 from lakeloom.operators.transforms import daily_slice, q
-from lakeloom.operators.unpivot import column_counts, column_summary, long_cells, value_frequencies
+from lakeloom.operators.unpivot import column_counts, key_stats, long_keys
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -56,13 +57,13 @@ def unique_columns_table_set(tables: Mapping[str, DataFrame]) -> DataFrame:
         cols = [f.name for f in df.schema.fields if is_scalar(f.dataType)]
         if not cols:
             continue
-        cells.append(long_cells(df, cols, explode_arrays=False).select(F.lit(name).alias("table_name"), "column", "key"))
+        cells.append(long_keys(df, cols).select(F.lit(name).alias("table_name"), "*"))
         counts.append(column_counts(df, cols, table=name))
     if not cells:
         return _empty(spark, "table_name string, column_name string, row_count long")
-    summary = column_summary(value_frequencies(_union(cells), ["table_name"]), ["table_name"])
+    stats = key_stats(_union(cells), ["table_name"])
     return (
-        summary.where(F.col("max_freq") == 1)
+        stats.where(F.col("max_freq") == 1)
         .join(_union(counts), ["table_name", "column"])
         .select("table_name", F.col("column").alias("column_name"), F.col("rows").alias("row_count"))
     )
@@ -83,7 +84,7 @@ def contained_columns(
     """Inclusion dependencies: (table_1, col_1, table_2, col_2) where every value of
     ``col_1`` occurs in ``col_2`` (M2, J4, F5).
 
-    Values compare by class (``tagged_value``): 1 equals 1.0, text never equals numbers.
+    Values compare by class (``typed_key``): 1 equals 1.0, text never equals numbers.
     Columns without values are skipped; so are empty tables.
 
     Algorithm (no pair is ever materialised per value): number the K columns; for each
@@ -102,21 +103,24 @@ def contained_columns(
             df = daily_slice(df, day)
         entries = []
         for f in df.schema.fields:
-            tv = tagged_value(q(f.name), f.dataType)
-            if tv is None:
+            key = typed_key(q(f.name), f.dataType, DIGEST_OVER)
+            if key is None:
                 continue
             idx = len(columns)
             columns.append((name, f.name))
-            v = F.coalesce(tv, F.lit("null:")) if null_is_value else tv
-            # long text travels as a fixed-width digest; equal values keep equal keys
-            entries.append(F.struct(group_key(v, DIGEST_OVER).alias("v"), F.lit(idx).alias("c")))
+            if null_is_value:
+                key = F.coalesce(key, F.struct(F.lit("0").alias("t"), F.lit(None).cast("bigint").alias("i"),
+                                               F.lit(None).cast("double").alias("d"),
+                                               F.lit(None).cast("string").alias("s")))
+            entries.append(F.struct(key.alias("v"), F.lit(idx).alias("c")))
         if entries:  # one scan per table, whatever its number of columns
-            cells.append(df.select(F.inline(F.array(*entries))))
+            used = [c for (t, c) in columns if t == name]
+            cells.append(spread(df.select(*[q(c) for c in used])).select(F.inline(F.array(*entries))))
     if not columns:
         return _empty(spark, "table_1 string, col_1 string, table_2 string, col_2 string")
     k = len(columns)
     words = (k + 63) // 64
-    allv = _union(cells).where(F.col("v").isNotNull())
+    allv = _union(cells).where(F.col("v").isNotNull()).select("v.*", "c")
 
     def bit(word: int):
         lo = word * 64
@@ -124,7 +128,6 @@ def contained_columns(
         return F.when(in_word, F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("c") - lo)).otherwise(
             F.lit(0).cast("bigint"))
 
-    per_value = allv.groupBy("v").agg(*[F.bit_or(bit(w)).alias(f"m{w}") for w in range(words)])
     def bits_set(words_arr):
         """Indexes 0..k-1 whose bit is set in the array of 64-bit words."""
         return F.filter(
@@ -134,8 +137,14 @@ def contained_columns(
             ).bitwiseAND(F.lit(1)) == 1,
         )
 
+    per_value = allv.groupBy("t", "i", "d", "s").agg(
+        *[F.bit_or(bit(w)).alias(f"m{w}") for w in range(words)],
+        F.min("c").alias("c_lo"),
+        F.max("c").alias("c_hi"),
+    )
     masks = F.array(*[F.col(f"m{w}") for w in range(words)])
-    members = bits_set(masks)
+    # most values live in one column only: skip the bit scan for them
+    members = F.when(F.col("c_lo") == F.col("c_hi"), F.array(F.col("c_lo"))).otherwise(bits_set(masks))
     expanded = per_value.select(F.explode(members).alias("a"), *[f"m{w}" for w in range(words)])
     contained = expanded.groupBy("a").agg(*[F.bit_and(f"m{w}").alias(f"m{w}") for w in range(words)])
     cmask = F.array(*[F.col(f"m{w}") for w in range(words)])
@@ -187,6 +196,10 @@ def find_value(tables: Mapping[str, DataFrame], value: str, day: str | date | No
     return _union(frames)
 
 
+def _key_cols(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
 def _order_key(key: str | Sequence[str]):
     if isinstance(key, str):
         return q(key)
@@ -219,7 +232,7 @@ def data_dictionary(
             key = (order_by or {}).get(name)
             if key is None:
                 raise ValueError(f"mode='first' needs order_by for table {name!r}")
-            first = df.agg(F.min_by(F.struct(*[q(c).cast("string").alias(f"v{i}") for i, c in enumerate(cols)]),
+            first = spread(df.select(*[q(c) for c in dict.fromkeys(cols + _key_cols(key))])).agg(F.min_by(F.struct(*[q(c).cast("string").alias(f"v{i}") for i, c in enumerate(cols)]),
                                     _order_key(key)).alias("r"))
             entries = F.array(*[
                 F.struct(F.lit(c).alias("column"), semantic_type(F.col(f"r.v{i}"), strict, mixed).alias("dtype"))

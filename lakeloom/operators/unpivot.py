@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from lakeloom.functions.values import DIGEST_OVER, group_key, key_text, text_of
+from lakeloom.functions.values import DIGEST_OVER, group_key, key_text, text_of, typed_key
+from lakeloom.operators.parallel import spread
 from lakeloom.operators.transforms import q
 
 
@@ -64,7 +65,8 @@ def long_cells(
             pieces.append(F.array(F.struct(F.lit(c).alias("column"), text_of(q(c), dt).alias("value"))))
     if not pieces:
         return df.sparkSession.createDataFrame([], "column string, key string, value string")
-    cells = df.select(F.inline(F.concat(*pieces))).where(F.col("value").isNotNull())
+    src = spread(df.select(*[q(c) for c in cols]))
+    cells = src.select(F.inline(F.concat(*pieces))).where(F.col("value").isNotNull())
     key = group_key(F.col("value"), digest_over)
     sel = [F.col("column"), key.alias("key")]
     if keep_value:
@@ -112,3 +114,30 @@ def resolve_keys(
     )
     plain = wanted.where(~F.col("key").startswith("#")).select("column", "key", key_text(F.col("key")).alias("value"))
     return plain.unionByName(found)
+
+
+def long_keys(df: DataFrame, columns: Sequence[str], digest_over: int | None = DIGEST_OVER) -> DataFrame:
+    """(column, t, i, d, s): one typed key per non-null scalar cell, one scan for all columns.
+
+    Cheaper than text cells when only equality matters (distinct counts, uniqueness,
+    containment): numbers are never formatted, long text is a digest.
+    """
+    entries = []
+    for c in columns:
+        k = typed_key(q(c), df.schema[c].dataType, digest_over)
+        if k is not None:
+            entries.append(F.struct(F.lit(c).alias("column"), k.alias("k")))
+    if not entries:
+        return df.sparkSession.createDataFrame([], "column string, t string, i bigint, d double, s string")
+    src = spread(df.select(*[q(c) for c in columns]))
+    return src.select(F.inline(F.array(*entries))).where(F.col("k").isNotNull()).select("column", "k.*")
+
+
+def key_stats(keys: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame:
+    """(extra..., column, distinct, cells, max_freq) from typed keys: two partial+final aggregates."""
+    freq = keys.groupBy(*extra_keys, "column", "t", "i", "d", "s").agg(F.count(F.lit(1)).alias("cnt"))
+    return freq.groupBy(*extra_keys, "column").agg(
+        F.count(F.lit(1)).alias("distinct"),
+        F.sum("cnt").alias("cells"),
+        F.max("cnt").alias("max_freq"),
+    )
