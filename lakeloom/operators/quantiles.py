@@ -82,25 +82,21 @@ def exact_quantiles(
             persisted = True
         rounds += 1
         eps = 1.0 / accuracy
-        rows = []
-        for (c, r) in active:
-            b = brackets[(c, r)]
-            rel = (r - b["below"]) / max(b["inside"] - 1, 1)
-            lo_q = max(0.0, rel - b["margin"] * eps)
-            hi_q = min(1.0, rel + b["margin"] * eps)
-            rows.append((c, r, b["lo"], b["hi"], lo_q, hi_q))
-        bt = spark.createDataFrame(rows, "column string, rank long, lo double, hi double, lo_q double, hi_q double")
+        grid = max(4, min(1000, accuracy // 10))  # sketch error is a tenth of a grid step
+        percentages = F.array(*[F.lit(i / grid) for i in range(grid + 1)])  # must be foldable
+        rows = [(c, r, brackets[(c, r)]["lo"], brackets[(c, r)]["hi"]) for (c, r) in active]
+        bt = spark.createDataFrame(rows, "column string, rank long, lo double, hi double")
         inside = cells.join(F.broadcast(bt), "column").where(_in_bracket())
         proposals = inside.groupBy("column", "rank").agg(
-            F.percentile_approx("v", F.array(F.col("lo_q").cast("double"), F.col("hi_q").cast("double")), accuracy).alias("qs"),
-            F.first("lo_q").alias("lo_q"),
-            F.first("hi_q").alias("hi_q"),
-        ).collect()
+            F.percentile_approx("v", percentages, accuracy).alias("qs")).collect()
         rows2 = []
         for pr in proposals:
             b = brackets[(pr["column"], pr["rank"])]
-            new_lo = b["lo"] if pr["lo_q"] <= 0.0 else pr["qs"][0]
-            new_hi = b["hi"] if pr["hi_q"] >= 1.0 else pr["qs"][1]
+            rel = (pr["rank"] - b["below"]) / max(b["inside"] - 1, 1)
+            i_lo = math.floor(max(0.0, rel - b["margin"] * eps) * grid)
+            i_hi = math.ceil(min(1.0, rel + b["margin"] * eps) * grid)
+            new_lo = b["lo"] if i_lo <= 0 else pr["qs"][i_lo]
+            new_hi = b["hi"] if i_hi >= grid else pr["qs"][i_hi]
             rows2.append((pr["column"], pr["rank"], b["lo"], b["hi"], new_lo, new_hi))
         bt2 = spark.createDataFrame(rows2, "column string, rank long, lo double, hi double, nlo double, nhi double")
         v = F.col("v")

@@ -41,6 +41,11 @@ def column_counts(df: DataFrame, columns: Sequence[str] | None = None, table: st
     return out
 
 
+def _element_cell(column: str, elem_type):
+    """Lambda for ``transform``: an array element as a (column, value) cell."""
+    return lambda x: F.struct(F.lit(column).alias("column"), text_of(x, elem_type).alias("value"))
+
+
 def long_cells(
     df: DataFrame,
     columns: Sequence[str] | None = None,
@@ -57,8 +62,8 @@ def long_cells(
             elem = dt.elementType
             pieces.append(
                 F.coalesce(
-                    F.transform(q(c), lambda x, _c=c, _e=elem: F.struct(F.lit(_c).alias("column"), text_of(x, _e).alias("value"))),
-                    F.array().cast(f"array<struct<column:string,value:string>>"),
+                    F.transform(q(c), _element_cell(c, elem)),
+                    F.array().cast("array<struct<column:string,value:string>>"),
                 )
             )
         else:
