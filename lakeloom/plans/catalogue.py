@@ -186,6 +186,22 @@ def medallion_top_brand_by_year(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, result.gold["mostusedplatformbyyearrank"])
 
 
+def incremental_views_by_year(spark: SparkSession, sf: str) -> DataFrame:
+    """The yearly totals mart kept by two streaming jobs over files landing in batches."""
+    from lakeloom.streaming import stream_silver, stream_view_totals
+
+    root = scratch_path(spark, "incremental")
+    events = load(spark, sf, "events")
+    # Spark lands the events as several files; the streams pick them up a few at a time
+    events.repartition(4, "event_id").write.parquet(f"{root}/landing")
+    stream_silver(spark, f"{root}/landing", events.schema, f"{root}/silver", f"{root}/_ckpt/silver",
+                  medallion.EVENTS_SILVER, max_files_per_trigger=2)
+    part = medallion.to_silver(load(spark, sf, "part"), medallion.PART_SILVER)
+    stream_view_totals(spark, f"{root}/silver", part, f"{root}/gold", f"{root}/_ckpt/gold",
+                       medallion.EVENTS_GOLD)
+    return read_table(spark, f"{root}/gold")
+
+
 # ------------------------------------------------------------------------- profilers
 
 def profile_head(spark: SparkSession, sf: str) -> DataFrame:
@@ -325,6 +341,7 @@ def queries() -> dict[str, Query]:
         "managed_append": managed_append,
         "medallion_views_by_year": medallion_views_by_year,
         "medallion_top_brand_by_year": medallion_top_brand_by_year,
+        "incremental_views_by_year": incremental_views_by_year,
         "profile_head": profile_head,
         "column_types": column_types,
         "profile_shape": profile_shape,
@@ -602,6 +619,7 @@ def oracle_sql() -> dict[str, str]:
         "managed_overwrite": "SELECT * FROM customer",
         "managed_append": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
         "medallion_views_by_year": SQL_ITEM_VIEWS_BY_YEAR,
+        "incremental_views_by_year": SQL_ITEM_VIEWS_BY_YEAR,
         "medallion_top_brand_by_year": _sql_top("CAST(year(e.ts) AS INTEGER)", "p.p_brand", _JOIN_EV,
                                                 ("year", "most_used_platform", "total_platform_usage")),
         "profile_head": "SELECT * FROM customer ORDER BY c_custkey LIMIT 5",
