@@ -193,7 +193,11 @@ def _detect(df: DataFrame, columns: Sequence[str], predicate, mode: str, order_b
         if order_by is None:
             raise ValueError("mode='first' needs order_by: a DataFrame has no first row")
         key = q(order_by) if isinstance(order_by, str) else F.struct(*[q(k) for k in order_by])
-        aggs = [F.min_by(predicate(q(c).cast("string")), key).alias(f"d{i}") for i, c in enumerate(columns)]
+        # first row by key with raw values; the predicate runs on that one row only
+        first = df.agg(F.min_by(F.struct(*[q(c).alias(f"v{i}") for i, c in enumerate(columns)]), key).alias("r"))
+        entries = F.array(*[F.struct(F.lit(c).alias("column"), predicate(F.col(f"r.v{i}").cast("string")).alias("hit"))
+                            for i, c in enumerate(columns)])
+        return first.select(F.inline(entries)).where(F.col("hit")).select(F.col("column").alias("column_name"))
     elif mode == "share":
         aggs = [
             (F.avg(F.when(q(c).isNotNull(), predicate(q(c).cast("string")).cast("int"))) >= F.lit(threshold)).alias(f"d{i}")

@@ -18,7 +18,7 @@ from lakeloom.functions.patterns import semantic_type
 from lakeloom.functions.values import DIGEST_OVER, is_scalar, typed_key
 from lakeloom.operators.parallel import spread
 from lakeloom.operators.transforms import daily_slice, q
-from lakeloom.operators.unpivot import column_counts, key_stats, long_keys
+from lakeloom.operators.unpivot import column_counts, key_stats, long_keys  # noqa: F401
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -58,13 +58,13 @@ def unique_columns_table_set(tables: Mapping[str, DataFrame]) -> DataFrame:
         if not cols:
             continue
         cells.append(long_keys(df, cols).select(F.lit(name).alias("table_name"), "*"))
-        counts.append(column_counts(df, cols, table=name))
+        counts.append(df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows"))
     if not cells:
         return _empty(spark, "table_name string, column_name string, row_count long")
     stats = key_stats(_union(cells), ["table_name"])
     return (
         stats.where(F.col("max_freq") == 1)
-        .join(_union(counts), ["table_name", "column"])
+        .join(F.broadcast(_union(counts)), "table_name")  # one row per table
         .select("table_name", F.col("column").alias("column_name"), F.col("rows").alias("row_count"))
     )
 
@@ -232,10 +232,12 @@ def data_dictionary(
             key = (order_by or {}).get(name)
             if key is None:
                 raise ValueError(f"mode='first' needs order_by for table {name!r}")
-            first = spread(df.select(*[q(c) for c in dict.fromkeys(cols + _key_cols(key))])).agg(F.min_by(F.struct(*[q(c).cast("string").alias(f"v{i}") for i, c in enumerate(cols)]),
-                                    _order_key(key)).alias("r"))
+            # take the first row with raw values; only that one row is rendered as text
+            first = df.select(*[q(c) for c in dict.fromkeys(cols + _key_cols(key))]).agg(
+                F.min_by(F.struct(*[q(c).alias(f"v{i}") for i, c in enumerate(cols)]), _order_key(key)).alias("r"))
             entries = F.array(*[
-                F.struct(F.lit(c).alias("column"), semantic_type(F.col(f"r.v{i}"), strict, mixed).alias("dtype"))
+                F.struct(F.lit(c).alias("column"),
+                         semantic_type(F.col(f"r.v{i}").cast("string"), strict, mixed).alias("dtype"))
                 for i, c in enumerate(cols)
             ])
             frames.append(first.select(F.inline(entries)).where(F.col("dtype").isNotNull())
