@@ -76,7 +76,7 @@ def reference_name_filter(dep: str, ref: str) -> bool:
 
 def contained_columns(
     tables: Mapping[str, DataFrame],
-    name_filter: Callable[[str, str], bool] | None = reference_name_filter,
+    name_filter: Callable[[str, str], bool] | str | None = "reference",
     null_is_value: bool = False,
     day: str | date | None = None,
     slice_by_day: bool = False,
@@ -85,7 +85,9 @@ def contained_columns(
     ``col_1`` occurs in ``col_2`` (M2, J4, F5).
 
     Values compare by class (``typed_key``): 1 equals 1.0, text never equals numbers.
-    Columns without values are skipped; so are empty tables.
+    Columns without values are skipped; so are empty tables. ``name_filter="reference"``
+    keeps the reference's rule (``reference_name_filter``), ``None`` keeps every pair, a
+    callable ``(col_1, col_2) -> bool`` applies a custom rule.
 
     Algorithm (no pair is ever materialised per value): number the K columns; for each
     distinct value v, ``S(v)`` = bitmask of the columns holding v (``bit_or`` in a
@@ -143,29 +145,41 @@ def contained_columns(
         F.max("c").alias("c_hi"),
     )
     masks = F.array(*[F.col(f"m{w}") for w in range(words)])
-    # most values live in one column only: skip the bit scan for them
-    members = F.when(F.col("c_lo") == F.col("c_hi"), F.array(F.col("c_lo"))).otherwise(bits_set(masks))
+    # most values live in one or two columns: their members are (c_lo, c_hi), no bit scan
+    popcount = sum((F.bit_count(F.col(f"m{w}")) for w in range(words)), F.lit(0))
+    members = (
+        F.when(F.col("c_lo") == F.col("c_hi"), F.array(F.col("c_lo")))
+        .when(popcount == 2, F.array(F.col("c_lo"), F.col("c_hi")))
+        .otherwise(bits_set(masks))
+    )
     expanded = per_value.select(F.explode(members).alias("a"), *[f"m{w}" for w in range(words)])
     contained = expanded.groupBy("a").agg(*[F.bit_and(f"m{w}").alias(f"m{w}") for w in range(words)])
     cmask = F.array(*[F.col(f"m{w}") for w in range(words)])
     pairs = contained.select("a", F.explode(bits_set(cmask)).alias("b")).where(F.col("a") != F.col("b"))
     names = spark.createDataFrame([(i, t, c) for i, (t, c) in enumerate(columns)], "i int, t string, c string")
-    allowed = [
-        (i, j) for i, (_, ci) in enumerate(columns) for j, (_, cj) in enumerate(columns)
-        if i != j and (name_filter is None or name_filter(ci, cj))
-    ]
-    ok = spark.createDataFrame(allowed, "a int, b int") if allowed else _empty(spark, "a int, b int")
-    na = names.alias("na")
+    na = names.alias("na")  # one row per column: bounded by the schema
     nb = names.alias("nb")
-    return (
-        pairs.join(F.broadcast(ok), ["a", "b"], "left_semi")  # bounded by K^2 column pairs
-        .join(F.broadcast(na), F.col("a") == F.col("na.i"))
+    named = (
+        pairs.join(F.broadcast(na), F.col("a") == F.col("na.i"))
         .join(F.broadcast(nb), F.col("b") == F.col("nb.i"))
         .select(
             F.col("na.t").alias("table_1"), F.col("na.c").alias("col_1"),
             F.col("nb.t").alias("table_2"), F.col("nb.c").alias("col_2"),
         )
     )
+    if name_filter is None:
+        return named
+    if name_filter == "reference":
+        # different names, neither containing 'Id' (case-sensitive), as a column expression
+        return named.where(
+            (F.col("col_1") != F.col("col_2")) & ~F.col("col_1").contains("Id") & ~F.col("col_2").contains("Id")
+        )
+    # a custom rule is a Python predicate over names, evaluated on the driver for the K^2
+    # candidate name pairs (fine for schemas of a few thousand columns)
+    allowed = [(ci, cj) for (_, ci) in columns for (_, cj) in columns if name_filter(ci, cj)]
+    ok = (spark.createDataFrame(sorted(set(allowed)), "col_1 string, col_2 string") if allowed
+          else _empty(spark, "col_1 string, col_2 string"))
+    return named.join(F.broadcast(ok), ["col_1", "col_2"], "left_semi").select("table_1", "col_1", "table_2", "col_2")
 
 
 def find_value(tables: Mapping[str, DataFrame], value: str, day: str | date | None = None,

@@ -57,3 +57,11 @@ def test_data_dictionary_first_row(spark):
 def test_shapes(tables):
     got = {(r.table_name, r.rows, r.cols) for r in tablesets.table_set_shapes(tables).collect()}
     assert ("e", 0, 1) in got and ("b", 3, 1) in got
+
+
+def test_custom_name_filter_matches_reference_rule(tables):
+    by_rule = {tuple(r) for r in tablesets.contained_columns(tables).collect()}
+    by_callable = {tuple(r) for r in
+                   tablesets.contained_columns(tables, name_filter=tablesets.reference_name_filter).collect()}
+    everything = {tuple(r) for r in tablesets.contained_columns(tables, name_filter=None).collect()}
+    assert by_rule == by_callable and by_rule <= everything
