@@ -69,14 +69,6 @@ def fact_dim_counts(
     return j.groupBy(*out_groups).agg(F.sum(F.col("__n") * F.col("__m")).alias(count_name))
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
-        cond = e if cond is None else cond & e
-    return cond
-
-
 def dense_rank_counts(
     counts: DataFrame,
     partition_col: str,
@@ -195,6 +187,12 @@ PRESENTATION_NAMES = {
 }
 
 
-def presentation(df: DataFrame) -> DataFrame:
-    """Rename snake_case mart columns to the spaced presentation titles."""
-    return df.select([q(c).alias(PRESENTATION_NAMES.get(c, c)) for c in df.columns])
+def presentation(df: DataFrame, newest_first: bool = True) -> DataFrame:
+    """Spaced presentation titles (P8), newest year first (O1) for display or export.
+
+    The sort is for presentation only; stored marts stay unsorted.
+    """
+    out = df.select([q(c).alias(PRESENTATION_NAMES.get(c, c)) for c in df.columns])
+    if newest_first and "Year" in out.columns:
+        out = out.orderBy(F.col("Year").desc_nulls_last())
+    return out

@@ -155,12 +155,28 @@ def first_temporal_column(df: DataFrame) -> str | None:
     return None
 
 
+def first_date_text_column(df: DataFrame, threshold: float = 0.95) -> str | None:
+    """The first text column (schema order) whose cells look like dates (one small job)."""
+    from lakeloom.operators.profilers import detect_date_columns
+
+    text_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    if not text_cols:
+        return None
+    found = {r["column_name"] for r in detect_date_columns(df.select(*[q(c) for c in text_cols]),
+                                                            threshold=threshold).collect()}
+    return next((c for c in text_cols if c in found), None)
+
+
 def daily_slice(df: DataFrame, day: str | date | None = None, date_column: str | None = None) -> DataFrame:
     """Rows of one day by the first date column; the whole table when it has none.
 
-    ``day`` defaults to today. On typed date columns the predicate reaches the scan.
+    The first typed date/timestamp column is used, else the first text column whose
+    values look like dates (parsed, day-first). ``day`` defaults to today. On typed
+    columns the predicate is a range that reaches the parquet scan.
     """
     col_name = date_column or first_temporal_column(df)
+    if col_name is None:
+        col_name = first_date_text_column(df)
     if col_name is None:
         return df
     dt = df.schema[col_name].dataType
