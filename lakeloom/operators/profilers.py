@@ -118,17 +118,14 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, digits
             F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
             F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
         ]
-    one = df.agg(*aggs)
-    entries = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), F.col(f"m{i}").alias("mean"),
-                 F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"))
-        for i, c in enumerate(cols)
-    ])
-    moments = one.select(F.inline(entries))
-    qs = exact_quantiles(df, cols, (0.25, 0.5, 0.75), **quantile_opts)
+    # one row of moments: collected once, it also gives the quantile operator its counts
+    one = df.agg(*aggs).first()
+    rows = [(c, int(one[f"n{i}"]), one[f"m{i}"], one[f"s{i}"], one[f"lo{i}"], one[f"hi{i}"]) for i, c in enumerate(cols)]
+    moments = spark.createDataFrame(rows, "column string, count long, mean double, std double, min double, max double")
+    qs = exact_quantiles(df, cols, (0.25, 0.5, 0.75), counts={r[0]: r[1] for r in rows}, **quantile_opts)
     wide = qs.groupBy("column").pivot("prob", [0.25, 0.5, 0.75]).agg(F.first("value"))
     wide = wide.toDF("column", "p25", "p50", "p75")
-    out = moments.join(wide, "column", "left")
+    out = F.broadcast(moments).join(wide, "column", "left")  # one row per numeric column
     stats = ["mean", "std", "min", "p25", "p50", "p75", "max"]
     if digits is not None:
         return out.select(F.col("column").alias("column_name"), "count", *[F.round(s, digits).alias(s) for s in stats])

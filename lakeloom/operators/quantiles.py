@@ -48,13 +48,19 @@ def exact_quantiles(
     limit: int = 1_000_000,
     accuracy: int = 10_000,
     max_rounds: int = 12,
+    counts: dict[str, int] | None = None,
 ) -> DataFrame:
-    """(column, prob, value) with pandas' linear interpolation; value null for empty columns."""
+    """(column, prob, value) with pandas' linear interpolation; value null for empty columns.
+
+    ``counts`` (non-null, non-NaN cells per column) may come from an aggregate the caller
+    already ran; otherwise one counting pass runs first.
+    """
     spark = df.sparkSession
     cells = numeric_cells(df, columns)
     # distinct-value compression: one shuffle, repeated values collapse map-side
     compressed = cells.groupBy("column", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    counts = {r["column"]: int(r["n"]) for r in compressed.groupBy("column").agg(F.sum("cnt").alias("n")).collect()}
+    if counts is None:
+        counts = {r["column"]: int(r["n"]) for r in cells.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
 
     # (column, rank) targets and the interpolation plan per (column, prob)
     plan = []

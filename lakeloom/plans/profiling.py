@@ -55,9 +55,9 @@ def _duplicates(df, t):
 
 
 def _describe_non_num(df, t):
-    d = profilers.describe_non_numeric(df)
-    return _rows(d, t, "describe_non_num", ["count", "unique", "freq"]).unionByName(
-        _rows(d, t, "describe_non_num", [], text="top", text_metric="top"))
+    # one melt for the numeric metrics and the top value: the profiler is planned once
+    return _rows(profilers.describe_non_numeric(df), t, "describe_non_num", ["count", "unique", "freq"],
+                 text="top", text_metric="top")
 
 
 def _value_counts(df, t):
@@ -142,3 +142,36 @@ def report_sql(tables: Sequence[str]) -> str:
                 f"QUALIFY n / SUM(n) OVER () >= 0.05"
             )
     return "\nUNION ALL\n".join(parts)
+
+
+def profile_files(spark, paths: Sequence[str], out: str | None = None, run_date: str | None = None) -> DataFrame:
+    """Profile named CSV/Parquet files (M6): read by extension, one report, optionally written."""
+    from lakeloom.sources.files import read_any
+
+    tables = {p.rstrip("/").rsplit("/", 1)[-1]: read_any(spark, p) for p in paths}
+    report = profile_report(tables)
+    if out:
+        write_report(report, out, run_date=run_date)
+    return report
+
+
+def profile_directory(spark, directory: str, out: str | None = None, run_date: str | None = None,
+                      formats: tuple[str, ...] = ("parquet", "csv")) -> DataFrame:
+    """Profile every table file of a folder or container path."""
+    from lakeloom.sources.tablesets import read_table_set
+
+    report = profile_report(read_table_set(spark, directory, formats=formats))
+    if out:
+        write_report(report, out, run_date=run_date)
+    return report
+
+
+def profile_database(spark, database: str | None = None, out: str | None = None,
+                     run_date: str | None = None) -> DataFrame:
+    """Profile every table of a Spark catalog database (M5 for catalog/JDBC-registered sources)."""
+    from lakeloom.sources.tablesets import catalog_table_set
+
+    report = profile_report(catalog_table_set(spark, database))
+    if out:
+        write_report(report, out, run_date=run_date)
+    return report

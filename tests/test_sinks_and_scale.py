@@ -72,3 +72,19 @@ def test_hot_key_holding_a_third_of_the_fact(spark):
     assert out.first()["total_item_view"] == n
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.index("partial_count") > 0
+
+
+def test_profile_directory_and_files(spark, scratch):
+    from lakeloom.plans.profiling import profile_directory, profile_files
+    from lakeloom.sinks.files import write_csv
+
+    root = scratch("dir")
+    region = spark.read.parquet(f"{SF}/region.parquet")
+    nation = spark.read.parquet(f"{SF}/nation.parquet")
+    write_csv(region, f"{root}/region.csv")
+    nation.write.parquet(f"{root}/nation.parquet")
+    report = profile_directory(spark, root, out=f"{root}_report")
+    shapes = {(r.table_name, r.num_value) for r in report.where("profile = 'shape' AND metric = 'rows'").collect()}
+    assert shapes == {("region", 5.0), ("nation", 25.0)}
+    files = profile_files(spark, [f"{root}/region.csv"])
+    assert files.where("profile = 'shape' AND metric = 'cols'").first().num_value == 2.0
