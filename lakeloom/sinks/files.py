@@ -28,12 +28,18 @@ def write_table(
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
     dynamic_overwrite: bool = False,
+    rebalance: bool = False,
 ) -> None:
     """External lakehouse table by path (K2/K3).
 
     ``dynamic_overwrite`` replaces only the partitions present in ``df`` (incremental
-    loads of a year-partitioned fact) instead of the whole table.
+    loads of a year-partitioned fact) instead of the whole table. ``rebalance`` adds AQE's
+    ``REBALANCE`` on the partition columns: one more shuffle, but files of even size per
+    partition value, and a hot value (a year with a third of the rows) is split across
+    tasks instead of landing in one.
     """
+    if rebalance and partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.format(fmt).mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -88,3 +88,11 @@ def test_profile_directory_and_files(spark, scratch):
     assert shapes == {("region", 5.0), ("nation", 25.0)}
     files = profile_files(spark, [f"{root}/region.csv"])
     assert files.where("profile = 'shape' AND metric = 'cols'").first().num_value == 2.0
+
+
+def test_rebalanced_partitioned_write(spark, scratch):
+    path = scratch("rebal")
+    df = spark.range(1000).select("id", (F.col("id") % 3).alias("p"))
+    write_table(df, path, partition_by=["p"], rebalance=True)
+    back = spark.read.parquet(path)
+    assert back.count() == 1000 and back.where("p = 1").count() == 333
