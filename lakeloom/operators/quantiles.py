@@ -57,8 +57,6 @@ def exact_quantiles(
     """
     spark = df.sparkSession
     cells = numeric_cells(df, columns)
-    # distinct-value compression: one shuffle, repeated values collapse map-side
-    compressed = cells.groupBy("column", "v").agg(F.count(F.lit(1)).alias("cnt"))
     if counts is None:
         counts = {r["column"]: int(r["n"]) for r in cells.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
 
@@ -141,8 +139,10 @@ def exact_quantiles(
         tt = spark.createDataFrame(target_rows, "column string, bid int, rank long")
         w = Window.partitionBy("column", "bid").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         ranked = (
-            compressed.join(F.broadcast(bt), "column")  # bounded: columns x distinct brackets
-            .where(_in_bracket())
+            cells.join(F.broadcast(bt), "column")  # bounded: columns x distinct brackets
+            .where(_in_bracket())  # only cells inside a bracket reach the shuffle
+            .groupBy("column", "bid", "below", "v")  # distinct-value compression, map-side combine
+            .agg(F.count(F.lit(1)).alias("cnt"))
             .withColumn("cum", F.sum("cnt").over(w))
             .select("column", "bid", "v", (F.col("below") + F.col("cum") - F.col("cnt")).alias("first"),
                     (F.col("below") + F.col("cum")).alias("after"))
