@@ -132,7 +132,8 @@ def typed_key(c: Column, dt: DataType, digest_over: int | None = DIGEST_OVER) ->
     * numbers: integral values (ints, and floats/doubles equal to an integer) in ``i``,
       other floating values in ``d``: so 1 == 1.0 across columns, as ``isin`` compares;
     * text: ``s`` (``=text`` or a SHA-256 digest for long text); never equal to numbers;
-    * dates and timestamps: microseconds in ``i`` under tag ``d``; booleans: tag ``b``.
+    * dates and timestamps: microseconds in ``i`` under their own tag; booleans likewise.
+    Tags are small ints: 0 number, 1 text, 2 boolean, 3 date/time.
     Returns None for nested types. Null cells give a null key.
     """
     null_l = F.lit(None).cast("bigint")
@@ -141,21 +142,21 @@ def typed_key(c: Column, dt: DataType, digest_over: int | None = DIGEST_OVER) ->
 
     def mk(tag, i=null_l, d=null_d, s=null_s):
         return F.when(c.isNull(), F.lit(None)).otherwise(
-            F.struct(F.lit(tag).alias("t"), i.alias("i"), d.alias("d"), s.alias("s"))
+            F.struct(F.lit(tag).cast("tinyint").alias("t"), i.alias("i"), d.alias("d"), s.alias("s"))
         )
 
     if is_integral(dt):
-        return mk("n", i=c.cast("bigint"))
+        return mk(0, i=c.cast("bigint"))
     if isinstance(dt, (FloatType, DoubleType, DecimalType)):
         x = c.cast("double")
         integral = (x == F.floor(x)) & (F.abs(x) < F.lit(9.0e18))
         return F.when(F.isnan(x), F.lit(None)).otherwise(
-            mk("n", i=F.when(integral, x.cast("bigint")), d=F.when(~integral, x))
+            mk(0, i=F.when(integral, x.cast("bigint")), d=F.when(~integral, x))
         )
     if isinstance(dt, StringType):
-        return mk("s", s=group_key(c, digest_over))
+        return mk(1, s=group_key(c, digest_over))
     if isinstance(dt, BooleanType):
-        return mk("b", i=c.cast("bigint"))
+        return mk(2, i=c.cast("bigint"))
     if isinstance(dt, (DateType, TimestampType, TimestampNTZType)):
-        return mk("d", i=F.unix_micros(c.cast("timestamp_ntz").cast("timestamp")))
+        return mk(3, i=F.unix_micros(c.cast("timestamp_ntz").cast("timestamp")))
     return None

@@ -164,7 +164,9 @@ def unique_columns(df: DataFrame, columns: Sequence[str] | None = None, null_is_
     cols = [c for c in (df.columns if columns is None else columns) if is_scalar(df.schema[c].dataType)
             or isinstance(df.schema[c].dataType, ArrayType)]
     cc = column_counts(df, cols)
-    summary = key_stats(long_keys(df, [c for c in cols if is_scalar(df.schema[c].dataType)]))
+    keys, ids = long_keys(df, [c for c in cols if is_scalar(df.schema[c].dataType)])
+    ids_df = df.sparkSession.createDataFrame(ids, "ci int, column string")
+    summary = key_stats(keys).join(F.broadcast(ids_df), "ci").select("column", "distinct", "cells", "max_freq")
     arrays = [c for c in cols if not is_scalar(df.schema[c].dataType)]
     if arrays:  # arrays compare by their text rendering
         summary = summary.unionByName(column_summary(value_frequencies(long_cells(df, arrays, explode_arrays=False)))

@@ -52,20 +52,24 @@ def unique_columns_table_set(tables: Mapping[str, DataFrame]) -> DataFrame:
     At least one non-null value is required. One grouped pass over all tables' cells.
     """
     spark = _spark_of(tables)
-    cells, counts = [], []
+    cells, counts, names = [], [], []
     for name, df in tables.items():
         cols = [f.name for f in df.schema.fields if is_scalar(f.dataType)]
         if not cols:
             continue
-        cells.append(long_keys(df, cols).select(F.lit(name).alias("table_name"), "*"))
+        keys, ids = long_keys(df, cols, id_offset=len(names))
+        cells.append(keys)
+        names.extend((ci, name, c) for ci, c in ids)
         counts.append(df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows"))
-    if not cells:
+    if not names:
         return _empty(spark, "table_name string, column_name string, row_count long")
-    stats = key_stats(_union(cells), ["table_name"])
+    stats = key_stats(_union(cells))
+    ids_df = spark.createDataFrame(names, "ci int, table_name string, column_name string")
     return (
         stats.where(F.col("max_freq") == 1)
+        .join(F.broadcast(ids_df), "ci")  # one row per column: bounded by the schema
         .join(F.broadcast(_union(counts)), "table_name")  # one row per table
-        .select("table_name", F.col("column").alias("column_name"), F.col("rows").alias("row_count"))
+        .select("table_name", "column_name", F.col("rows").alias("row_count"))
     )
 
 
@@ -111,7 +115,7 @@ def contained_columns(
             idx = len(columns)
             columns.append((name, f.name))
             if null_is_value:
-                key = F.coalesce(key, F.struct(F.lit("0").alias("t"), F.lit(None).cast("bigint").alias("i"),
+                key = F.coalesce(key, F.struct(F.lit(-1).cast("tinyint").alias("t"), F.lit(None).cast("bigint").alias("i"),
                                                F.lit(None).cast("double").alias("d"),
                                                F.lit(None).cast("string").alias("s")))
             entries.append(F.struct(key.alias("v"), F.lit(idx).alias("c")))

@@ -121,33 +121,33 @@ def resolve_keys(
     return plain.unionByName(found)
 
 
-def long_keys(df: DataFrame, columns: Sequence[str], digest_over: int | None = DIGEST_OVER) -> DataFrame:
-    """(column, t, i, d, s): one typed key per non-null scalar cell, one scan for all columns.
+def long_keys(df: DataFrame, columns: Sequence[str], digest_over: int | None = DIGEST_OVER,
+              id_offset: int = 0) -> tuple[DataFrame, list[tuple[int, str]]]:
+    """Typed keys ``(ci, i, d, s)`` of every non-null scalar cell, one scan for all columns.
 
-    Cheaper than text cells when only equality matters (distinct counts, uniqueness,
-    containment): numbers are never formatted, long text is a digest. Cells carry an
-    integer column id through the shuffle; the name is attached to the small result.
+    Cheaper than text cells when only equality within a column matters (distinct counts,
+    uniqueness): numbers are never formatted, long text is a digest, and only an integer
+    column id travels through the shuffle. Returns the cells and the ``(ci, name)`` list.
     """
     entries, names = [], []
     for c in columns:
         k = typed_key(q(c), df.schema[c].dataType, digest_over)
         if k is not None:
-            entries.append(F.struct(F.lit(len(names)).alias("ci"), k.alias("k")))
-            names.append(c)
+            ci = id_offset + len(names)
+            entries.append(F.struct(F.lit(ci).alias("ci"), k.alias("k")))
+            names.append((ci, c))
     if not entries:
-        return df.sparkSession.createDataFrame([], "ci int, t string, i bigint, d double, s string, column string")
-    src = spread(df.select(*[q(c) for c in names]))
-    cells = src.select(F.inline(F.array(*entries))).where(F.col("k").isNotNull()).select("ci", "k.*")
-    return cells.withColumn("column", F.element_at(F.array(*[F.lit(n) for n in names]), F.col("ci") + 1))
-
-
-def key_stats(keys: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame:
-    """(extra..., column, distinct, cells, max_freq) from typed keys: two partial+final aggregates."""
-    freq = keys.groupBy(*extra_keys, "ci", "t", "i", "d", "s").agg(
-        F.count(F.lit(1)).alias("cnt"), F.first("column").alias("column"))
-    return freq.groupBy(*extra_keys, "ci").agg(
-        F.first("column").alias("column"),
+        return df.sparkSession.createDataFrame([], "ci int, i bigint, d double, s string"), names
+    src = spread(df.select(*[q(c) for _, c in names]))
+    cells = src.select(F.inline(F.array(*entries))).where(F.col("k").isNotNull()).select("ci", "k.i", "k.d", "k.s")
+    return cells, names
+
+
+def key_stats(keys: DataFrame) -> DataFrame:
+    """(ci, distinct, cells, max_freq) from typed keys: two partial+final aggregates."""
+    freq = keys.groupBy("ci", "i", "d", "s").agg(F.count(F.lit(1)).alias("cnt"))
+    return freq.groupBy("ci").agg(
         F.count(F.lit(1)).alias("distinct"),
         F.sum("cnt").alias("cells"),
         F.max("cnt").alias("max_freq"),
-    ).drop("ci")
+    )
