@@ -1,6 +1,6 @@
 """Expression builders: everything here returns a ``Column`` evaluated JVM-side."""
 
-from lakeloom.functions.casts import legacy_cast
+from lakeloom.functions.casts import legacy_cast, lenient_text, percent_text
 from lakeloom.functions.json import (
     flatten_struct_columns,
     infer_json_schema,
@@ -12,6 +12,8 @@ from lakeloom.functions.values import group_key, tagged_value, text_of
 
 __all__ = [
     "legacy_cast",
+    "lenient_text",
+    "percent_text",
     "flatten_struct_columns",
     "infer_json_schema",
     "looks_like_json",

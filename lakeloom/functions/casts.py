@@ -61,3 +61,20 @@ def legacy_cast(col: str | Column, type_: str | DataType) -> Column:
 
 def is_integral(dt: DataType) -> bool:
     return isinstance(dt, (ByteType, ShortType, IntegerType, LongType))
+
+
+def lenient_text(c: Column) -> Column:
+    """Binary to text, invalid UTF-8 bytes replaced by U+FFFD instead of failing.
+
+    The reference's decoder drops undecodable bytes; replacing them keeps lengths honest.
+    """
+    return F.make_valid_utf8(c.cast("string"))
+
+
+def percent_text(ratio: Column, digits: int = 1) -> Column:
+    """A ratio as percent text, e.g. 0.25 -> ``25.0%``.
+
+    Reports keep the number; this is for display only. Java rounds half up, so 0.1225 is
+    ``12.3%`` here where Python's float formatting may print ``12.2%``.
+    """
+    return F.when(ratio.isNotNull(), F.format_string(f"%.{digits}f%%", ratio * 100))

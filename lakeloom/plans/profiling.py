@@ -79,12 +79,14 @@ DEFAULT_PROFILERS: dict[str, Callable[[DataFrame, str], DataFrame]] = {
 def profile(df: DataFrame, table: str = "table", profilers_: Mapping[str, Callable] | None = None) -> DataFrame:
     """Every registered profiler of one table as report rows (M6)."""
     regs = DEFAULT_PROFILERS if profilers_ is None else profilers_
-    return reduce(lambda a, b: a.unionByName(b), [fn(df, table) for fn in regs.values()])
+    # custom profilers may return other shapes: missing columns become null
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [fn(df, table) for fn in regs.values()])
 
 
 def profile_report(tables: Mapping[str, DataFrame], profilers_: Mapping[str, Callable] | None = None) -> DataFrame:
     """The report of a whole table set (M5): one DataFrame, one plan."""
-    return reduce(lambda a, b: a.unionByName(b), [profile(df, name, profilers_) for name, df in tables.items()])
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                  [profile(df, name, profilers_) for name, df in tables.items()])
 
 
 def write_report(report: DataFrame, path: str, fmt: str = "parquet", run_date: str | None = None) -> None:

@@ -43,3 +43,12 @@ def test_rename_ignores_missing_and_derive_rejects_unknown(spark):
     assert (out["d_year"], out["d_month"]) == (2020, 3)
     with pytest.raises(ValueError):
         derive_time_columns(df, {"d": {"x": "not_a_function"}})
+
+
+def test_lenient_text_and_percent_text(spark):
+    from lakeloom.functions.casts import lenient_text, percent_text
+
+    df = spark.createDataFrame([(bytearray(b"ok"),), (bytearray(b"a\xffb"),)], "b binary")
+    assert [r.t for r in df.select(lenient_text(F.col("b")).alias("t")).collect()] == ["ok", "a�b"]
+    r = spark.createDataFrame([(0.25,), (None,), (4.0,)], "x double").select(percent_text(F.col("x")).alias("p"))
+    assert [x.p for x in r.collect()] == ["25.0%", None, "400.0%"]

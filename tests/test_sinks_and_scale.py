@@ -96,3 +96,16 @@ def test_rebalanced_partitioned_write(spark, scratch):
     write_table(df, path, partition_by=["p"], rebalance=True)
     back = spark.read.parquet(path)
     assert back.count() == 1000 and back.where("p = 1").count() == 333
+
+
+def test_custom_profiler_of_another_shape(spark):
+    from lakeloom.plans.profiling import DEFAULT_PROFILERS, profile
+
+    def max_len(df, t):
+        return df.select(F.lit(t).alias("table_name"), F.lit("max_len").alias("profile"),
+                         F.max(F.length("n_name")).cast("double").alias("num_value"))
+
+    nation = spark.read.parquet(f"{SF}/nation.parquet")
+    report = profile(nation, "nation", {"shape": DEFAULT_PROFILERS["shape"], "max_len": max_len})
+    row = report.where("profile = 'max_len'").first()
+    assert row.num_value > 0 and row.metric is None
