@@ -18,7 +18,15 @@ from pyspark.sql.types import ArrayType, BooleanType, StringType
 
 from lakeloom.functions.json import looks_like_json, looks_like_xml
 from lakeloom.functions.patterns import is_date_text
-from lakeloom.functions.values import DIGEST_OVER, group_key, is_numeric, is_scalar, is_text_like, text_of
+from lakeloom.functions.values import (
+    DIGEST_OVER,
+    group_key,
+    is_numeric,
+    is_scalar,
+    is_temporal,
+    is_text_like,
+    text_of,
+)
 from lakeloom.operators.parallel import spread
 from lakeloom.operators.quantiles import exact_quantiles
 from lakeloom.operators.transforms import parse_datetime, q
@@ -239,25 +247,45 @@ def detect_date_columns(df: DataFrame, mode: str = "share", order_by: str | None
     return _detect(df, cols, lambda t: is_date_text(t, strict), mode, order_by, threshold)
 
 
-def date_columns(df: DataFrame, mode: str = "share", order_by: str | None = None, threshold: float = 0.95,
-                 strict: bool = True, day_first: bool = True) -> DataFrame:
+def date_columns(df: DataFrame, mode: str = "share", order_by: str | Sequence[str] | None = None,
+                 threshold: float = 0.95, strict: bool = True, day_first: bool = True) -> DataFrame:
     """(column, min_date, max_date, days) for each date-like column.
 
-    Values are parsed before min/max (B2), each range pairs a column's own min and max
-    (B1). Detection is a small job; the ranges are one more aggregate over the table.
+    Detection and ranges come from one aggregate over the table: for every candidate
+    column the share of date-like cells (or the first row's test), and the min and max of
+    the *parsed* values (B2); each range pairs a column's own min and max (B1).
     """
-    found = [r["column_name"] for r in detect_date_columns(df, mode, order_by, threshold, strict).collect()]
     spark = df.sparkSession
-    if not found:
+    cols = scalar_columns(df)
+    if strict:  # a rendered number or boolean never has two date separators
+        cols = [c for c in cols if not is_numeric(df.schema[c].dataType)
+                and not isinstance(df.schema[c].dataType, BooleanType)]
+    if not cols:
         return spark.createDataFrame([], "column_name string, min_date timestamp_ntz, max_date timestamp_ntz, days int")
+    if mode == "first":
+        if order_by is None:
+            raise ValueError("mode='first' needs order_by: a DataFrame has no first row")
+        key = q(order_by) if isinstance(order_by, str) else F.struct(*[q(k) for k in order_by])
+    elif mode != "share":
+        raise ValueError(f"mode must be 'first' or 'share', got {mode!r}")
     aggs = []
-    for i, c in enumerate(found):
-        t = parse_datetime(q(c), df.schema[c].dataType, day_first=day_first)
-        aggs += [F.min(t).alias(f"a{i}"), F.max(t).alias(f"b{i}")]
-    one = df.agg(*aggs)
-    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"a{i}").alias("min_date"), F.col(f"b{i}").alias("max_date"))
-                        for i, c in enumerate(found)])
-    return one.select(F.inline(entries)).select(
+    for i, c in enumerate(cols):
+        text = q(c).cast("string")
+        if mode == "first":
+            hit = is_date_text(F.min_by(q(c), key).cast("string"), strict)
+        else:
+            hit = F.avg(F.when(q(c).isNotNull(), is_date_text(text, strict).cast("int"))) >= F.lit(threshold)
+        dt = df.schema[c].dataType
+        t = parse_datetime(q(c), dt, day_first=day_first)
+        if not is_temporal(dt):  # parse only cells that look like dates: the regex is cheap
+            t = F.when(is_date_text(text, strict), t)
+        aggs += [hit.alias(f"h{i}"), F.min(t).alias(f"a{i}"), F.max(t).alias(f"b{i}")]
+    one = spread(df.select(*[q(c) for c in dict.fromkeys(cols + ([] if mode == "share" else (
+        [order_by] if isinstance(order_by, str) else list(order_by))))])).agg(*aggs)
+    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"h{i}").alias("hit"),
+                                 F.col(f"a{i}").alias("min_date"), F.col(f"b{i}").alias("max_date"))
+                        for i, c in enumerate(cols)])
+    return one.select(F.inline(entries)).where(F.col("hit")).select(
         F.col("column").alias("column_name"), "min_date", "max_date",
         F.datediff(F.to_date("max_date"), F.to_date("min_date")).alias("days"),
     )
@@ -292,7 +320,9 @@ def value_counts(df: DataFrame, percentage: float = 0.05, columns: Sequence[str]
 
 def value_counts_wide(df: DataFrame, percentage: float = 0.05, columns: Sequence[str] | None = None) -> DataFrame:
     """R12 in the reference's wide shape: one row per value, one share column per column."""
-    long = value_counts(df, percentage, columns)
+    # the long result is tiny (at most 1/percentage rows per column): cut it once in the
+    # shared checkpoint folder so finding its columns and pivoting do not recompute it
+    long = value_counts(df, percentage, columns).checkpoint(eager=True)
     cols = [r["column_name"] for r in long.select("column_name").distinct().collect()]  # at most len(schema)
     cols.sort()
     if not cols:
