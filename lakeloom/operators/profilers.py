@@ -140,6 +140,18 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, digits
     return out.select(F.col("column").alias("column_name"), "count", *stats)
 
 
+def describe_all(df: DataFrame, digits: int | None = None, **quantile_opts) -> DataFrame:
+    """Text and numeric columns in one report, other statistics null (R6: describe of all).
+
+    Text columns carry count/unique/top/freq, numeric columns count/mean/std/min/quartiles/max.
+    """
+    text = describe_non_numeric(df)
+    nums = describe_numeric(df, digits=digits, **quantile_opts)
+    return text.unionByName(nums, allowMissingColumns=True).select(
+        "column_name", "count", "unique", "top", "freq", "mean", "std", "min", "p25", "p50", "p75", "max"
+    )
+
+
 def _groupable(c: str, dt) -> Column:
     """A grouping expression equal for equal values: long text digested, maps sorted."""
     if isinstance(dt, StringType):

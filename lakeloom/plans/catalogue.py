@@ -228,6 +228,10 @@ def describe_numeric(spark: SparkSession, sf: str) -> DataFrame:
     return profilers.describe_numeric(load(spark, sf, "lineitem"), digits=4)
 
 
+def describe_all(spark: SparkSession, sf: str) -> DataFrame:
+    return profilers.describe_all(load(spark, sf, "orders"), digits=4)
+
+
 def duplicate_count(spark: SparkSession, sf: str) -> DataFrame:
     return profilers.duplicate_count(load(spark, sf, "documents"), subset=["text"])
 
@@ -348,6 +352,7 @@ def queries() -> dict[str, Query]:
         "table_set_shapes": table_set_shapes,
         "describe_non_numeric": describe_non_numeric,
         "describe_numeric": describe_numeric,
+        "describe_all": describe_all,
         "duplicate_count": duplicate_count,
         "duplicate_rows": duplicate_rows,
         "unique_columns": unique_columns,
@@ -483,25 +488,28 @@ def _sql_null_counts() -> str:
     return f"WITH j AS ({j}) " + _union_sql(parts)
 
 
-def _sql_describe_numeric() -> str:
+def _sql_describe_numeric(table: str = "lineitem", padded: bool = False) -> str:
     parts = []
-    for c in _sql_columns("lineitem", ("int", "long", "double")):
+    pad = "NULL::BIGINT AS unique, NULL::VARCHAR AS top, NULL::BIGINT AS freq, " if padded else ""
+    for c in _sql_columns(table, ("int", "long", "double")):
         x = f"CAST({c} AS DOUBLE)"
         parts.append(
-            f"SELECT '{c}' AS column_name, COUNT({c}) AS count, round(avg({x}), 4) AS mean, "
+            f"SELECT '{c}' AS column_name, COUNT({c}) AS count, {pad}round(avg({x}), 4) AS mean, "
             f"round(stddev_samp({x}), 4) AS std, round(min({x}), 4) AS min, "
             f"round(quantile_cont({x}, 0.25), 4) AS p25, round(quantile_cont({x}, 0.5), 4) AS p50, "
-            f"round(quantile_cont({x}, 0.75), 4) AS p75, round(max({x}), 4) AS max FROM lineitem"
+            f"round(quantile_cont({x}, 0.75), 4) AS p75, round(max({x}), 4) AS max FROM {table}"
         )
     return _union_sql(parts)
 
 
-def _sql_describe_non_numeric() -> str:
+def _sql_describe_non_numeric(padded: bool = False) -> str:
     parts = []
+    pad = (", NULL::DOUBLE AS mean, NULL::DOUBLE AS std, NULL::DOUBLE AS min, NULL::DOUBLE AS p25, "
+           "NULL::DOUBLE AS p50, NULL::DOUBLE AS p75, NULL::DOUBLE AS max") if padded else ""
     for c in _sql_columns("orders", ("string",)):
         parts.append(
             f"SELECT '{c}' AS column_name, CAST(SUM(n) AS BIGINT) AS count, COUNT(*) AS unique, "
-            f"first(v ORDER BY n DESC, v ASC) AS top, max(n) AS freq FROM "
+            f"first(v ORDER BY n DESC, v ASC) AS top, max(n) AS freq{pad} FROM "
             f"(SELECT {c} AS v, COUNT(*) AS n FROM orders WHERE {c} IS NOT NULL GROUP BY 1)"
         )
     return _union_sql(parts)
@@ -628,6 +636,7 @@ def oracle_sql() -> dict[str, str]:
         "table_set_shapes": _sql_table_set_shapes(),
         "describe_non_numeric": _sql_describe_non_numeric(),
         "describe_numeric": _sql_describe_numeric(),
+        "describe_all": _sql_describe_non_numeric(padded=True) + "\nUNION ALL\n" + _sql_describe_numeric("orders", True),
         "duplicate_count": "SELECT CAST(COUNT(*) - COUNT(DISTINCT text) AS BIGINT) AS duplicate_qty FROM documents",
         "duplicate_rows": (
             "SELECT CAST(COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT role, text FROM conversations)) AS BIGINT) "
