@@ -14,10 +14,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+# Inputs estimated below this size stay as they are: one task handles them quickly and a
+# redistribution would only add a stage.
+MIN_SPREAD_BYTES = 64 << 10
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of the optimized plan (file sizes for scans; no job runs)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # Spark Connect or an unsupported plan
+        return None
+
+
+def spread(df: DataFrame, min_partitions: int | None = None, min_bytes: int = MIN_SPREAD_BYTES) -> DataFrame:
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         current = df.rdd.getNumPartitions()  # plans the scan, runs no job
     except Exception:  # Spark Connect: no RDD access, leave partitioning to the scan
         return df
-    return df.repartition(target) if current < target else df
+    if current >= target:
+        return df
+    size = estimated_bytes(df)
+    if size is not None and size < min_bytes:
+        return df
+    return df.repartition(target)

@@ -155,16 +155,15 @@ def exact_quantiles(
     else:
         ranked = spark.createDataFrame([], "column string, rank long, value double")
 
-    pt = spark.createDataFrame(plan, "column string, prob double, lo_r long, hi_r long, frac double")
-    # one pass over the (tiny) ranked targets: both interpolation ends in one aggregate
-    r = ranked.alias("r")
+    # both interpolation ends as rows, so the lookup is an equi-join on (column, rank)
+    ends = [(c, p, end, r, frac) for (c, p, lo_r, hi_r, frac) in plan for end, r in (("lo", lo_r), ("hi", hi_r))]
+    pt = spark.createDataFrame(ends, "column string, prob double, end string, rank long, frac double")
     out = (
-        pt.join(F.broadcast(r), (pt["column"] == F.col("r.column"))
-                & ((pt["lo_r"] == F.col("r.rank")) | (pt["hi_r"] == F.col("r.rank"))), "left")
-        .groupBy(pt["column"], pt["prob"], pt["frac"])
+        pt.join(F.broadcast(ranked), ["column", "rank"], "left")  # ranked: one row per target
+        .groupBy("column", "prob", "frac")
         .agg(
-            F.max(F.when(F.col("r.rank") == pt["lo_r"], F.col("r.value"))).alias("lo_v"),
-            F.max(F.when(F.col("r.rank") == pt["hi_r"], F.col("r.value"))).alias("hi_v"),
+            F.max(F.when(F.col("end") == "lo", F.col("value"))).alias("lo_v"),
+            F.max(F.when(F.col("end") == "hi", F.col("value"))).alias("hi_v"),
         )
         .select("column", "prob", (F.col("lo_v") + F.col("frac") * (F.col("hi_v") - F.col("lo_v"))).alias("value"))
     )

@@ -52,7 +52,8 @@ def write_counted(df: DataFrame, write, name: str = "rows") -> int:
     """Run ``write(df_observed)`` and return its row count from the same job.
 
     The count is an ``Observation`` metric collected while writing, so the shape print
-    of the reference no longer costs a second full execution.
+    of the reference no longer costs a second full execution. Like any accumulator it is
+    informational: a stage re-executed after an executor loss may count its rows twice.
     """
     obs = Observation(name)
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))

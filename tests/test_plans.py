@@ -6,6 +6,7 @@ import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas")
+PAIR_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin")
 
 
 def plan(df) -> str:
@@ -13,9 +14,10 @@ def plan(df) -> str:
 
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_no_python_in_plans(spark, name):
+def test_no_python_and_no_pair_joins_in_plans(spark, name):
     p = plan(entry.queries()[name](spark, SF))
     assert not any(n in p for n in PYTHON_NODES), p
+    assert not any(n in p for n in PAIR_NODES), p
 
 
 def test_partition_pruning(spark):
