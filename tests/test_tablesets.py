@@ -1,6 +1,7 @@
 """The table-set fixture of FIXTURES §4: containment, find-value, uniqueness, dictionary."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakeloom.operators import tablesets
 
@@ -65,3 +66,22 @@ def test_custom_name_filter_matches_reference_rule(tables):
                    tablesets.contained_columns(tables, name_filter=tablesets.reference_name_filter).collect()}
     everything = {tuple(r) for r in tablesets.contained_columns(tables, name_filter=None).collect()}
     assert by_rule == by_callable and by_rule <= everything
+
+
+def test_nulls_as_values_and_daily_slice(spark):
+    t = {
+        "p": spark.createDataFrame([(1,), (None,)], "x int"),
+        "q": spark.createDataFrame([(1,), (2,), (None,)], "y int"),
+        "r": spark.createDataFrame([(1,), (2,)], "z int"),
+    }
+    ignore = {tuple(r) for r in tablesets.contained_columns(t).collect()}
+    as_value = {tuple(r) for r in tablesets.contained_columns(t, null_is_value=True).collect()}
+    assert ("p", "x", "r", "z") in ignore and ("p", "x", "r", "z") not in as_value
+    assert ("p", "x", "q", "y") in as_value
+
+    events = spark.createDataFrame(
+        [("A", "2024-01-15 10:00:00"), ("B", "2024-01-16 10:00:00")], "code string, ts string"
+    ).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    hits = tablesets.find_value({"e": events}, "B", day="2024-01-15", slice_by_day=True)
+    assert hits.count() == 0
+    assert tablesets.find_value({"e": events}, "B").count() == 1
