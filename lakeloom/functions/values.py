@@ -126,37 +126,49 @@ def key_text(key: Column) -> Column:
     return F.when(key.startswith("="), key.substr(F.lit(2), F.length(key)))
 
 
-def typed_key(c: Column, dt: DataType, digest_over: int | None = DIGEST_OVER) -> Column | None:
-    """Fixed-width, class-tagged grouping key ``struct<t, i, d, s>`` (no number formatting).
+def _sql_name(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
 
-    * numbers: integral values (ints, and floats/doubles equal to an integer) in ``i``,
-      other floating values in ``d``: so 1 == 1.0 across columns, as ``isin`` compares;
-    * text: ``s`` (``=text`` or a SHA-256 digest for long text); never equal to numbers;
-    * dates and timestamps: microseconds in ``i`` under their own tag; booleans likewise.
-    Tags are small ints: 0 number, 1 text, 2 boolean, 3 date/time.
-    Returns None for nested types. Null cells give a null key.
-    """
-    null_l = F.lit(None).cast("bigint")
-    null_d = F.lit(None).cast("double")
-    null_s = F.lit(None).cast("string")
 
-    def mk(tag, i=null_l, d=null_d, s=null_s):
-        return F.when(c.isNull(), F.lit(None)).otherwise(
-            F.struct(F.lit(tag).cast("tinyint").alias("t"), i.alias("i"), d.alias("d"), s.alias("s"))
-        )
+def typed_key_sql(name: str, dt: DataType, digest_over: int | None = DIGEST_OVER) -> str | None:
+    """``typed_key`` of column ``name`` as Spark SQL text (one expression, one parse)."""
+    c = _sql_name(name)
+
+    def mk(tag: int, i: str = "CAST(NULL AS BIGINT)", d: str = "CAST(NULL AS DOUBLE)",
+           s: str = "CAST(NULL AS STRING)", null_if: str = f"{c} IS NULL") -> str:
+        return (f"CASE WHEN {null_if} THEN NULL ELSE named_struct('t', CAST({tag} AS TINYINT), "
+                f"'i', {i}, 'd', {d}, 's', {s}) END")
 
     if is_integral(dt):
-        return mk(0, i=c.cast("bigint"))
+        return mk(0, i=f"CAST({c} AS BIGINT)")
     if isinstance(dt, (FloatType, DoubleType, DecimalType)):
-        x = c.cast("double")
-        integral = (x == F.floor(x)) & (F.abs(x) < F.lit(9.0e18))
-        return F.when(F.isnan(x), F.lit(None)).otherwise(
-            mk(0, i=F.when(integral, x.cast("bigint")), d=F.when(~integral, x))
-        )
+        x = f"CAST({c} AS DOUBLE)"
+        integral = f"({x} = floor({x}) AND abs({x}) < 9.0E18)"
+        return mk(0, i=f"CASE WHEN {integral} THEN CAST({x} AS BIGINT) END",
+                  d=f"CASE WHEN NOT {integral} THEN {x} END", null_if=f"{c} IS NULL OR isnan({x})")
     if isinstance(dt, StringType):
-        return mk(1, s=group_key(c, digest_over))
+        plain = f"concat('=', {c})"
+        if digest_over is None:
+            return mk(1, s=plain)
+        digest = f"concat('#', sha2({c}, 256), ':', CAST(length({c}) AS STRING))"
+        return mk(1, s=f"CASE WHEN length({c}) <= {int(digest_over)} THEN {plain} ELSE {digest} END")
     if isinstance(dt, BooleanType):
-        return mk(2, i=c.cast("bigint"))
+        return mk(2, i=f"CASE WHEN {c} THEN 1L ELSE 0L END")
     if isinstance(dt, (DateType, TimestampType, TimestampNTZType)):
-        return mk(3, i=F.unix_micros(c.cast("timestamp_ntz").cast("timestamp")))
+        return mk(3, i=f"unix_micros(CAST(CAST({c} AS TIMESTAMP_NTZ) AS TIMESTAMP))")
     return None
+
+
+def typed_key(c: str, dt: DataType, digest_over: int | None = DIGEST_OVER) -> Column | None:
+    """Fixed-width, class-tagged grouping key ``struct<t, i, d, s>`` of column ``c``.
+
+    * numbers: integral values (ints, and floats/doubles equal to an integer) in ``i``,
+      other floating values in ``d``: so 1 == 1.0 across columns, as ``isin`` compares;
+    * text: ``s`` (``=text`` or a SHA-256 digest for long text); never equal to numbers;
+    * dates and timestamps: microseconds in ``i`` under their own tag; booleans likewise.
+    Tags are small ints: 0 number, 1 text, 2 boolean, 3 date/time. Null cells give a
+    null key; nested types give None. Built as one SQL expression: a per-column tree of
+    Column calls would cost hundreds of driver round trips on a wide table set.
+    """
+    sql = typed_key_sql(c, dt, digest_over)
+    return None if sql is None else F.expr(sql)

@@ -109,7 +109,7 @@ def contained_columns(
             df = daily_slice(df, day)
         entries = []
         for f in df.schema.fields:
-            key = typed_key(q(f.name), f.dataType, DIGEST_OVER)
+            key = typed_key(f.name, f.dataType, DIGEST_OVER)
             if key is None:
                 continue
             idx = len(columns)
@@ -254,12 +254,11 @@ def data_dictionary(
             first = df.select(*[q(c) for c in dict.fromkeys(cols + _key_cols(key))]).agg(
                 F.min_by(F.struct(*[q(c).alias(f"v{i}") for i, c in enumerate(cols)]), _order_key(key)).alias("r"))
             entries = F.array(*[
-                F.struct(F.lit(c).alias("column"),
-                         semantic_type(F.col(f"r.v{i}").cast("string"), strict, mixed).alias("dtype"))
+                F.struct(F.lit(c).alias("column"), F.col(f"r.v{i}").cast("string").alias("text"))
                 for i, c in enumerate(cols)
             ])
-            frames.append(first.select(F.inline(entries)).where(F.col("dtype").isNotNull())
-                          .select(F.col("column").alias("column_name"), F.lit(name).alias("table_name"), "dtype"))
+            frames.append(first.select(F.inline(entries)).select(
+                F.col("column").alias("column_name"), F.lit(name).alias("table_name"), "text"))
         elif mode == "share":
             entries = F.array(*[
                 F.struct(F.lit(c).alias("column"), semantic_type(q(c).cast("string"), strict, mixed).alias("dtype"))
@@ -278,6 +277,10 @@ def data_dictionary(
             raise ValueError(f"mode must be 'first' or 'share', got {mode!r}")
     if not frames:
         return _empty(spark, "column_name string, table_name string, dtype string")
+    if mode == "first":  # one classifier over the first rows of every table
+        firsts = _union(frames)
+        return firsts.select("column_name", "table_name", semantic_type(F.col("text"), strict, mixed).alias("dtype")) \
+            .where(F.col("dtype").isNotNull())
     return _union(frames)
 
 

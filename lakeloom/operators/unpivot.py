@@ -131,7 +131,7 @@ def long_keys(df: DataFrame, columns: Sequence[str], digest_over: int | None = D
     """
     entries, names = [], []
     for c in columns:
-        k = typed_key(q(c), df.schema[c].dataType, digest_over)
+        k = typed_key(c, df.schema[c].dataType, digest_over)
         if k is not None:
             ci = id_offset + len(names)
             entries.append(F.struct(F.lit(ci).alias("ci"), k.alias("k")))

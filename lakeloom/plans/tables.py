@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import (
     ArrayType,
     DataType,
+    StructField,
+    StructType,
     DoubleType,
     FloatType,
     IntegerType,
@@ -79,8 +81,14 @@ def columns(table: str, kinds: tuple[str, ...] | None = None) -> list[str]:
     return [c for c, k in SCHEMAS[table] if kinds is None or k in kinds]
 
 
+def schema_of(name: str) -> StructType:
+    return StructType([StructField(c, _T[k]) for c, k in SCHEMAS[name]])
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; its known schema spares the footer reads of schema inference."""
+    reader = spark.read.schema(schema_of(name)) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def load_all(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> dict[str, DataFrame]:
