@@ -18,24 +18,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from lakeloom.functions.values import DIGEST_OVER, group_key, key_text, text_of, typed_key
+from lakeloom.functions.values import DIGEST_OVER, _sql_name, group_key, is_scalar, key_text, text_of, typed_key
 from lakeloom.operators.parallel import spread
 from lakeloom.operators.transforms import q
 
 
+def _lit(text: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def column_counts(df: DataFrame, columns: Sequence[str] | None = None, table: str | None = None) -> DataFrame:
-    """Long (column, rows, non_null) for each column in one aggregate (Pass A)."""
+    """Long (column, rows, non_null) for each column in one aggregate (Pass A).
+
+    Expressions are built as SQL text: one driver call per expression instead of a tree
+    of Column calls per column, which matters on wide tables.
+    """
     cols = list(df.columns if columns is None else columns)
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    aggs += [F.count(q(c)).alias(f"__nn{i}") for i, c in enumerate(cols)]
+    aggs = [F.expr("count(1) AS __rows")]
+    aggs += [F.expr(f"count({_sql_name(c)}) AS __nn{i}") for i, c in enumerate(cols)]
     one = df.agg(*aggs)
     if not cols:
         return one.select(F.lit(None).cast("string").alias("column"), F.col("__rows").alias("rows"),
                           F.lit(0).cast("bigint").alias("non_null")).where(F.lit(False))
-    entries = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"__nn{i}").alias("non_null")) for i, c in enumerate(cols)
-    ])
-    out = one.select(F.col("__rows").alias("rows"), F.inline(entries)).select("column", "rows", "non_null")
+    entries = ", ".join(f"named_struct('column', {_lit(c)}, 'non_null', __nn{i})" for i, c in enumerate(cols))
+    out = one.select(F.col("__rows").alias("rows"), F.expr(f"inline(array({entries}))")).select(
+        "column", "rows", "non_null")
     if table is not None:
         out = out.select(F.lit(table).alias("table_name"), "*")
     return out
@@ -66,6 +74,8 @@ def long_cells(
                     F.array().cast("array<struct<column:string,value:string>>"),
                 )
             )
+        elif is_scalar(dt):
+            pieces.append(F.expr(f"array(named_struct('column', {_lit(c)}, 'value', CAST({_sql_name(c)} AS STRING)))"))
         else:
             pieces.append(F.array(F.struct(F.lit(c).alias("column"), text_of(q(c), dt).alias("value"))))
     if not pieces:

@@ -18,20 +18,24 @@ from lakeloom.operators import profilers
 REPORT_DDL = "table_name string, profile string, column_name string, metric string, num_value double, str_value string"
 
 
+def _lit(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _rows(df: DataFrame, table: str, profile: str, metrics: Sequence[str], column: str | None = "column_name",
           text: str | None = None, text_metric: str | None = None) -> DataFrame:
-    """Melt ``metrics`` columns of a profiler output into report rows."""
-    col = F.col(column) if column else F.lit(None).cast("string")
+    """Melt ``metrics`` columns of a profiler output into report rows (one SQL expression)."""
+    str_value = f"CAST(`{text}` AS STRING)" if text and text_metric is None else "CAST(NULL AS STRING)"
     entries = [
-        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("num_value"),
-                 (F.col(text).cast("string") if text and text_metric is None else F.lit(None).cast("string")).alias("str_value"))
+        f"named_struct('metric', {_lit(m)}, 'num_value', CAST(`{m}` AS DOUBLE), 'str_value', {str_value})"
         for m in metrics
     ]
     if text_metric:
-        entries.append(F.struct(F.lit(text_metric).alias("metric"), F.lit(None).cast("double").alias("num_value"),
-                                F.col(text).cast("string").alias("str_value")))
+        entries.append(f"named_struct('metric', {_lit(text_metric)}, 'num_value', CAST(NULL AS DOUBLE), "
+                       f"'str_value', CAST(`{text}` AS STRING))")
+    col = F.col(column) if column else F.lit(None).cast("string")
     return df.select(F.lit(table).alias("table_name"), F.lit(profile).alias("profile"), col.alias("column_name"),
-                     F.inline(F.array(*entries)))
+                     F.expr(f"inline(array({', '.join(entries)}))"))
 
 
 def _shape(df, t):

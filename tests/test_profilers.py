@@ -128,3 +128,22 @@ def test_describe_numeric_matches_pandas(spark):
         for ours, theirs in (("count", "count"), ("mean", "mean"), ("std", "std"), ("min", "min"), ("p25", "25%"),
                              ("p50", "50%"), ("p75", "75%"), ("max", "max")):
             assert math.isclose(float(got[c][ours]), float(want.loc[theirs, c]), rel_tol=1e-9)
+
+
+def test_awkward_column_names(spark):
+    from lakeloom.operators.tablesets import contained_columns, unique_columns_table_set
+    from lakeloom.plans.profiling import profile
+
+    names = ["event.payload", "a b", "it's", "back\\slash", "tick`name"]
+    df = spark.createDataFrame([(1, "x", 2.5, "p", True), (2, None, 2.5, "q", False)],
+                               ", ".join(f"`{n.replace('`', '``')}` {t}" for n, t in
+                                         zip(names, ["int", "string", "double", "string", "boolean"])))
+    nulls = {r.column_name: r.null_count for r in profilers.null_counts(df).collect()}
+    assert nulls == {"event.payload": 0, "a b": 1, "it's": 0, "back\\slash": 0, "tick`name": 0}
+    uniq = {r.column_name for r in profilers.unique_columns(df).collect()}
+    assert uniq == {"event.payload", "a b", "back\\slash", "tick`name"}
+    assert {r.column_name for r in unique_columns_table_set({"t": df}).collect()} == {
+        "event.payload", "a b", "back\\slash", "tick`name"}
+    assert contained_columns({"t": df}).count() == 0
+    report = profile(df, "t")
+    assert report.where("profile = 'null_counts' AND column_name = 'it''s'").count() == 2
