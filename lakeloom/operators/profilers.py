@@ -147,8 +147,10 @@ def describe_all(df: DataFrame, digits: int | None = None, **quantile_opts) -> D
     """
     text = describe_non_numeric(df)
     nums = describe_numeric(df, digits=digits, **quantile_opts)
+    # unique/freq are absent for numeric columns: doubles, as in pandas' mixed describe
     return text.unionByName(nums, allowMissingColumns=True).select(
-        "column_name", "count", "unique", "top", "freq", "mean", "std", "min", "p25", "p50", "p75", "max"
+        "column_name", "count", F.col("unique").cast("double").alias("unique"), "top",
+        F.col("freq").cast("double").alias("freq"), "mean", "std", "min", "p25", "p50", "p75", "max",
     )
 
 

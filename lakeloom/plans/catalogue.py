@@ -636,7 +636,11 @@ def oracle_sql() -> dict[str, str]:
         "table_set_shapes": _sql_table_set_shapes(),
         "describe_non_numeric": _sql_describe_non_numeric(),
         "describe_numeric": _sql_describe_numeric(),
-        "describe_all": _sql_describe_non_numeric(padded=True) + "\nUNION ALL\n" + _sql_describe_numeric("orders", True),
+        "describe_all": (
+            "SELECT column_name, count, CAST(\"unique\" AS DOUBLE) AS \"unique\", top, CAST(freq AS DOUBLE) AS freq, "
+            "mean, std, min, p25, p50, p75, max FROM ("
+            + _sql_describe_non_numeric(padded=True) + "\nUNION ALL\n" + _sql_describe_numeric("orders", True) + ")"
+        ),
         "duplicate_count": "SELECT CAST(COUNT(*) - COUNT(DISTINCT text) AS BIGINT) AS duplicate_qty FROM documents",
         "duplicate_rows": (
             "SELECT CAST(COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT role, text FROM conversations)) AS BIGINT) "
