@@ -20,6 +20,7 @@ from lakeloom.functions.json import looks_like_json, looks_like_xml
 from lakeloom.functions.patterns import is_date_text
 from lakeloom.functions.values import (
     DIGEST_OVER,
+    _sql_name,
     group_key,
     is_numeric,
     is_scalar,
@@ -120,12 +121,9 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, digits
                                          "p25 double, p50 double, p75 double, max double")
     aggs = []
     for i, c in enumerate(cols):
-        x = q(c).cast("double")
-        x = F.when(~F.isnan(x), x)
-        aggs += [
-            F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-            F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
-        ]
+        x = f"CASE WHEN NOT isnan(CAST({_sql_name(c)} AS DOUBLE)) THEN CAST({_sql_name(c)} AS DOUBLE) END"
+        aggs += [F.expr(f"{fn}({x}) AS {alias}{i}") for fn, alias in
+                 (("count", "n"), ("avg", "m"), ("stddev_samp", "s"), ("min", "lo"), ("max", "hi"))]
     # one row of moments: collected once, it also gives the quantile operator its counts
     one = df.agg(*aggs).first()
     rows = [(c, int(one[f"n{i}"]), one[f"m{i}"], one[f"s{i}"], one[f"lo{i}"], one[f"hi{i}"]) for i, c in enumerate(cols)]

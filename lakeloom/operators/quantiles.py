@@ -23,16 +23,20 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeloom.functions.values import _sql_name
 from lakeloom.operators.parallel import spread
 from lakeloom.operators.transforms import q
+from lakeloom.operators.unpivot import _lit
 
 
 def numeric_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, v) for every non-null, non-NaN numeric cell, as double."""
     if not columns:
         return df.sparkSession.createDataFrame([], "column string, v double")
-    entries = F.array(*[F.struct(F.lit(c).alias("column"), q(c).cast("double").alias("v")) for c in columns])
-    cells = spread(df.select(*[q(c) for c in columns])).select(F.inline(entries))
+    entries = ", ".join(
+        f"named_struct('column', {_lit(c)}, 'v', CAST({_sql_name(c)} AS DOUBLE))" for c in columns
+    )  # one SQL expression: a driver call per column would dominate on wide tables
+    cells = spread(df.select(*[q(c) for c in columns])).select(F.expr(f"inline(array({entries}))"))
     return cells.where(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
