@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from lakeloom.functions.patterns import semantic_type
-from lakeloom.functions.values import DIGEST_OVER, is_scalar, typed_key
+from lakeloom.functions.values import DIGEST_OVER, _sql_name, is_scalar, typed_key
 from lakeloom.operators.parallel import spread
 from lakeloom.operators.transforms import daily_slice, q
-from lakeloom.operators.unpivot import column_counts, key_stats, long_keys
+from lakeloom.operators.unpivot import _lit, column_counts, key_stats, long_keys
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -260,11 +260,11 @@ def data_dictionary(
             frames.append(first.select(F.inline(entries)).select(
                 F.col("column").alias("column_name"), F.lit(name).alias("table_name"), "text"))
         elif mode == "share":
-            entries = F.array(*[
-                F.struct(F.lit(c).alias("column"), semantic_type(q(c).cast("string"), strict, mixed).alias("dtype"))
-                for c in cols
-            ])
-            labelled = df.select(F.inline(entries))
+            entries = ", ".join(f"named_struct('column', {_lit(c)}, 'text', CAST({_sql_name(c)} AS STRING))"
+                                for c in cols)
+            # unpivot first, then one classifier over the text column (not one per column)
+            cells = spread(df.select(*[q(c) for c in cols])).select(F.expr(f"inline(array({entries}))"))
+            labelled = cells.select("column", semantic_type(F.col("text"), strict, mixed).alias("dtype"))
             counts = labelled.where(F.col("dtype").isNotNull()).groupBy("column", "dtype").agg(F.count(F.lit(1)).alias("n"))
             best = counts.groupBy("column").agg(F.max(F.struct("n", "dtype")).alias("b"))
             nonnull = column_counts(df, cols)
