@@ -13,7 +13,10 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,3 +67,31 @@ def bucket_count(rows: int, per_bucket: int, least: int = 1) -> int:
 
 def unsigned_pmod(value: Column, n: int | Column) -> Column:
     return F.pmod(value, F.lit(n) if isinstance(n, int) else n)
+
+
+def key_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """(rows, bounds) of whole runs of equal keys, from batches sorted by ``keys`` (integers).
+
+    Run r is ``rows[bounds[r]:bounds[r + 1]]``. Only an unfinished run is held back.
+    """
+    carry = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        rows = pa.Table.from_batches([b])
+        rows = pa.concat_tables([carry, rows]).combine_chunks() if carry is not None else rows
+        differ = np.zeros(rows.num_rows - 1, bool)
+        for k in keys:
+            v = rows.column(k).to_numpy()
+            differ |= v[1:] != v[:-1]
+        bounds = np.concatenate([[0], np.flatnonzero(differ) + 1])
+        if len(bounds) > 1:
+            yield rows.slice(0, bounds[-1]), bounds
+        carry = rows.slice(bounds[-1])
+    if carry is not None:
+        yield carry, np.array([0, carry.num_rows])
+
+
+def binary_matrix(column: pa.ChunkedArray, kind: str) -> np.ndarray:
+    """The rows of a binary column of equal lengths as a matrix."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import exact_dedup, mixing, packing, sharding
+from lakeloom.llm import embeddings, exact_dedup, mixing, packing, sharding
 from lakeloom.llm._shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op1_karmarkar_karp_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op2_cross_polytope_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 def op3_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
@@ -30,7 +34,7 @@ def op8_grouping_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = (
-        op1_karmarkar_karp_shards, op3_pivotal_mix, op7_digest_tree_dedup, op8_grouping_genetic_packing,
+        op1_karmarkar_karp_shards, op2_cross_polytope_vectors, op3_pivotal_mix, op7_digest_tree_dedup, op8_grouping_genetic_packing,
     )
     return {f.__name__: f for f in found}
 
