@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import embeddings, exact_dedup, mixing, packing, sharding
+from lakeloom.llm import embeddings, exact_dedup, minhash, mixing, packing, sharding
 from lakeloom.llm._shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op3_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
 
+def op5_bottom_k_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), shingle=2, percent=80)
+
+
 def op7_digest_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -34,7 +38,7 @@ def op8_grouping_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = (
-        op1_karmarkar_karp_shards, op2_cross_polytope_vectors, op3_pivotal_mix, op7_digest_tree_dedup, op8_grouping_genetic_packing,
+        op1_karmarkar_karp_shards, op2_cross_polytope_vectors, op3_pivotal_mix, op5_bottom_k_near_dedup, op7_digest_tree_dedup, op8_grouping_genetic_packing,
     )
     return {f.__name__: f for f in found}
 
