@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import embeddings, exact_dedup, minhash, mixing, packing, sharding
+from lakeloom.llm import embeddings, exact_dedup, minhash, mixing, packing, sharding, substrings
 from lakeloom.llm._shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,9 +36,14 @@ def op8_grouping_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op10_suffix_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_karmarkar_karp_shards, op2_cross_polytope_vectors, op3_pivotal_mix, op5_bottom_k_near_dedup, op7_digest_tree_dedup, op8_grouping_genetic_packing,
+        op10_suffix_automaton_dedup,
     )
     return {f.__name__: f for f in found}
 
