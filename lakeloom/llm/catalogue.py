@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import embeddings, exact_dedup, minhash, mixing, packing, sharding, substrings
+from lakeloom.llm import embeddings, exact_dedup, minhash, mixing, packing, sharding, substrings, toxicity
 from lakeloom.llm._shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,11 @@ def op5_bottom_k_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), shingle=2, percent=80)
 
 
+def op6_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity.score_documents(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op7_digest_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -42,7 +47,7 @@ def op10_suffix_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = (
-        op1_karmarkar_karp_shards, op2_cross_polytope_vectors, op3_pivotal_mix, op5_bottom_k_near_dedup, op7_digest_tree_dedup, op8_grouping_genetic_packing,
+        op1_karmarkar_karp_shards, op2_cross_polytope_vectors, op3_pivotal_mix, op5_bottom_k_near_dedup, op6_string_kernel_toxicity, op7_digest_tree_dedup, op8_grouping_genetic_packing,
         op10_suffix_automaton_dedup,
     )
     return {f.__name__: f for f in found}
