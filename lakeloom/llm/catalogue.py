@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import embeddings, exact_dedup, minhash, mixing, packing, sharding, substrings, toxicity
+from lakeloom.llm import (
+    embeddings, exact_dedup, html_text, licenses, minhash, mixing, packing, sharding, substrings, toxicity,
+)
 from lakeloom.llm._shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +26,10 @@ def op3_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
 
+def op4_nearest_url_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op5_bottom_k_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), shingle=2, percent=80)
 
@@ -41,14 +47,19 @@ def op8_grouping_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op9_conditional_compression_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op10_suffix_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def queries() -> dict[str, Query]:
     found = (
-        op1_karmarkar_karp_shards, op2_cross_polytope_vectors, op3_pivotal_mix, op5_bottom_k_near_dedup, op6_string_kernel_toxicity, op7_digest_tree_dedup, op8_grouping_genetic_packing,
-        op10_suffix_automaton_dedup,
+        op1_karmarkar_karp_shards, op2_cross_polytope_vectors, op3_pivotal_mix, op4_nearest_url_text,
+        op5_bottom_k_near_dedup, op6_string_kernel_toxicity, op7_digest_tree_dedup, op8_grouping_genetic_packing,
+        op9_conditional_compression_licenses, op10_suffix_automaton_dedup,
     )
     return {f.__name__: f for f in found}
 
