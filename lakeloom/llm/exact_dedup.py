@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm._shared import WHITE, shuffle_partitions, staged
@@ -123,6 +123,16 @@ def exact_dedup(docs: DataFrame, fan_in: int = 16) -> DataFrame:
     )
 
 
+def survivors(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``found = exact_dedup(docs)`` keeps; repeated rows once."""
+    digest = F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", "").cast("binary"), 256)
+    keep = found.where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).distinct()
+    marked = docs.withColumn("__digest", digest)
+    kept = marked.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__sha")), "left_semi")
+    first = Window.partitionBy("doc_id", "__digest").orderBy("doc_id")
+    return kept.withColumn("__copy", F.row_number().over(first)).where("__copy = 1").select(*docs.columns)
+
+
 ORACLE_SQL = r"""
 WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,

@@ -191,6 +191,18 @@ def mix_copies(docs: DataFrame, leaf: int = 256, seed: int = 0) -> DataFrame:
     )
 
 
+def repeated(docs: DataFrame, mix: DataFrame) -> DataFrame:
+    """Every row of ``docs`` as often as ``mix = mix_copies(docs)`` takes it."""
+    # rows that repeat an id with equal sizes get the same number of copies
+    copies = mix.groupBy(F.col("doc_id").alias("__id"), F.col("size").alias("__words")).agg(
+        F.max("copies").alias("__copies")
+    ).where("__copies > 0")
+    rows = docs.withColumn("__size", word_count(F.col("text")))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__size") == F.col("__words"))
+    taken = rows.join(copies, same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    return taken.select(*docs.columns)
+
+
 def mix_documents(docs: DataFrame, leaf: int = 256, seed: int = 0) -> DataFrame:
     """doc_id, size, source_size, target, taken: the words the mix takes of every row."""
     return mix_copies(docs, leaf, seed).select(
