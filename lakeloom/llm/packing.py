@@ -20,7 +20,9 @@ from __future__ import annotations
 
 import random
 import zlib
+from array import array
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -33,7 +35,7 @@ from lakeloom.llm._shared import bucket_count, staged
 
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 2048
-CACHE_WORDS = 400_000  # per worker; the cache is emptied when full, which changes no result
+CACHE_WORDS = 200_000  # per worker; the cache is emptied when full, which changes no result
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PLACED = f"{_PIECES}, bin long, offset long, fill long"
@@ -45,8 +47,23 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+_ENDING = ".,;:!?%#&*$|"  # splits from a letter before it; an apostrophe may not
+
+
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for 256 upwards."""
+    own = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 class WordIds(dict):
-    """Little-endian 32-bit ids of a white-space word, from the tokenizer on first use."""
+    """Little-endian 32-bit ids of a white-space word, from the tokenizer on first use.
+
+    The tokenizer lower-cases, normalises to NFC and splits letters from what follows them, so a
+    word of plain Latin letters goes straight to its merge model, and punctuation after it is
+    looked up by itself. Every other word goes through the whole tokenizer.
+    """
 
     def __init__(self, path: str | None = None) -> None:
         from tokenizers import Tokenizer
@@ -54,16 +71,41 @@ class WordIds(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path or tokenizer_path())
         self.tokenizer.encode_special_tokens = True
-
-    def learn(self, words: set[bytes]) -> None:
-        new = list(words.difference(self))
-        if len(self) + len(new) > CACHE_WORDS:
+        self.model = self.tokenizer.model
+        self.bytes = _byte_letters()
+        self.endings: dict[str, bytes] = {}
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def letters(self, text: str) -> bytes | None:
+        """The ids of one run of lower-case Latin letters; None for any other text."""
+        if not text.isalpha():
+            return None
+        if not text.isascii():
+            if max(text) >= "\u0130" or not is_normalized("NFC", text):
+                return None
+            text = text.encode().decode("latin-1").translate(self.bytes)
+        return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= CACHE_WORDS:
             self.clear()
-            new = list(words)
-        for i in range(0, len(new), 20_000):
-            some = new[i : i + 20_000]
-            got = self.tokenizer.encode_batch([w.decode() for w in some], add_special_tokens=False)
-            self.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(some, got))
+        text = word.decode()
+        low = text.lower()
+        stem = low.rstrip(_ENDING)
+        value = self.letters(stem)
+        if value is None:
+            value = self.whole(text)
+        elif len(stem) < len(low):
+            ending = low[len(stem) :]
+            if ending not in self.endings:
+                if len(self.endings) >= CACHE_WORDS:
+                    self.endings.clear()
+                self.endings[ending] = self.whole(ending)
+            value += self.endings[ending]
+        self[word] = value
+        return value
 
     def __call__(self, text: bytes) -> bytes:
         return b"".join(map(self.__getitem__, text.split()))
@@ -80,7 +122,6 @@ def _pieces(path: str | None, capacity: int):
             for at in range(0, whole.num_rows, 500):
                 b = whole.slice(at, 500)
                 texts = pc.fill_null(b.column(1).cast(pa.string()), "").cast(pa.binary()).to_pylist()
-                ids.learn(set().union(*(t.split() for t in texts)))
                 out = []
                 for doc, text in zip(b.column(0).to_pylist(), texts):
                     data = ids(text) + b"\0\0\0\0"
