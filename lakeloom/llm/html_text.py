@@ -8,10 +8,10 @@ neighbour that shares the page's longest line is a copy of the page, says nothin
 template and is not used.
 
 Differencing alone can't give right results where a template's words change from page to page, or
-where neighbours share a sentence of their articles, so markup decides first: lines inside an
-``article`` or ``main`` element are kept as they are, elements that are navigation, headers, footers,
-sidebars, notices, adverts, forms or comments by tag, class, id or role are dropped, and
-differencing decides on the lines that markup leaves open.
+where neighbours share a sentence of their articles, so markup corrects it. Every page is aligned
+with its neighbours over all its lines, but lines inside an ``article`` or ``main`` element are not
+deleted for being shared, and elements that are navigation, headers, footers, sidebars, notices,
+adverts, forms or comments by tag, class, id or role go even if no neighbour has them.
 
 The neighbours are found over rows of a few hashes, range-partitioned by (host, path), so a host
 with a third of all pages spans many tasks; the pages at a partition's edges meet in a second,
@@ -151,16 +151,16 @@ def page_lines(html: str) -> list[tuple[str, bool, bool]]:
     return lines
 
 
-def open_lines(lines: list[tuple[str, bool, bool]]) -> bool:
-    """Whether markup names no main element, so that differencing decides."""
-    return not any(main and not dropped for _, main, dropped in lines)
+def open_lines(lines: list[tuple[str, bool, bool]]) -> list[int]:
+    """Numbers of the lines that markup leaves to differencing: none where it names the main element."""
+    if any(main and not dropped for _, main, dropped in lines):
+        return []
+    return [k for k, (_, _, dropped) in enumerate(lines) if not dropped]
 
 
 def main_text(lines: list[tuple[str, bool, bool]], deleted: set[int]) -> str:
-    undecided = open_lines(lines)
-    return " ".join(
-        text for k, (text, main, dropped) in enumerate(lines) if not dropped and (main or undecided and k not in deleted)
-    )
+    kept = set(open_lines(lines)) - deleted
+    return " ".join(text for k, (text, main, dropped) in enumerate(lines) if k in kept or main and not dropped)
 
 
 def common_lines(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
@@ -200,24 +200,26 @@ def _place(url: str | None) -> tuple[str, str]:
     return (m.group(1).lower(), m.group(2)) if m else ("", (url or "").partition("?")[0].partition("#")[0])
 
 
-_LIGHT = "page_id long, mark long, host string, path string, hashes array<long>, longest int"
+_LIGHT = "page_id long, mark long, host string, path string, hashes array<long>, open array<int>, longest int"
 
 
 def _light(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pages that markup leaves open: place and line hashes."""
+    """Place, line hashes, lines open to deletion and longest content line of every page."""
     for b in batches:
         out = []
         for page, url, html, mark in zip(*(c.to_pylist() for c in b.columns)):
             lines = page_lines(html) if html else []
-            if lines and open_lines(lines):
+            if lines:
                 hashes = [xxhash.xxh64_intdigest(text) - (1 << 63) for text, _, _ in lines]
                 sizes = [-1 if dropped else len(text) for text, _, dropped in lines]
-                out.append((page, mark, *_place(url), hashes, sizes.index(max(sizes))))
-        cols = list(zip(*out)) or [()] * 6
-        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.int32())
+                out.append((page, mark, *_place(url), hashes, open_lines(lines), sizes.index(max(sizes))))
+        cols = list(zip(*out)) or [()] * 7
+        kinds = (
+            pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int32(),
+        )
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(cols, kinds)],
-            names=["page_id", "mark", "host", "path", "hashes", "longest"],
+            names=["page_id", "mark", "host", "path", "hashes", "open", "longest"],
         )
 
 
@@ -227,12 +229,13 @@ def _shared_by(a: dict, b: dict) -> list[tuple]:
         return []
     out = []
     for page, places in zip((a, b), common_lines(a["hashes"], b["hashes"])):
-        if places and page["longest"] not in places:
-            out.append((page["page_id"], page["mark"], places))
+        deleted = sorted(set(page["open"]).intersection(places)) if page["longest"] not in places else []
+        if deleted:
+            out.append((page["page_id"], page["mark"], deleted))
     return out
 
 
-_DELETED = "page_id long, mark long, deleted array<int>, edge struct<part:int,last:boolean,page_id:long,mark:long,host:string,path:string,hashes:array<long>,longest:int>"
+_DELETED = "page_id long, mark long, deleted array<int>, edge struct<part:int,last:boolean,page_id:long,mark:long,host:string,path:string,hashes:array<long>,open:array<int>,longest:int>"
 
 
 def _neighbours(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
