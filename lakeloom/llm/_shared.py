@@ -27,8 +27,16 @@ from lakeloom.session import checkpoint_root
 WHITE = b" \t\n\x0b\x0c\r"
 
 
+# Whole texts differ by orders of magnitude in size, so batches for Python are bounded by bytes.
+BATCH_BYTES = 8 << 20
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send this package's source to the executors, once per application (a small zip)."""
+    """Send this package's source to the executors, once per application (a small zip).
+
+    Also bounds the session's Arrow batches by bytes, as row counts alone don't bound memory.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     sc = spark.sparkContext
     if getattr(sc, "_lakeloom_shipped", False):
         return

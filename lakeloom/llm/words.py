@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-CACHE_WORDS = 500_000
+CACHE_WORDS = 100_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
