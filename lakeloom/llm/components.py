@@ -1,8 +1,8 @@
 """Connected components over an edge table, by alternating large-star and small-star rounds.
 
 Every round is a partial-aggregated minimum per vertex and a join back to the edges; a hub
-vertex is pre-aggregated before the shuffle and its join partition can be split by adaptive
-execution. Vertices and edges never leave the cluster; the driver sees two numbers a round.
+vertex is pre-aggregated before the shuffle, and as the minima are written first, adaptive
+execution can split its join partition. Vertices and edges never leave the cluster; the driver sees two numbers a round.
 """
 
 from __future__ import annotations
@@ -15,13 +15,13 @@ from lakeloom.llm._shared import staged
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    low = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc-low")
     return both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
-    low = down.groupBy("u").agg(F.min("v").alias("m"))
+    low = staged(down.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
     linked = down.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
     return linked.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
 

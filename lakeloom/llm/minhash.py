@@ -172,8 +172,13 @@ def near_links(docs: DataFrame, reps: DataFrame, shingle: int, percent: int, k:
     """(id, component) of the class representatives that have a link."""
     keys = F.expr("transform(sequence(0, greatest(size(sketch) - 2, 0)), i -> xxhash64(sketch[i], get(sketch, i + 1)))")
     postings = reps.select("rep", F.explode(keys).alias("key"))
-    heads = postings.groupBy("key").agg(F.min("rep").alias("head"), F.max("rep").alias("last"), F.count("*").alias("m"))
-    lists = staged(postings.join(heads.where("head < last"), "key").select("key", "rep", "head", "m"), "near-lists")
+    # the aggregates are written, so that either side of a join is a shuffle that skew handling can split
+    heads = staged(
+        postings.groupBy("key").agg(F.min("rep").alias("head"), F.max("rep").alias("last"), F.count("*").alias("m"))
+        .where("head < last").select("key", "head", "m"),
+        "near-heads",
+    )
+    lists = staged(postings.join(heads, "key").select("key", "rep", "head", "m"), "near-lists")
     star = lists.where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct()
     links = confirmed(estimated(star, reps, percent, k), docs, shingle, percent)
     comps = staged(connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "near-parts")
@@ -181,7 +186,11 @@ def near_links(docs: DataFrame, reps: DataFrame, shingle: int, percent: int, k:
     long_lists = lists.where("m > 2").join(comps.withColumnRenamed("id", "rep"), "rep", "left").select(
         "key", "rep", "m", F.coalesce("component", "rep").alias("comp")
     )
-    several = long_lists.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+    long_lists = staged(long_lists, "near-long-lists")
+    several = staged(
+        long_lists.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key"),
+        "near-several",
+    )
     blocks = F.ceil(F.col("m") / block).cast("int")
     units = (
         long_lists.join(several, "key")

@@ -68,17 +68,15 @@ def regions(words: np.ndarray, window: int = WINDOW, anchor: int = ANCHOR) -> tu
     """(anchor hash, region hash, first window, windows) of every region of a document."""
     if len(words) < window:
         return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.int32),) * 2
-    g = ngram_hashes(words, anchor)
-    span, size, at = window - anchor + 1, 1, np.arange(len(g))
+    low = ngram_hashes(words, anchor)
+    span, size = window - anchor + 1, 1
     while 2 * size <= span:
-        a, b = at[:-size], at[size:]
-        at, size = np.where(g[a] <= g[b], a, b), 2 * size
-    a, b = at[: len(at) - (span - size)], at[span - size :]
-    at = np.where(g[a] <= g[b], a, b)
-    first = np.concatenate([[0], np.flatnonzero(np.diff(at)) + 1])
-    count = np.diff(np.append(first, len(at)))
+        low, size = np.minimum(low[:-size], low[size:]), 2 * size
+    low = np.minimum(low[: len(low) - (span - size)], low[span - size :])
+    first = np.concatenate([[0], np.flatnonzero(low[1:] != low[:-1]) + 1])
+    count = np.diff(np.append(first, len(low)))
     hashes = _span_hashes(words, first, first + count + window - 1)
-    return g[at[first]].view(np.int64), hashes, first.astype(np.int32), count.astype(np.int32)
+    return low[first].view(np.int64), hashes, first.astype(np.int32), count.astype(np.int32)
 
 
 class SuffixAutomaton:
@@ -271,17 +269,24 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     """(doc_id, s, e): spans of word positions that repeat a smaller document; they may overlap."""
     docs = docs.where("doc_id IS NOT NULL")
     found = staged(docs.mapInArrow(_scan(window, anchor), _REGIONS), "regions")
-    anchors = found.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
-    shared = staged(found.join(anchors.select("anchor"), "anchor", "left_semi"), "shared-regions")
-    holders = shared.groupBy("anchor", "region").agg(F.min("doc_id").alias("holder"))
+    # the aggregates are written, so that either side of a join is a shuffle that skew handling can split
+    anchors = staged(
+        found.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
+        .select("anchor"),
+        "shared-anchors",
+    )
+    shared = staged(found.join(anchors, "anchor", "left_semi"), "shared-regions")
+    holders = staged(shared.groupBy("anchor", "region").agg(F.min("doc_id").alias("holder")), "region-holders")
     owned = staged(shared.join(holders, ["anchor", "region"]), "owned-regions")
     whole = owned.where("doc_id > holder").select(
         "doc_id", F.col("first").alias("s"), (F.col("first") + F.col("windows") + F.lit(window - 1)).alias("e")
     )
     firsts = owned.where("doc_id = holder")
-    crowds = firsts.groupBy("anchor").agg(
-        F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n")
-    ).where("lo < hi").select("anchor", (F.col("n") > most).alias("hot"))
+    crowds = staged(
+        firsts.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n"))
+        .where("lo < hi").select("anchor", (F.col("n") > most).alias("hot")),
+        "region-crowds",
+    )
     wanted = staged(
         firsts.join(crowds, "anchor").groupBy("doc_id").agg(
             F.collect_list(F.struct("anchor", "first", "windows", "hot")).alias("wanted")
@@ -297,7 +302,10 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
         .sortWithinPartitions("key", "doc_id", "first").mapInArrow(_stream(window), _SPANS)
     )
     crowded = words.where("hot").select("key", "doc_id", "first")
-    earliest = crowded.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
+    earliest = staged(
+        crowded.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi"),
+        "crowded-windows",
+    )
     repeats = crowded.join(earliest, "key").where("doc_id > lo").select(
         "doc_id", F.col("first").alias("s"), (F.col("first") + window).cast("int").alias("e")
     )
