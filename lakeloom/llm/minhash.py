@@ -10,10 +10,15 @@ No list is ever expanded into all its pairs:
 1. star: every member of a list is paired with the list's smallest member. The union-sketch
    estimate filters the pairs, the exact Jaccard similarity of the full sets confirms them, and
    the confirmed links form components - a large group of near copies is one component now.
-2. rest: only lists whose members still lie in several components go on. They are cut into
-   blocks; each pair of blocks is one unit of work that counts retained values shared by members
-   of different components, and emits the pairs with enough overlap for 0.8. These, too, are
-   estimated and confirmed exactly, and the components are formed again from all links.
+2. rest: only lists whose members still lie in several components go on, with the classes that meet
+   other components in at least ``LEAST_LISTS`` of their lists. They are cut into blocks; each pair
+   of blocks is one unit of work that counts retained values shared by members of different
+   components, and names the classes that have enough in common with one for 0.8. Nothing is
+   written per pair. For the named classes alone the full sets are made and the shingles that no
+   other named class holds are counted: a set of n shingles, r of them held by others, can reach
+   0.8 only with a set of at most 2.25 r - n shingles. The units go through once more, and emit the
+   pairs that this bound leaves open; those are estimated and confirmed exactly as before. (In a
+   family of copies with many edits each, nearly all pairs fail the bound from both sides.)
 
 Every link of different components that a list holds is therefore tested; links inside a component
 change no result. Full sets are made from the texts again, for candidates only.
@@ -41,8 +46,9 @@ from lakeloom.llm.words import shingle_set
 SHINGLE = 5
 PERCENT = 80
 K = 32
-LEAST_SHARE = 0.34  # of a union sketch: below it, a similarity of 0.8 has a chance under 1e-8
-BLOCK = 256
+LEAST_SHARE = 0.43  # of a union sketch: a similarity of 0.8 stays below it with a chance of 1e-6
+LEAST_LISTS = 3  # of 31: a similarity of 0.8 shares fewer with a chance under 1e-6
+BLOCK = 1024
 
 _SETS = "doc_id long, n long, c1 long, c2 long, sketch array<long>"
 
@@ -105,62 +111,86 @@ def estimated(pairs: DataFrame, reps: DataFrame, percent: int, k: int) -> DataFr
     ).select("a", "b")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+def full_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, shingles): the whole shingle sets of the documents ``ids(doc_id)``."""
+    sets = docs.join(staged(ids.distinct(), "near-needed"), "doc_id", "left_semi")
+    return staged(sets.mapInArrow(_full_sets(shingle), "doc_id long, shingles array<long>"), "near-sets")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough; exact."""
-    pairs = staged(pairs, "near-candidates")
-    needed = staged(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "near-needed")
-    sets = docs.join(needed, "doc_id", "left_semi").mapInArrow(_full_sets(shingle), "doc_id long, shingles array<long>")
-    sets = staged(sets, "near-sets")
     # the set of b travels to a: the smallest member of a large list is not copied for its partners
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
     both = pairs.join(right, "b").join(left, "a")
     both = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"), (F.size("sa") + F.size("sb")).alias("s"))
-    return staged(both.where(100 * F.col("i") >= percent * (F.col("s") - F.col("i"))).select("a", "b").distinct(), "near-links")
+    return staged(both.where(100 * F.col("i") >= percent * (F.col("s") - F.col("i"))).select("a", "b"), "near-links")
+
+
+def largest_partner(sets: DataFrame, percent: int) -> DataFrame:
+    """(rep, most): the largest set that a set could be similar to, as its own shingles go unmatched."""
+    alone = sets.select("doc_id", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(
+        F.count("*").alias("n"), F.min("doc_id").alias("rep")
+    ).where("n = 1").groupBy("rep").agg(F.count("*").alias("own"))
+    sized = sets.select(F.col("doc_id").alias("rep"), F.size("shingles").alias("n")).distinct()
+    held = F.col("n") - F.coalesce("own", F.lit(0))
+    most = F.floor(held * ((100 + percent) / percent) + 1e-6).cast("long") - F.col("n")
+    return sized.join(alone, "rep", "left").select("rep", most.alias("most"))
 
 
 _PAIRS = "a long, b long"
 
 
-def _overlaps(sketches: list[np.ndarray]) -> np.ndarray:
-    """Numbers of values shared by every two sketches."""
+def _open_pairs(sketches: list[np.ndarray], open_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the ``open_`` pairs that share enough retained values."""
+    size = np.array([len(s) for s in sketches])
     flat = np.concatenate(sketches)
-    row = np.repeat(np.arange(len(sketches)), [len(s) for s in sketches])
-    _, value = np.unique(flat, return_inverse=True)
-    times = np.bincount(value)
+    row = np.repeat(np.arange(len(sketches)), size)
+    _, value, times = np.unique(flat, return_inverse=True, return_counts=True)
     shared = times[value] > 1
-    _, value = np.unique(value[shared], return_inverse=True)
-    table = np.zeros((len(sketches), value.max(initial=-1) + 1), np.float32)
-    table[row[shared], value] = 1
-    return table @ table.T
-
-
-def _cross_pairs(percent: int):
-    """Pairs of members of different components that share enough retained values."""
+    row, value = row[shared], value[shared]
+    found = []
+    for at in range(0, len(sketches), 256):
+        mine = (row >= at) & (row < at + 256)
+        kinds, column = np.unique(value[mine], return_inverse=True)
+        place = np.searchsorted(kinds, value)
+        known = (place < len(kinds)) & (kinds[np.minimum(place, max(len(kinds) - 1, 0))] == value) if len(kinds) else mine
+        left = np.zeros((min(256, len(sketches) - at), len(kinds)), np.float32)
+        left[row[mine] - at, column] = 1
+        right = np.zeros((len(sketches), len(kinds)), np.float32)
+        right[row[known], place[known]] = 1
+        enough = left @ right.T >= LEAST_SHARE * np.minimum(size[at : at + 256, None], size[None, :])
+        i, j = np.nonzero(enough & open_[at : at + 256])
+        found.append((i + at, j))
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def _cross_pairs(percent: int, names_only: bool):
+    """Pairs of members of different components that share enough retained values, or their names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, bounds in key_runs(batches, ["key", "x", "y"]):
             rep, comp = rows.column("rep").to_numpy(), rows.column("comp").to_numpy()
-            n, side = rows.column("n").to_numpy(), rows.column("side").to_numpy()
+            n, most, side = (rows.column(c).to_numpy() for c in ("n", "most", "side"))
             one = rows.column("x").to_numpy() == rows.column("y").to_numpy()
             lists = rows.column("sketch").combine_chunks()
             values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
             out = []
             for s, e in zip(bounds[:-1], bounds[1:]):
-                if e - s < 2:
+                c, m, t = comp[s:e], n[s:e], most[s:e]
+                if e - s < 2 or (c == c[0]).all():
                     continue
-                c, m = comp[s:e], n[s:e]
                 open_ = c[:, None] != c[None, :]
                 if not one[s]:
                     open_ &= side[s:e][:, None] != side[s:e][None, :]
                 open_ &= 100 * np.minimum(m[:, None], m[None, :]) >= percent * np.maximum(m[:, None], m[None, :])
+                open_ &= (m[:, None] <= t[None, :]) & (m[None, :] <= t[:, None])
+                open_ = np.triu(open_, 1)
                 if not open_.any():
                     continue
-                sketches = [values[offsets[r] : offsets[r + 1]] for r in range(s, e)]
-                size = np.diff(offsets[s : e + 1])
-                enough = _overlaps(sketches) >= LEAST_SHARE * np.minimum(size[:, None], size[None, :])
-                i, j = np.nonzero(np.triu(open_ & enough, 1))
-                out.append(np.sort(np.stack([rep[s:e][i], rep[s:e][j]], axis=1), axis=1))
+                i, j = _open_pairs([values[offsets[r] : offsets[r + 1]] for r in range(s, e)], open_)
+                pairs = np.stack([rep[s:e][i], rep[s:e][j]], axis=1)
+                out.append(np.unique(pairs)[:, None].repeat(2, axis=1) if names_only else np.sort(pairs, axis=1))
             if out:
                 m = np.unique(np.concatenate(out), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(m[:, 0]), pa.array(m[:, 1])], names=["a", "b"])
@@ -168,6 +198,27 @@ def _cross_pairs(percent: int):
     return run
 
 
+def _cross(members: DataFrame, reps: DataFrame, percent: int, block: int, names_only: bool) -> DataFrame:
+    """(a, b) found in the lists ``members(key, rep, comp, most)``; no task holds more than two blocks."""
+    sizes = staged(members.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "near-blocks")
+    return (
+        members.join(sizes, "key")
+        .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("key", "rep", "comp", "most", F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"),
+                (F.col("own") <= F.col("with")).cast("int").alias("side"))
+        .join(reps.select("rep", "n", "sketch"), "rep")
+        .repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+        .mapInArrow(_cross_pairs(percent, names_only), _PAIRS).distinct()
+    )
+
+
+def _several(members: DataFrame) -> DataFrame:
+    """The members of lists that hold more than one component."""
+    keys = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+    return members.join(staged(keys, "near-several"), "key", "left_semi")
+
+
 def near_links(docs: DataFrame, reps: DataFrame, shingle: int, percent: int, k: int, block: int) -> DataFrame:
     """(id, component) of the class representatives that have a link."""
     keys = F.expr("transform(sequence(0, greatest(size(sketch) - 2, 0)), i -> xxhash64(sketch[i], get(sketch, i + 1)))")
@@ -180,31 +231,30 @@ def near_links(docs: DataFrame, reps: DataFrame, shingle: int, percent: int, k:
     )
     lists = staged(postings.join(heads, "key").select("key", "rep", "head", "m"), "near-lists")
     star = lists.where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct()
-    links = confirmed(estimated(star, reps, percent, k), docs, shingle, percent)
+    likely = staged(estimated(star, reps, percent, k), "near-star")
+    ends = likely.select(F.col("a").alias("doc_id")).union(likely.select("b"))
+    links = confirmed(likely, full_sets(docs, ends, shingle), percent)
     comps = staged(connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "near-parts")
 
-    long_lists = lists.where("m > 2").join(comps.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "key", "rep", "m", F.coalesce("component", "rep").alias("comp")
-    )
-    long_lists = staged(long_lists, "near-long-lists")
-    several = staged(
-        long_lists.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key"),
-        "near-several",
-    )
-    blocks = F.ceil(F.col("m") / block).cast("int")
-    units = (
-        long_lists.join(several, "key")
-        .withColumn("own", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-        .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("key", "rep", "comp", F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"),
-                (F.col("own") <= F.col("with")).cast("int").alias("side"))
-        .join(reps.select("rep", "n", "sketch"), "rep")
-    )
-    cross = (
-        units.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(_cross_pairs(percent), _PAIRS)
-        .distinct().join(star, ["a", "b"], "left_anti")
+    members = staged(
+        _several(
+            lists.where("m > 2").join(comps.withColumnRenamed("id", "rep"), "rep", "left").select(
+                "key", "rep", F.coalesce("component", "rep").alias("comp")
+            )
+        ),
+        "near-members",
     )
-    more = confirmed(estimated(cross, reps, percent, k), docs, shingle, percent)
+    # a class whose own keys are fewer (a small set) needs all of them at most
+    often = members.groupBy("rep").agg(F.count("*").alias("lists")).join(reps.select("rep", "n"), "rep").where(
+        F.col("lists") >= F.least(F.lit(LEAST_LISTS), F.greatest(F.lit(1), F.col("n") - F.lit(k // 4)))
+    ).select("rep")
+    members = staged(_several(members.join(staged(often, "near-often"), "rep", "left_semi")), "near-members")
+    unbounded = members.withColumn("most", F.lit(2**62))
+    named = staged(_cross(unbounded, reps, percent, block, True).select(F.col("a").alias("rep")), "near-named")
+    sets = full_sets(docs, named.select(F.col("rep").alias("doc_id")), shingle)
+    bounds = staged(largest_partner(sets, percent), "near-bounds")
+    cross = _cross(members.join(bounds, "rep"), reps, percent, block, False).join(star, ["a", "b"], "left_anti")
+    more = confirmed(estimated(cross, reps, percent, k), sets, percent)
     return connected_components(links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
