@@ -13,14 +13,14 @@ No list is ever expanded into all its pairs:
 2. rest: only lists whose members still lie in several components go on, with the classes that meet
    other components in at least ``LEAST_LISTS`` of their lists. They are cut into blocks; each pair
    of blocks is one unit of work that counts retained values shared by members of different
-   components, and names the classes that have enough in common with one for 0.8. Nothing is
-   written per pair. For the named classes alone the full sets are made and the shingles that no
-   other named class holds are counted: a set of n shingles, r of them held by others, can reach
-   0.8 only with a set of at most 2.25 r - n shingles. The units go through once more, and emit the
-   pairs that this bound leaves open; those are estimated and confirmed exactly as before. (In a
-   family of copies with many edits each, nearly all pairs fail the bound from both sides.)
-
-Every link of different components that a list holds is therefore tested; links inside a component
+   components, and emits a spanning forest of the pairs that have enough in common for 0.8 -
+   nothing per pair. The trees join up to families, which every pair still open lies in.
+3. families: a family is cut into blocks by the number of its shingles. Each pair of blocks is a
+   unit that compares all its members exactly, on their full sets, and emits a spanning forest of
+   the links. (In a family of copies with many edits each, most pairs fall short of 0.8; they are
+   compared inside the unit, but never written.) The components are formed again from all links.
+
+Every pair of different components that shares a list is therefore tested; links inside a component
 change no result. Full sets are made from the texts again, for candidates only.
 
 Defined cases: a null, empty or all-white text has the empty set and links with nothing; a text
@@ -48,7 +48,8 @@ PERCENT = 80
 K = 32
 LEAST_SHARE = 0.43  # of a union sketch: a similarity of 0.8 stays below it with a chance of 1e-6
 LEAST_LISTS = 3  # of 31: a similarity of 0.8 shares fewer with a chance under 1e-6
-BLOCK = 1024
+BLOCK = 2048  # classes of a list in one block
+BLOCK_SHINGLES = 500_000  # shingles of a family in one block
 
 _SETS = "doc_id long, n long, c1 long, c2 long, sketch array<long>"
 
@@ -127,99 +128,136 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return staged(both.where(100 * F.col("i") >= percent * (F.col("s") - F.col("i"))).select("a", "b"), "near-links")
 
 
-def largest_partner(sets: DataFrame, percent: int) -> DataFrame:
-    """(rep, most): the largest set that a set could be similar to, as its own shingles go unmatched."""
-    alone = sets.select("doc_id", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(
-        F.count("*").alias("n"), F.min("doc_id").alias("rep")
-    ).where("n = 1").groupBy("rep").agg(F.count("*").alias("own"))
-    sized = sets.select(F.col("doc_id").alias("rep"), F.size("shingles").alias("n")).distinct()
-    held = F.col("n") - F.coalesce("own", F.lit(0))
-    most = F.floor(held * ((100 + percent) / percent) + 1e-6).cast("long") - F.col("n")
-    return sized.join(alone, "rep", "left").select("rep", most.alias("most"))
+_FOREST = "u long, v long"
 
 
-_PAIRS = "a long, b long"
+def _forest(batches_of: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """(rep, smallest rep of its tree) for (reps, i, j): links i[k] - j[k] between positions of reps."""
+    out = []
+    for rep, i, j in batches_of:
+        label = np.arange(len(rep))
+        while True:
+            before = label.copy()
+            np.minimum.at(label, i, label[j])
+            np.minimum.at(label, j, label[i])
+            label = label[label]
+            if (label == before).all():
+                break
+        tied = label != np.arange(len(rep))
+        out.append(np.stack([rep[tied], rep[label[tied]]], axis=1))
+    m = np.unique(np.concatenate(out), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(m[:, 0]), pa.array(m[:, 1])], names=["u", "v"])
 
 
 def _open_pairs(sketches: list[np.ndarray], open_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row and column of the ``open_`` pairs that share enough retained values."""
     size = np.array([len(s) for s in sketches])
-    flat = np.concatenate(sketches)
     row = np.repeat(np.arange(len(sketches)), size)
-    _, value, times = np.unique(flat, return_inverse=True, return_counts=True)
+    _, value, times = np.unique(np.concatenate(sketches), return_inverse=True, return_counts=True)
     shared = times[value] > 1
     row, value = row[shared], value[shared]
+    column = np.full(len(times), -1)
     found = []
-    for at in range(0, len(sketches), 256):
-        mine = (row >= at) & (row < at + 256)
-        kinds, column = np.unique(value[mine], return_inverse=True)
-        place = np.searchsorted(kinds, value)
-        known = (place < len(kinds)) & (kinds[np.minimum(place, max(len(kinds) - 1, 0))] == value) if len(kinds) else mine
-        left = np.zeros((min(256, len(sketches) - at), len(kinds)), np.float32)
-        left[row[mine] - at, column] = 1
-        right = np.zeros((len(sketches), len(kinds)), np.float32)
-        right[row[known], place[known]] = 1
-        enough = left @ right.T >= LEAST_SHARE * np.minimum(size[at : at + 256, None], size[None, :])
-        i, j = np.nonzero(enough & open_[at : at + 256])
+    for at in range(0, len(sketches), 128):
+        mine = (row >= at) & (row < at + 128)
+        kinds = np.unique(value[mine])
+        column[kinds] = np.arange(len(kinds))
+        known = column[value] >= 0
+        table = np.zeros((len(sketches), len(kinds)), np.float32)
+        table[row[known], column[value[known]]] = 1
+        column[kinds] = -1
+        enough = table[at : at + 128] @ table.T >= LEAST_SHARE * np.minimum(size[at : at + 128, None], size[None, :])
+        i, j = np.nonzero(enough & open_[at : at + 128])
         found.append((i + at, j))
-    return tuple(np.concatenate(c) for c in zip(*found))
+    i, j = zip(*found)
+    return np.concatenate(i), np.concatenate(j)
 
 
-def _cross_pairs(percent: int, names_only: bool):
-    """Pairs of members of different components that share enough retained values, or their names."""
+def _likely(percent: int):
+    """Forest of the pairs of different components in a list that share enough retained values."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, bounds in key_runs(batches, ["key", "x", "y"]):
             rep, comp = rows.column("rep").to_numpy(), rows.column("comp").to_numpy()
-            n, most, side = (rows.column(c).to_numpy() for c in ("n", "most", "side"))
+            n, side = rows.column("n").to_numpy(), rows.column("side").to_numpy()
             one = rows.column("x").to_numpy() == rows.column("y").to_numpy()
             lists = rows.column("sketch").combine_chunks()
             values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
             out = []
             for s, e in zip(bounds[:-1], bounds[1:]):
-                c, m, t = comp[s:e], n[s:e], most[s:e]
+                c, m = comp[s:e], n[s:e]
                 if e - s < 2 or (c == c[0]).all():
                     continue
                 open_ = c[:, None] != c[None, :]
                 if not one[s]:
                     open_ &= side[s:e][:, None] != side[s:e][None, :]
                 open_ &= 100 * np.minimum(m[:, None], m[None, :]) >= percent * np.maximum(m[:, None], m[None, :])
-                open_ &= (m[:, None] <= t[None, :]) & (m[None, :] <= t[:, None])
                 open_ = np.triu(open_, 1)
-                if not open_.any():
-                    continue
-                i, j = _open_pairs([values[offsets[r] : offsets[r + 1]] for r in range(s, e)], open_)
-                pairs = np.stack([rep[s:e][i], rep[s:e][j]], axis=1)
-                out.append(np.unique(pairs)[:, None].repeat(2, axis=1) if names_only else np.sort(pairs, axis=1))
+                if open_.any():
+                    i, j = _open_pairs([values[offsets[r] : offsets[r + 1]] for r in range(s, e)], open_)
+                    out.append((rep[s:e], i, j))
+            if out:
+                yield _forest(out)
+
+    return run
+
+
+def _exact(percent: int):
+    """Forest of the pairs of a family whose full sets are similar enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, bounds in key_runs(batches, ["key", "x", "y"]):
+            rep, side = rows.column("rep").to_numpy(), rows.column("side").to_numpy()
+            one = rows.column("x").to_numpy() == rows.column("y").to_numpy()
+            lists = rows.column("shingles").combine_chunks()
+            values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+            out = []
+            for s, e in zip(bounds[:-1], bounds[1:]):
+                at = offsets[s : e + 1] - offsets[s]
+                size = np.diff(at)
+                kinds, ids = np.unique(values[offsets[s] : offsets[e]], return_inverse=True)
+                mark = np.zeros(len(kinds), np.int32)
+                i, j = [], []
+                for k in range(e - s - 1):
+                    mine = ids[at[k] : at[k + 1]]
+                    mark[mine] = 1
+                    both = np.add.reduceat(mark[ids[at[k + 1] :]], at[k + 1 : -1] - at[k + 1])
+                    mark[mine] = 0
+                    near = 100 * both >= percent * (size[k + 1 :] + size[k] - both)
+                    if not one[s]:
+                        near &= side[s + k + 1 : e] != side[s + k]
+                    hit = np.flatnonzero(near) + k + 1
+                    i.append(np.full(len(hit), k))
+                    j.append(hit)
+                if i:
+                    out.append((rep[s:e], np.concatenate(i), np.concatenate(j)))
             if out:
-                m = np.unique(np.concatenate(out), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(m[:, 0]), pa.array(m[:, 1])], names=["a", "b"])
+                yield _forest(out)
 
     return run
 
 
-def _cross(members: DataFrame, reps: DataFrame, percent: int, block: int, names_only: bool) -> DataFrame:
-    """(a, b) found in the lists ``members(key, rep, comp, most)``; no task holds more than two blocks."""
-    sizes = staged(members.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "near-blocks")
-    return (
-        members.join(sizes, "key")
-        .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("key", "rep", "comp", "most", F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"),
-                (F.col("own") <= F.col("with")).cast("int").alias("side"))
-        .join(reps.select("rep", "n", "sketch"), "rep")
-        .repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-        .mapInArrow(_cross_pairs(percent, names_only), _PAIRS).distinct()
+def _units(members: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``members`` with a pair of blocks (x <= y) of their key, for each pair they take part in."""
+    own = members.join(blocks, "key").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    dealt = own.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return dealt.select(
+        *members.columns, F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"),
+        (F.col("own") <= F.col("with")).cast("int").alias("side"),
     )
 
 
+def _sorted_units(units: DataFrame) -> DataFrame:
+    return units.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+
+
 def _several(members: DataFrame) -> DataFrame:
     """The members of lists that hold more than one component."""
     keys = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
     return members.join(staged(keys, "near-several"), "key", "left_semi")
 
 
-def near_links(docs: DataFrame, reps: DataFrame, shingle: int, percent: int, k: int, block: int) -> DataFrame:
+def near_links(docs: DataFrame, reps: DataFrame, shingle: int, percent: int, k: int) -> DataFrame:
     """(id, component) of the class representatives that have a link."""
     keys = F.expr("transform(sequence(0, greatest(size(sketch) - 2, 0)), i -> xxhash64(sketch[i], get(sketch, i + 1)))")
     postings = reps.select("rep", F.explode(keys).alias("key"))
@@ -249,18 +287,20 @@ def near_links(docs: DataFrame, reps: DataFrame, shingle: int, percent: int, k:
         F.col("lists") >= F.least(F.lit(LEAST_LISTS), F.greatest(F.lit(1), F.col("n") - F.lit(k // 4)))
     ).select("rep")
     members = staged(_several(members.join(staged(often, "near-often"), "rep", "left_semi")), "near-members")
-    unbounded = members.withColumn("most", F.lit(2**62))
-    named = staged(_cross(unbounded, reps, percent, block, True).select(F.col("a").alias("rep")), "near-named")
-    sets = full_sets(docs, named.select(F.col("rep").alias("doc_id")), shingle)
-    bounds = staged(largest_partner(sets, percent), "near-bounds")
-    cross = _cross(members.join(bounds, "rep"), reps, percent, block, False).join(star, ["a", "b"], "left_anti")
-    more = confirmed(estimated(cross, reps, percent, k), sets, percent)
-    return connected_components(links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v")))
-
-
-def near_duplicates(
-    docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, k: int = K, block: int = BLOCK
-) -> DataFrame:
+    blocks = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    units = _units(members, staged(blocks, "near-blocks")).join(reps.select("rep", "n", "sketch"), "rep")
+    trees = _sorted_units(units).mapInArrow(_likely(percent), _FOREST)
+
+    families = staged(connected_components(trees).select(F.col("id").alias("rep"), F.col("component").alias("key")), "near-families")
+    sets = full_sets(docs, families.select(F.col("rep").alias("doc_id")), shingle).withColumnRenamed("doc_id", "rep")
+    sized = sets.select("rep", F.size("shingles").alias("n")).join(families, "rep")
+    blocks = sized.groupBy("key").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    units = _units(families, staged(blocks, "near-blocks")).join(sets, "rep")
+    more = staged(_sorted_units(units).mapInArrow(_exact(percent), _FOREST), "near-links")
+    return connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(more))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, k: int = K) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = staged(docs.mapInArrow(_sketches(shingle, k), _SETS), "near-sketches")
@@ -270,7 +310,7 @@ def near_duplicates(
         ),
         "near-reps",
     )
-    parts = near_links(docs, reps, shingle, percent, k, block).withColumnRenamed("id", "rep")
+    parts = near_links(docs, reps, shingle, percent, k).withColumnRenamed("id", "rep")
     classes = reps.join(parts, "rep", "left").select(
         F.col("c1").alias("k1"), F.col("c2").alias("k2"), F.coalesce("component", "rep").alias("component")
     )
