@@ -44,7 +44,7 @@ SAMPLE = 800  # labelled documents of each class, the documented bound of the tr
 LANDMARKS = 128
 DECAY = 0.7
 REACH = 5  # a triple spans at most REACH + 1 characters
-CACHE_WORDS = 600_000
+CACHE_WORDS = 250_000
 NO_EVIDENCE = -3.0
 CONVINCING = 6.0  # evidence of a word seen in six toxic documents of the sample and no clean one
 
@@ -85,17 +85,14 @@ def _triples(flat: np.ndarray) -> Iterator[tuple[float, np.ndarray, np.ndarray]]
         yield DECAY ** (b + 1), (x << 10) | (y << 5) | z, _HAS[x] * _HAS[y] * _HAS[z]
 
 
-def kernel_sums(words: list[bytes], tables: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(words x tables: sum of the triples' weights in each table, norm of each word)."""
+def _margins(words: list[bytes], table: np.ndarray) -> np.ndarray:
+    """The normalised sum of the table's weights over each word's triples."""
     flat, starts = _codes(words)
-    total = np.zeros((len(tables), len(flat)))
-    norm = np.zeros(len(flat))
+    total, norm = np.zeros(len(flat)), np.zeros(len(flat))
     for weight, code, is_one in _triples(flat):
-        for t, table in enumerate(tables):
-            total[t, : len(code)] += weight * table[code]
+        total[: len(code)] += weight * table[code]
         norm[: len(code)] += weight * weight * is_one
-    sums = np.add.reduceat(total, starts, axis=1).T
-    return sums, np.sqrt(np.maximum(np.add.reduceat(norm, starts), 1e-12))
+    return np.add.reduceat(total, starts) / np.sqrt(np.maximum(np.add.reduceat(norm, starts), 1e-12))
 
 
 def feature_tables(words: list[bytes]) -> np.ndarray:
@@ -118,8 +115,7 @@ class Model:
     logistic: np.ndarray  # weights of 1, the strongest margin and the logarithms of 1 + toxic words, 1 + words
 
     def margins(self, words: list[bytes]) -> np.ndarray:
-        sums, norm = kernel_sums(words, self.table[None, :])
-        return np.clip(sums[:, 0] / norm + self.bias, NO_EVIDENCE, -NO_EVIDENCE)
+        return np.clip(_margins(words, self.table) + self.bias, NO_EVIDENCE, -NO_EVIDENCE)
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
         x = self.logistic[0] + inputs(evidence) @ self.logistic[1:]
@@ -199,7 +195,6 @@ def train(
     points = feature_tables([vocabulary[k] for k in chosen])
     values, vectors = np.linalg.eigh(points @ points.T)
     whiten = vectors / np.sqrt(np.maximum(values, 1e-3))
-    features = np.concatenate([_nystroem(vocabulary[k : k + 20_000], points) for k in range(0, len(vocabulary), 20_000)]) @ whiten
     sentences = [[np.array([number[w] for w in s if w in number], np.int64) for s in bag] for bag in bags]
     believed, w = evidence, None
     for _ in range(rounds):
@@ -219,11 +214,13 @@ def train(
         rows = np.array(positive + negative, np.int64)
         sign = np.where(np.arange(len(rows)) < len(positive), 1.0, -1.0)
         share = np.where(sign > 0, len(rows) / max(1, 2 * len(positive)), len(rows) / max(1, 2 * len(negative)))
-        w = _squared_hinge(features[rows], sign, share)
-        believed = features @ w[:-1] + w[-1]
+        w = _squared_hinge(_nystroem([vocabulary[k] for k in rows], points) @ whiten, sign, share)
+        table = points.T @ (whiten @ w[:-1])
+        believed = np.concatenate([_margins(vocabulary[k : k + 20_000], table) for k in range(0, len(vocabulary), 20_000)])
+        believed += w[-1]
     if w is None:
         return None
-    model = Model(points.T @ (whiten @ w[:-1]), float(w[-1]), np.zeros(4))
+    model = Model(table, float(w[-1]), np.zeros(4))
     known: dict[bytes, float] = {}
     model.logistic = _fit_logistic(inputs(np.array([document_evidence(model, t, known) for t in texts])), y.astype(float))
     model.logistic[0] += np.log(odds)
