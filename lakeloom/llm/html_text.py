@@ -13,9 +13,9 @@ with its neighbours over all its lines, but lines inside an ``article`` or ``mai
 deleted for being shared, and elements that are navigation, headers, footers, sidebars, notices,
 adverts, forms or comments by tag, class, id or role go even if no neighbour has them.
 
-The neighbours are found over rows of a few hashes, range-partitioned by (host, path), so a host
-with a third of all pages spans many tasks; the pages at a partition's edges meet in a second,
-small step. Only the numbers of deleted lines go back to the pages.
+The neighbours are found over rows of a few hashes, one for each content of a host, so exact copies
+count once; they are range-partitioned by (host, path), so a host with a third of all pages spans
+many tasks, and the pages at a partition's edges meet in a second, small step. Only the numbers of deleted lines go back to the pages.
 
 Defined cases: a null or empty html has the empty text; a null url is a page of the empty host;
 repeated rows give equal rows; unclosed elements end with their container; an empty table gives an
@@ -33,7 +33,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm._shared import shuffle_partitions, staged
@@ -195,31 +195,32 @@ def common_lines(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
     return [i for i, _ in pairs], [j for _, j in pairs]
 
 
-def _place(url: str | None) -> tuple[str, str]:
-    m = re.match(r"(?:[a-zA-Z][\w+.-]*:)?//([^/?#]*)([^?#]*)", url or "")
-    return (m.group(1).lower(), m.group(2)) if m else ("", (url or "").partition("?")[0].partition("#")[0])
+_LIGHT = "host string, mark long, path string, hashes array<long>, open array<int>, longest int"
 
 
-_LIGHT = "page_id long, mark long, host string, path string, hashes array<long>, open array<int>, longest int"
+def _host(url: Column) -> Column:
+    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[a-zA-Z][\w+.-]*:)?//([^/?#]*)", 1))
+
+
+def _path(url: Column) -> Column:
+    return F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:(?:[a-zA-Z][\w+.-]*:)?//[^/?#]*)?([^?#]*)", 1)
 
 
 def _light(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Place, line hashes, lines open to deletion and longest content line of every page."""
     for b in batches:
         out = []
-        for page, url, html, mark in zip(*(c.to_pylist() for c in b.columns)):
+        for host, mark, path, html in zip(*(c.to_pylist() for c in b.columns)):
             lines = page_lines(html) if html else []
             if lines:
                 hashes = [xxhash.xxh64_intdigest(text) - (1 << 63) for text, _, _ in lines]
                 sizes = [-1 if dropped else len(text) for text, _, dropped in lines]
-                out.append((page, mark, *_place(url), hashes, open_lines(lines), sizes.index(max(sizes))))
-        cols = list(zip(*out)) or [()] * 7
-        kinds = (
-            pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int32(),
-        )
+                out.append((host, mark, path, hashes, open_lines(lines), sizes.index(max(sizes))))
+        cols = list(zip(*out)) or [()] * 6
+        kinds = (pa.string(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int32())
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(cols, kinds)],
-            names=["page_id", "mark", "host", "path", "hashes", "open", "longest"],
+            names=["host", "mark", "path", "hashes", "open", "longest"],
         )
 
 
@@ -231,11 +232,11 @@ def _shared_by(a: dict, b: dict) -> list[tuple]:
     for page, places in zip((a, b), common_lines(a["hashes"], b["hashes"])):
         deleted = sorted(set(page["open"]).intersection(places)) if page["longest"] not in places else []
         if deleted:
-            out.append((page["page_id"], page["mark"], deleted))
+            out.append((page["host"], page["mark"], deleted))
     return out
 
 
-_DELETED = "page_id long, mark long, deleted array<int>, edge struct<part:int,last:boolean,page_id:long,mark:long,host:string,path:string,hashes:array<long>,open:array<int>,longest:int>"
+_DELETED = "host string, mark long, deleted array<int>, edge struct<part:int,last:boolean,host:string,mark:long,path:string,hashes:array<long>,open:array<int>,longest:int>"
 
 
 def _neighbours(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -251,10 +252,10 @@ def _neighbours(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             else:
                 out.extend((*x, None) for x in _shared_by(before, row))
             before = row
-        yield pd.DataFrame(out, columns=["page_id", "mark", "deleted", "edge"]).astype({"page_id": "Int64", "mark": "Int64"})
+        yield pd.DataFrame(out, columns=["host", "mark", "deleted", "edge"]).astype({"mark": "Int64"})
     if before is not None:
         out = [(None, None, None, {"part": part, "last": True, **before})]
-        yield pd.DataFrame(out, columns=["page_id", "mark", "deleted", "edge"]).astype({"page_id": "Int64", "mark": "Int64"})
+        yield pd.DataFrame(out, columns=["host", "mark", "deleted", "edge"]).astype({"mark": "Int64"})
 
 
 def _edges(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -262,23 +263,29 @@ def _edges(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     rows = [dict(e) for frame in frames for e in frame["edge"]]
     rows.sort(key=lambda e: (e["part"], e["last"]))
     out = [x for a, b in zip(rows, rows[1:]) if a["last"] and not b["last"] for x in _shared_by(a, b)]
-    yield pd.DataFrame(out, columns=["page_id", "mark", "deleted"])
+    yield pd.DataFrame(out, columns=["host", "mark", "deleted"])
 
 
 def template_lines(pages: DataFrame) -> DataFrame:
-    """(page_id, mark, deleted): numbers of the lines each open page shares with its neighbours."""
-    light = staged(pages.mapInArrow(_light, _LIGHT), "page-lines")
-    order = ["host", "path", "page_id", "mark"]
+    """(host, mark, deleted): numbers of the lines each content shares with its neighbours.
+
+    ``pages(host, mark, path, html)``; equal contents of a host are one, at their first path.
+    """
+    light = pages.mapInArrow(_light, _LIGHT).groupBy("host", "mark").agg(
+        F.min("path").alias("path"), *(F.first(c).alias(c) for c in ("hashes", "open", "longest"))
+    )
+    light = staged(light, "page-lines")
+    order = ["host", "path", "mark"]
     found = staged(
         light.repartitionByRange(shuffle_partitions(pages.sparkSession), *order).sortWithinPartitions(*order)
         .mapInPandas(_neighbours, _DELETED),
         "page-neighbours",
     )
     edges = found.where("edge IS NOT NULL").select("edge").coalesce(1).mapInPandas(
-        _edges, "page_id long, mark long, deleted array<int>"
+        _edges, "host string, mark long, deleted array<int>"
     )
-    inner = found.where("deleted IS NOT NULL").select("page_id", "mark", "deleted")
-    return inner.unionByName(edges).groupBy("page_id", "mark").agg(F.flatten(F.collect_set("deleted")).alias("deleted"))
+    inner = found.where("deleted IS NOT NULL").select("host", "mark", "deleted")
+    return inner.unionByName(edges).groupBy("host", "mark").agg(F.flatten(F.collect_set("deleted")).alias("deleted"))
 
 
 _TEXT = "page_id long, url string, text string"
@@ -296,11 +303,12 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row."""
     marked = pages.select(
-        F.col("page_id").cast("long").alias("page_id"), "url", "html", F.xxhash64("url", "html").alias("mark")
+        F.col("page_id").cast("long").alias("page_id"), "url", "html", _host(F.col("url")).alias("host"),
+        _path(F.col("url")).alias("path"), F.xxhash64("html").alias("mark"),
     )
-    deleted = staged(template_lines(marked), "page-template").select(
-        F.col("page_id").alias("p"), F.col("mark").alias("m"), "deleted"
+    deleted = staged(template_lines(marked.select("host", "mark", "path", "html")), "page-template").select(
+        F.col("host").alias("h"), F.col("mark").alias("m"), "deleted"
     )
-    both = marked.join(deleted, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("mark") == F.col("m")), "left")
+    both = marked.join(deleted, (F.col("host") == F.col("h")) & (F.col("mark") == F.col("m")), "left")
     out = both.select("page_id", "url", "html", "deleted").mapInArrow(_extract, _TEXT)
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -131,6 +131,8 @@ def pivotal_round(items: DataFrame, leaf: int = 256, seed: int = 0) -> DataFrame
     (power of two), so each level hands on at most one document a leaf and class. At the root a
     source has three open documents a class left at most (200 at most, as sizes are below 2^63).
     """
+    if leaf < 32:
+        raise ValueError("a leaf of fewer than 32 documents does not shrink the levels")
     keep = _FIELDS[:-1]
     kind = F.floor(F.log2("size")).alias("kind")
     most = items.agg(F.max("n").alias("n")).first()["n"] or 0

@@ -323,4 +323,4 @@ def remove_repeats(
     )
     out = docs.join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(_cut(with_text), _RESULT)
     names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
-    return out.select(*names, F.decode("kept_text", F.lit("UTF-8")).alias("kept_text")) if with_text else out.select(*names)
+    return out.select(*names, F.decode("kept_text", "UTF-8").alias("kept_text")) if with_text else out.select(*names)
