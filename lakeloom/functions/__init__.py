@@ -8,7 +8,7 @@ from lakeloom.functions.json import (
     looks_like_xml,
 )
 from lakeloom.functions.patterns import is_date_text, semantic_type
-from lakeloom.functions.values import group_key, tagged_value, text_of
+from lakeloom.functions.values import group_key, is_digest, key_start, tagged_value, text_of
 
 __all__ = [
     "legacy_cast",
@@ -21,6 +21,8 @@ __all__ = [
     "is_date_text",
     "semantic_type",
     "group_key",
+    "is_digest",
+    "key_start",
     "tagged_value",
     "text_of",
 ]

@@ -108,22 +108,32 @@ def text_of(c: Column, dt: DataType) -> Column:
 
 
 def group_key(text: Column, digest_over: int | None = DIGEST_OVER) -> Column:
-    """Grouping key: ``=<text>`` when short, else ``#<sha256>:<length>``.
+    """Grouping key: ``=<text>`` when short, else ``=<first characters>#<sha256>:<length>``.
 
-    The prefix keeps the two spaces apart, so a short text that starts with ``#`` can
-    never be taken for a digest.
+    A key longer than ``=`` and ``digest_over`` characters is a digest. Keys sort as their
+    texts do, up to long texts with equal first characters (``is_digest`` tells those).
     """
     plain = F.concat(F.lit("="), text)
     if digest_over is None:
         return plain
     return F.when(F.length(text) <= digest_over, plain).otherwise(
-        F.concat(F.lit("#"), F.sha2(text, 256), F.lit(":"), F.length(text).cast("string"))
+        F.concat(plain.substr(1, digest_over + 1), F.lit("#"), F.sha2(text, 256), F.lit(":"),
+                 F.length(text).cast("string"))
     )
 
 
-def key_text(key: Column) -> Column:
+def is_digest(key: Column, digest_over: int | None = DIGEST_OVER) -> Column:
+    return F.lit(False) if digest_over is None else F.length(key) > digest_over + 1
+
+
+def key_start(key: Column, digest_over: int | None = DIGEST_OVER) -> Column:
+    """What a key says about its text: the whole of a short one, the start of a long one."""
+    return key if digest_over is None else key.substr(1, digest_over + 1)
+
+
+def key_text(key: Column, digest_over: int | None = DIGEST_OVER) -> Column:
     """The text of a short key; null for a digest key (resolve those with a lookup)."""
-    return F.when(key.startswith("="), key.substr(F.lit(2), F.length(key)))
+    return F.when(~is_digest(key, digest_over), key.substr(F.lit(2), F.length(key)))
 
 
 def _sql_name(c: str) -> str:

@@ -11,12 +11,15 @@ produces the same partitions after an executor loss.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 
 
 # Inputs estimated below this size stay as they are: one task handles them quickly and a
 # redistribution would only add a stage.
 MIN_SPREAD_BYTES = 64 << 10
+_SHUFFLES = re.compile(r"\b(Aggregate|Join|Window|Sort|Repartition\w*|RebalancePartitions|Distinct|GlobalLimit|FlatMap\w+)\b")
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -30,7 +33,9 @@ def estimated_bytes(df: DataFrame) -> int | None:
 def spread(df: DataFrame, min_partitions: int | None = None, min_bytes: int = MIN_SPREAD_BYTES) -> DataFrame:
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()  # plans the scan, runs no job
+        if _SHUFFLES.search(str(df._jdf.queryExecution().optimizedPlan())):
+            return df  # the partitions of a shuffle are known only after it has run
+        current = df.rdd.getNumPartitions()  # of a scan: its file splits, no job runs
     except Exception:  # Spark Connect: no RDD access, leave partitioning to the scan
         return df
     if current >= target:

@@ -38,8 +38,10 @@ from lakeloom.operators.unpivot import (
     long_cells,
     long_keys,
     resolve_keys,
+    tied_keys,
     value_frequencies,
 )
+from lakeloom.session import checkpoint_root
 
 
 def head(df: DataFrame, n: int = 5, order_by: Sequence[str] | str | None = None) -> DataFrame:
@@ -95,11 +97,11 @@ def describe_non_numeric(df: DataFrame, columns: Sequence[str] | None = None,
     cols = text_columns(df) if columns is None else list(columns)
     freq = value_frequencies(long_cells(df, cols, explode_arrays=False, digest_over=digest_over))
     summary = column_summary(freq)
-    tops = resolve_keys(df, summary.select("column", F.col("top_key").alias("key")), cols,
+    tops = resolve_keys(df, tied_keys(freq, summary, digest_over), cols,
                         explode_arrays=False, digest_over=digest_over)
     s = summary.alias("s")
-    t = tops.alias("t")
-    return s.join(F.broadcast(t), (F.col("s.column") == F.col("t.column")) & (F.col("s.top_key") == F.col("t.key")), "left").select(
+    t = tops.groupBy("column").agg(F.min("value").alias("value")).alias("t")
+    return s.join(t, F.col("s.column") == F.col("t.column"), "left").select(
         F.col("s.column").alias("column_name"),
         F.col("s.cells").alias("count"),
         F.col("s.distinct").alias("unique"),
@@ -308,7 +310,7 @@ def value_counts(df: DataFrame, percentage: float = 0.05, columns: Sequence[str]
     """(column, value, share) for values holding at least ``percentage`` of a column.
 
     Text columns and arrays of text (exploded, X11); shares among non-null cells. At most
-    1/percentage rows per column survive, which bounds the digest lookup broadcast.
+    1/percentage rows per column survive.
     """
     if columns is None:
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)
@@ -326,7 +328,7 @@ def value_counts(df: DataFrame, percentage: float = 0.05, columns: Sequence[str]
         .where(F.col("share") >= F.lit(percentage))
     )
     names = resolve_keys(df, shares.select("column", "key"), cols, explode_arrays=True, digest_over=digest_over)
-    return shares.join(F.broadcast(names), ["column", "key"]).select(
+    return shares.join(names, ["column", "key"]).select(
         F.col("column").alias("column_name"), "value", "share")
 
 
@@ -334,6 +336,7 @@ def value_counts_wide(df: DataFrame, percentage: float = 0.05, columns: Sequence
     """R12 in the reference's wide shape: one row per value, one share column per column."""
     # the long result is tiny (at most 1/percentage rows per column): cut it once in the
     # shared checkpoint folder so finding its columns and pivoting do not recompute it
+    checkpoint_root(df.sparkSession)  # names the folder, or says that none is set
     long = value_counts(df, percentage, columns).checkpoint(eager=True)
     cols = [r["column_name"] for r in long.select("column_name").distinct().collect()]  # at most len(schema)
     cols.sort()

@@ -27,6 +27,7 @@ from lakeloom.functions.values import _sql_name
 from lakeloom.operators.parallel import spread
 from lakeloom.operators.transforms import q
 from lakeloom.operators.unpivot import _lit
+from lakeloom.session import checkpoint_root
 
 
 def numeric_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -51,7 +52,6 @@ def exact_quantiles(
     probs: Sequence[float] = (0.25, 0.5, 0.75),
     limit: int = 1_000_000,
     accuracy: int = 10_000,
-    max_rounds: int = 12,
     counts: dict[str, int] | None = None,
 ) -> DataFrame:
     """(column, prob, value) with pandas' linear interpolation; value null for empty columns.
@@ -80,15 +80,16 @@ def exact_quantiles(
                 brackets.setdefault((c, r), {"lo": None, "hi": None, "below": 0, "inside": n, "margin": 2.0})
 
     persisted = False
-    rounds = 0
-    while rounds < max_rounds:
-        active = [k for k, b in brackets.items() if b["inside"] > limit and not (b["lo"] is not None and b["lo"] == b["hi"])]
+    while True:
+        # a bracket that a proposal did not narrow three times holds few, heavy values: the
+        # last step counts those before it ranks them
+        active = [k for k, b in brackets.items() if b["inside"] > limit and b.get("missed", 0) < 3
+                  and not (b["lo"] is not None and b["lo"] == b["hi"])]
         if not active:
             break
         if not persisted:
             cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
             persisted = True
-        rounds += 1
         eps = 1.0 / accuracy
         grid = max(4, min(1000, accuracy // 10))  # sketch error is a tenth of a grid step
         percentages = F.array(*[F.lit(i / grid) for i in range(grid + 1)])  # must be foldable
@@ -129,6 +130,7 @@ def exact_quantiles(
                 b["below"], b["inside"] = below, ins
             else:  # the sketch missed or did not narrow: keep the proven bracket, widen the margin
                 b["margin"] *= 4.0
+                b["missed"] = b.get("missed", 0) + 1
 
     # final exact step: rank the distinct values inside each distinct bracket once
     bracket_ids: dict[tuple, int] = {}
@@ -172,6 +174,7 @@ def exact_quantiles(
         .select("column", "prob", (F.col("lo_v") + F.col("frac") * (F.col("hi_v") - F.col("lo_v"))).alias("value"))
     )
     if persisted:
+        checkpoint_root(spark)
         out = out.checkpoint(eager=True)
         cells.unpersist()
     return out

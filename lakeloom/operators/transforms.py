@@ -144,7 +144,10 @@ def parse_datetime(c: Column, dt: DataType | None = None, day_first: bool = True
     head = F.regexp_extract(text, r"^(\S+)", 1)
     fmts = _DAY_FIRST_FORMATS if day_first else _MONTH_FIRST_FORMATS
     tries = [text.try_cast("timestamp_ntz")]
-    tries += [F.try_to_timestamp(head, F.lit(f)).cast("timestamp_ntz") for f in fmts]
+    days = [F.try_to_timestamp(head, F.lit(f)) for f in fmts]
+    clock = F.regexp_extract(text, r"^\S+\s+(.+)$", 1)
+    tries += [F.concat(F.date_format(d, "yyyy-MM-dd "), clock).try_cast("timestamp_ntz") for d in days]
+    tries += [d.cast("timestamp_ntz") for d in days]  # no time of day, or one that can't be read
     return F.coalesce(*tries)
 
 

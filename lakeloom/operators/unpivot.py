@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from lakeloom.functions.values import DIGEST_OVER, _sql_name, group_key, is_scalar, key_text, text_of, typed_key
+from lakeloom.functions.values import DIGEST_OVER, _sql_name, group_key, is_digest, key_start, is_scalar, key_text, text_of, typed_key
 from lakeloom.operators.parallel import spread
 from lakeloom.operators.transforms import q
 
@@ -97,7 +97,8 @@ def value_frequencies(cells: DataFrame, extra_keys: Sequence[str] = ()) -> DataF
 def column_summary(freq: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame:
     """Per column: distinct values, non-null cells, highest frequency and its value.
 
-    ``top`` is the smallest value among the most frequent ones (deterministic ties, D6).
+    ``top_key`` is the smallest key among the most frequent ones (deterministic ties, D6);
+    where it is a digest, ``tied_keys`` gives all keys its text may have to be chosen from.
     """
     return freq.groupBy(*extra_keys, "column").agg(
         F.count(F.lit(1)).alias("distinct"),
@@ -107,6 +108,15 @@ def column_summary(freq: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame
     ).select(*extra_keys, "column", "distinct", "cells", "max_freq", F.col("__top.key").alias("top_key"))
 
 
+def tied_keys(freq: DataFrame, summary: DataFrame, digest_over: int | None = DIGEST_OVER) -> DataFrame:
+    """(column, key): the top key, or all most frequent keys whose long texts start alike."""
+    top = summary.select(F.col("column").alias("__c"), "max_freq", "top_key")
+    same = (F.col("column") == F.col("__c")) & (F.col("cnt") == F.col("max_freq"))
+    start = key_start(F.col("key"), digest_over) == key_start(F.col("top_key"), digest_over)
+    alike = is_digest(F.col("key"), digest_over) & is_digest(F.col("top_key"), digest_over) & start
+    return freq.join(top, same).where((F.col("key") == F.col("top_key")) | alike).select("column", "key")
+
+
 def resolve_keys(
     df: DataFrame,
     wanted: DataFrame,
@@ -116,18 +126,18 @@ def resolve_keys(
 ) -> DataFrame:
     """Map digest keys back to their text: (column, key) -> (column, key, value).
 
-    ``wanted`` must be small with a proven bound (one top per column, or at most
-    1/threshold dominant values per column), so it is broadcast into a second scan.
-    Short keys are their own text and need no lookup.
+    Only digest keys are looked up, by a semi-join of a second scan; the planner broadcasts
+    them where they are measured small. Short keys are their own text and need no lookup.
     """
-    digests = wanted.where(F.col("key").startswith("#")).select("column", "key").distinct()
+    digests = wanted.where(is_digest(F.col("key"), digest_over)).select("column", "key").distinct()
     cells = long_cells(df, columns, explode_arrays=explode_arrays, digest_over=digest_over, keep_value=True)
     found = (
-        cells.join(F.broadcast(digests), ["column", "key"], "left_semi")
+        cells.join(digests, ["column", "key"], "left_semi")
         .groupBy("column", "key")
         .agg(F.min("value").alias("value"))
     )
-    plain = wanted.where(~F.col("key").startswith("#")).select("column", "key", key_text(F.col("key")).alias("value"))
+    plain = wanted.where(~is_digest(F.col("key"), digest_over)).select(
+        "column", "key", key_text(F.col("key"), digest_over).alias("value"))
     return plain.unionByName(found)
 
 

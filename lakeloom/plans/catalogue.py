@@ -569,10 +569,11 @@ def _sql_table_set_shapes() -> str:
 
 
 def _sql_column_types() -> str:
-    spark_names = {"int": "int", "long": "bigint", "double": "double", "string": "string", "ts": "timestamp_ntz",
-                   "floats": "array<float>"}
-    rows = ", ".join(f"('{c}', '{spark_names[k]}')" for c, k in SCHEMAS["lineitem"])
-    return f"SELECT * FROM (VALUES {rows}) AS v(column_name, dtype)"
+    """Names and types from the engine's own DESCRIBE of the file, in Spark's type names."""
+    return (
+        "SELECT column_name, CASE column_type WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' "
+        "WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS dtype FROM (DESCRIBE SELECT * FROM lineitem)"
+    )
 
 
 def _sql_customer_strings() -> str:

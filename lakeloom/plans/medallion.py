@@ -122,14 +122,14 @@ def run_medallion(
     root: str,
     silver_specs: Mapping[str, SilverSpec],
     gold_spec: GoldSpec,
-    bronze_format: str = "csv",
+    bronze_format: str = "parquet",
     table_format: str = "parquet",
     managed_schema: str | None = None,
     managed_location: str | None = None,
 ) -> MedallionResult:
     """Bronze, silver, gold in order (L4), each layer written under ``root``.
 
-    ``bronze_format="csv"`` writes the lossless pipe-separated text of the reference's
+    Bronze is parquet by default; ``bronze_format="csv"`` writes the pipe-separated text of the reference's
     bronze layer; silver and gold are ``table_format`` (parquet by default).
     With ``managed_schema`` the gold marts are also saved as managed tables (K4).
     """
@@ -160,6 +160,12 @@ def run_medallion(
     rows["gold.viewcounts"] = write_counted(view_counts(events, items, gold_spec),
                                             lambda d: write_table(d, base_path, table_format))
     base = read_table(spark, base_path, table_format)
+    # the dimension and the fact themselves, the fact partitioned by its period (K3)
+    for name, df, parts in (("dimitems", items, ()), ("factevents", events, (gold_spec.period,))):
+        out = f"{root}/gold/{name}"
+        rows[f"gold.{name}"] = write_counted(
+            df, lambda d, o=out, p=parts: write_table(d, o, table_format, partition_by=p))
+        gold_paths[name] = out
     for name, mart in gold_marts(base).items():
         out = f"{root}/gold/{name}"
         rows[f"gold.{name}"] = write_counted(mart, lambda d, o=out: write_table(d, o, table_format))

@@ -94,12 +94,13 @@ def profile_report(tables: Mapping[str, DataFrame], profilers_: Mapping[str, Cal
 
 
 def write_report(report: DataFrame, path: str, fmt: str = "parquet", run_date: str | None = None) -> None:
-    """Report sink partitioned by profile (and by run date when given) (K7, K8)."""
-    parts = ["profile"]
+    """Report sink of any tool, partitioned by run date and profile where there are any (K7, K8)."""
+    parts = ["profile"] if "profile" in report.columns else []
     if run_date:
         report = report.withColumn("run_date", F.lit(run_date))
-        parts = ["run_date", "profile"]
-    report.write.mode("overwrite").format(fmt).partitionBy(*parts).save(path)
+        parts = ["run_date", *parts]
+    writer = report.write.mode("overwrite").format(fmt)
+    (writer.partitionBy(*parts) if parts else writer).save(path)
 
 
 # ------------------------------------------------------------------- oracle SQL

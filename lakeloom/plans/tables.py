@@ -86,9 +86,8 @@ def schema_of(name: str) -> StructType:
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; its known schema spares the footer reads of schema inference."""
-    reader = spark.read.schema(schema_of(name)) if name in SCHEMAS else spark.read
-    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table with the schema its own files state."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def load_all(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> dict[str, DataFrame]:

@@ -42,7 +42,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="lakeloom-ckpt-")
+        master = sc.master if sc is not None else ""
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        current = tempfile.mkdtemp(prefix="lakeloom-ckpt-")  # one process: tests and the benchmark
         if sc is not None:
             sc.setCheckpointDir(current)
     elif sc is not None and not sc.getCheckpointDir():

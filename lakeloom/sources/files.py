@@ -25,8 +25,11 @@ BRONZE_CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+# Unquoted empty cells are read as null; the mark only keeps the reader from taking a text
+# such as \\N or an empty string for null, so it is one that no text holds.
+NULL_MARK = "\x01\x02null\x02\x01"
 BRONZE_WRITE_EXTRA = {"emptyValue": '""', "nullValue": ""}
-BRONZE_READ_EXTRA = {"multiLine": "true", "emptyValue": "", "nullValue": "\\N", "mode": "PERMISSIVE"}
+BRONZE_READ_EXTRA = {"multiLine": "true", "emptyValue": "", "nullValue": NULL_MARK, "mode": "PERMISSIVE"}
 
 
 def read_csv(

@@ -5,23 +5,16 @@ Listing is driver-side metadata only; each table stays a lazy DataFrame.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeloom.sources.files import format_of, read_any
 
 
 def _list_names(spark: SparkSession, directory: str) -> list[str]:
-    try:
-        jvm = spark.sparkContext._jvm  # Hadoop FileSystem works for every storage scheme
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(directory)
-        fs = p.getFileSystem(conf)
-        return sorted(str(s.getPath().getName()) for s in fs.listStatus(p))
-    except Exception:
-        local = directory[len("file:") :] if directory.startswith("file:") else directory
-        return sorted(os.listdir(local))
+    jvm = spark.sparkContext._jvm  # Hadoop FileSystem works for every storage scheme
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(directory)
+    return sorted(str(s.getPath().getName()) for s in p.getFileSystem(conf).listStatus(p))
 
 
 def read_table_set(
