@@ -14,7 +14,7 @@ are cut by content instead, and only passages that more than one document holds
    surroundings) goes to the anchor's reference shard. There, in ascending document order, each
    region is streamed through the suffix automaton of the smaller documents' regions; where the
    matching statistic reaches ``window`` the window is a repeat. Then it is added to the automaton.
-4. An anchor with more than ``most`` regions is not gathered in one task: its regions are split
+4. An anchor with more than ``most`` words of regions is not gathered in one task: they are split
    into windows, whose smallest document is a partial-aggregated minimum - the same result.
 
 Removed spans then meet their documents once.
@@ -40,7 +40,7 @@ from lakeloom.llm.words import mix64, ngram_hashes, word_hashes
 
 WINDOW = 50
 ANCHOR = 8
-MOST = 256
+MOST = 300_000  # words of the regions that one automaton takes in
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS = np.ones(1, np.uint64), np.ones(1, np.uint64)
@@ -283,7 +283,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     )
     firsts = owned.where("doc_id = holder")
     crowds = staged(
-        firsts.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n"))
+        firsts.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
+                                     F.sum(F.col("windows") + window - 1).alias("n"))
         .where("lo < hi").select("anchor", (F.col("n") > most).alias("hot")),
         "region-crowds",
     )
