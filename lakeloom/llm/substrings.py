@@ -40,7 +40,7 @@ from lakeloom.llm.words import mix64, ngram_hashes, word_hashes
 
 WINDOW = 50
 ANCHOR = 8
-MOST = 300_000  # words of the regions that one automaton takes in
+MOST = 1_000_000  # words of the regions that one automaton takes in (some 250 bytes each at most twice)
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS = np.ones(1, np.uint64), np.ones(1, np.uint64)
@@ -172,11 +172,11 @@ def _scan(window: int, anchor: int):
     return run
 
 
-_WORDS = "hot boolean, key long, doc_id long, first int, words binary"
+_WORDS = "hot boolean, key long, doc_id long, first int, windows int, words binary"
 
 
 def _region_words(window: int):
-    """The words of a document's wanted regions; for crowded anchors, one row per window."""
+    """The words of a document's wanted regions; for crowded anchors, a row per run of equal windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -191,13 +191,16 @@ def _region_words(window: int):
                         if w["hot"]:
                             start = np.arange(s, s + n)
                             keys = _span_hashes(hashes, start, start + window)
-                            out.extend((True, k, doc, p, None) for k, p in zip(keys.tolist(), start.tolist()))
+                            at_ = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1])
+                            runs = np.diff(np.append(at_, n)).tolist()
+                            out.extend((True, k, doc, p, r, None) for k, p, r in zip(keys[at_].tolist(), start[at_].tolist(), runs))
                         else:
-                            out.append((False, w["anchor"], doc, s, b" ".join(words[s : s + n + window - 1])))
-                cols = list(zip(*out)) or [()] * 5
-                kinds = (pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+                            out.append((False, w["anchor"], doc, s, n, b" ".join(words[s : s + n + window - 1])))
+                cols = list(zip(*out)) or [()] * 6
+                kinds = (pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(cols, kinds)], names=["hot", "key", "doc_id", "first", "words"]
+                    [pa.array(c, t) for c, t in zip(cols, kinds)],
+                    names=["hot", "key", "doc_id", "first", "windows", "words"],
                 )
 
     return run
@@ -302,13 +305,13 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
         words.where("NOT hot").select("key", "doc_id", "first", "words").repartition("key")
         .sortWithinPartitions("key", "doc_id", "first").mapInArrow(_stream(window), _SPANS)
     )
-    crowded = words.where("hot").select("key", "doc_id", "first")
+    crowded = words.where("hot").select("key", "doc_id", "first", "windows")
     earliest = staged(
         crowded.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi"),
         "crowded-windows",
     )
     repeats = crowded.join(earliest, "key").where("doc_id > lo").select(
-        "doc_id", F.col("first").alias("s"), (F.col("first") + window).cast("int").alias("e")
+        "doc_id", F.col("first").alias("s"), (F.col("first") + F.col("windows") + window - 1).cast("int").alias("e")
     )
     return whole.unionByName(streamed).unionByName(repeats)
 

@@ -176,7 +176,7 @@ def test_near_duplicates(docs, rows, monkeypatch, n, block):
 
 
 def test_substrings(docs, rows):
-    for most in (300_000, 1):  # automata, and windows for crowded anchors
+    for most in (1_000_000, 1):  # automata, and windows for crowded anchors
         got = {r["doc_id"]: r for r in substrings.remove_repeats(docs, most=most, with_text=True).collect()}
         first = {}
         for k, t, *_ in rows[:-1]:
