@@ -226,8 +226,10 @@ def test_packing_is_whole_and_tight(docs, rows):
         b.sort(key=lambda r: r["offset"])
         assert [r["offset"] for r in b] == [sum(x["length"] for x in b[:i]) for i in range(len(b))]
         assert sum(r["length"] for r in b) <= 512
-    whole = packing.pack_documents(docs, capacity=512)  # one block
-    assert whole.select("sequence_id").distinct().count() <= -(-sum(r["length"] for r in got) // 512) + 1
+    # the sum of sizes is no reachable bound here (pieces just over half a sequence don't pair), so
+    # this holds the guarantee of best fit decreasing, 11/9 of the least number and 1
+    whole = packing.pack_documents(docs, capacity=512).select("sequence_id").distinct().count()
+    assert whole <= -(-sum(r["length"] for r in got) // 512) * 11 / 9 + 1
 
 
 def test_word_ids_equal_the_tokenizer():
