@@ -1,9 +1,11 @@
 """Toxicity by a subsequence string-kernel support vector machine with Nystroem landmarks.
 
 The kernel of two words sums, over all triples of letters, their occurrences in both words as
-subsequences, each weighted ``DECAY`` to the power of the stretch it spans (up to ``REACH``
-characters); what stands between the letters does not matter, so "i-d-i-o-t", "idiiot" and "id iot"
-written as one word stay close to "idiot". Runs of single-letter words are read as one word.
+subsequences, each weighted ``DECAY`` to the power of the stretch it spans (up to ``REACH`` + 1
+letters); what stands between the letters does not matter, so "idiiot" stays close to "idiot". Words
+are letters only, by code point: accents are folded, and marks, digits and invisible characters
+between letters are no gap, however many ("i--d--i--o--t", "i\u2022d\u2022i\u2022o\u2022t"). Each two neighbouring words are
+also scored as one ("id iot"), and runs of single-letter words, with and without the word before or after.
 
 Training uses a bounded sample of labelled documents that are not held out (``SAMPLE`` a class,
 chosen by a hash of the id; copies count once). Their sentences are bags of words: in a toxic document only the
@@ -30,6 +32,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,29 +47,66 @@ SAMPLE = 800  # labelled documents of each class, the documented bound of the tr
 LANDMARKS = 128
 DECAY = 0.7
 REACH = 5  # a triple spans at most REACH + 1 characters
-CACHE_WORDS = 250_000
+PART = 500_000  # characters that are scored at once
+OVERLAP = 64  # words of a part that are read again with the next part of a long text
 NO_EVIDENCE = -3.0
+PAIR = 0.5  # margin from which two clean words that are toxic as one count, half of what the hinge asks for
 CONVINCING = 6.0  # evidence of a word seen in six toxic documents of the sample and no clean one
 
-_LETTER = np.zeros(256, np.int32)
-_LETTER[ord("a") : ord("z") + 1] = np.arange(1, 27)
-for _c in map(chr, range(0xC0, 0x100)):  # accented Latin letters (lead byte 0xC3) count as their base letter
-    _base = unicodedata.normalize("NFD", _c)[0].lower()
-    if "a" <= _base <= "z":
-        _LETTER[_c.encode()[1]] = ord(_base) - 96
+_SPACE, _END = 32, 33  # codes of white space and of the end of a text; letters are 1 to 31, all else is 0
+_SCRIPTS = 0x32400  # code points from here on are no letters
+
+
+@cache
+def _code_points() -> np.ndarray:
+    """Code of every code point: a to z by the base letter, letters without one by a number from 1 to 31."""
+    out = np.zeros(_SCRIPTS + 1, np.uint8)
+    for k in range(_SCRIPTS):
+        c = chr(k)
+        if c.isspace():
+            out[k] = _SPACE
+        elif c.isalpha():
+            base = unicodedata.normalize("NFKD", c)[0].lower()
+            out[k] = ord(base) - 96 if "a" <= base <= "z" else 1 + ord(c.lower()[0]) % 31
+    return out
+
+
+def _coded(text: bytes) -> np.ndarray:
+    """Codes of a text's letters and white space."""
+    points = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le", "replace"), "<u4")
+    codes = _code_points()[np.minimum(points, _SCRIPTS)]
+    return codes[codes > 0]
+
+
+_LETTER = np.zeros(256, np.int32)  # of words: a to z and the five characters after z
+_LETTER[97:128] = np.arange(1, 32)
 _HAS = (np.arange(32) > 0).astype(np.float64)
 _GAPS = [(a, b) for b in range(2, REACH + 1) for a in range(1, b)]
-_SENTENCE = re.compile(rb"[.!?\n]+")
+_NORM = np.array([sum((b - 1) * DECAY ** (2 * b + 2) * max(0, n - b) for b in range(2, REACH + 1)) for n in range(REACH + 2)])
+_SENTENCE = re.compile(rb"[.!?]+(?=\s|$)|\n+")
+
+
+def _runs(single: np.ndarray, linked: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Words (first, end) to be read as one, around two or more single-letter words in a row."""
+    if len(single) < 2 or not (single[1:] & single[:-1]).any():
+        return
+    first = single & ~np.concatenate([[False], single[:-1] & linked[:-1]])
+    last = single & ~np.concatenate([single[1:] & linked[:-1], [False]])
+    for s, e in zip(np.flatnonzero(first).tolist(), (np.flatnonzero(last) + 1).tolist()):
+        if e - s >= 2:
+            if e - s >= 3:
+                yield s, e
+            if s and linked[s - 1]:
+                yield s - 1, e
+            if linked[e - 1]:
+                yield s, e + 1
 
 
 def words_of(text: bytes) -> list[bytes]:
-    """Lower-cased words; three or more single-character words in a row also as one word."""
-    words = text.lower().split()
-    single = np.fromiter(map(len, words), np.int32, len(words)) == 1
-    if single.sum() >= 3:
-        edge = np.flatnonzero(np.diff(np.concatenate([[0], single.astype(np.int8), [0]])))
-        words += [b"".join(words[s:e]) for s, e in zip(edge[::2], edge[1::2]) if e - s >= 3]
-    return words
+    """Words as folded letters; runs of single-letter words also as one word."""
+    words = np.where((codes := _coded(text)) == _SPACE, _SPACE, codes + np.uint8(96)).astype(np.uint8).tobytes().split()
+    linked = np.arange(len(words)) < len(words) - 1
+    return words + [b"".join(words[s:e]) for s, e in _runs(np.fromiter((len(w) == 1 for w in words), bool, len(words)), linked)]
 
 
 def _codes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -114,9 +154,6 @@ class Model:
     bias: float
     logistic: np.ndarray  # weights of 1, the strongest margin and the logarithms of 1 + toxic words, 1 + words
 
-    def margins(self, words: list[bytes]) -> np.ndarray:
-        return np.clip(_margins(words, self.table) + self.bias, NO_EVIDENCE, -NO_EVIDENCE)
-
     def score(self, evidence: np.ndarray) -> np.ndarray:
         x = self.logistic[0] + inputs(evidence) @ self.logistic[1:]
         return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
@@ -179,8 +216,8 @@ def train(
     y = np.array(labels) > 0
     if not y.any() or y.all():
         return None
-    bags = [[sorted(set(words_of(s))) for s in _SENTENCE.split(t) if s.split()] for t in texts]
-    vocabulary = sorted({w for bag in bags for s in bag for w in s if sum(65 <= c - 32 <= 90 for c in w) >= 3})
+    bags = [[sorted(set(words_of(s))) for s in _SENTENCE.split(t)] for t in texts]
+    vocabulary = sorted({w for bag in bags for s in bag for w in s if len(w) >= 3})
     if not vocabulary:
         return None
     number = {w: k for k, w in enumerate(vocabulary)}
@@ -221,8 +258,7 @@ def train(
     if w is None:
         return None
     model = Model(table, float(w[-1]), np.zeros(4))
-    known: dict[bytes, float] = {}
-    model.logistic = _fit_logistic(inputs(np.array([document_evidence(model, t, known) for t in texts])), y.astype(float))
+    model.logistic = _fit_logistic(inputs(evidence_of(model, texts)), y.astype(float))
     model.logistic[0] += np.log(odds)
     return model
 
@@ -245,39 +281,120 @@ def _nystroem(words: list[bytes], points: np.ndarray) -> np.ndarray:
     return out / np.sqrt(np.maximum(norm, 1e-12))[:, None]
 
 
-def document_evidence(model: Model, text: bytes, cache: dict[bytes, float]) -> tuple[float, int, int]:
-    """(strongest margin, number of words on the toxic side, number of words) of a whole text."""
-    words = words_of(text)
-    if not words:
-        return NO_EVIDENCE, 0, 0
-    new = list(set(words).difference(cache))
-    if len(cache) + len(new) > CACHE_WORDS:
-        cache.clear()
-        new = list(set(words))
-    for at in range(0, len(new), 20_000):
-        cache.update(zip(new[at : at + 20_000], model.margins(new[at : at + 20_000]).tolist()))
-    m = np.fromiter(map(cache.__getitem__, words), np.float64, len(words))
-    return float(m.max()), int((m > 0).sum()), len(words)
+def _totals(letters: np.ndarray, starts: np.ndarray, linked: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the table's weights over the triples of each word, and over those that cross to the next one."""
+    n = len(letters)
+    ends = np.append(starts[1:], n)
+    sizes = ends - starts
+    left = np.repeat(ends, sizes) - np.arange(n)  # letters from each one to the end of its word, and of the next
+    both = left + np.repeat(np.where(linked, np.append(sizes[1:], 0), 0), sizes)
+    z = np.concatenate([letters, np.zeros(REACH, np.uint8)]).astype(np.int32)
+    x, y = z << 10, z << 5
+    own, cross = np.zeros(n), np.zeros(n)
+    for b in range(2, REACH + 1):
+        value = np.zeros(n)
+        for a in range(1, b):
+            value += table.take(x[:n] | y[a : n + a] | z[b : n + b])
+        value *= DECAY ** (b + 1)
+        own += value * (left > b)
+        cross += value * ((left <= b) & (both > b))
+    return np.add.reduceat(own, starts), np.add.reduceat(cross, starts)
+
+
+def _normal(total: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums over triples divided by the length of the feature vector of words of these sizes."""
+    more = np.maximum(sizes - REACH - 1, 0)
+    norm = _NORM[np.minimum(sizes, REACH + 1)] + more * (_NORM[-1] - _NORM[-2] if REACH > 2 else _NORM[-1])
+    return total / np.sqrt(np.maximum(norm, 1e-12))
+
+
+def _part_evidence(model: Model, codes: np.ndarray, again: np.ndarray) -> np.ndarray:
+    """Evidence of texts from their codes; the first ``again`` words of each were counted before."""
+    docs = len(again)
+    out = np.zeros((docs, 3))
+    out[:, 0] = NO_EVIDENCE
+    is_letter = codes < _SPACE
+    begins = np.flatnonzero(is_letter & ~np.concatenate([[False], is_letter[:-1]]))
+    if not len(begins):
+        return out
+    letters = codes[is_letter]
+    starts = np.cumsum(is_letter)[begins] - 1
+    sizes = np.diff(np.append(starts, len(letters)))
+    doc = np.cumsum(codes == _END)[begins]
+    linked = np.append(doc[1:] == doc[:-1], False)
+    own, cross = _totals(letters, starts, linked, model.table)
+
+    def margins(total: np.ndarray, size: np.ndarray, of: np.ndarray) -> np.ndarray:
+        m = np.clip(_normal(total, size) + model.bias, NO_EVIDENCE, -NO_EVIDENCE)
+        np.maximum.at(out[:, 0], of, m)
+        return m
+
+    new = np.arange(len(doc)) - np.searchsorted(doc, doc) >= again[doc]
+    m = margins(own, sizes, doc)
+    out[:, 1] = np.bincount(doc, new & (m > 0), docs)
+    out[:, 2] = np.bincount(doc, new, docs)
+    p = np.flatnonzero(linked)
+    if len(p):  # a pair counts as one word where neither of its words does
+        both = margins(own[p] + own[p + 1] + cross[p], sizes[p] + sizes[p + 1], doc[p])
+        out[:, 1] += np.bincount(doc[p], new[p + 1] & (both > PAIR) & (m[p] <= 0) & (m[p + 1] <= 0), docs)
+    ends = starts + sizes
+    runs = np.array(list(_runs(sizes == 1, linked)), np.int64).reshape(-1, 2)
+    if len(runs):
+        size = ends[runs[:, 1] - 1] - starts[runs[:, 0]]
+        joined = np.concatenate([letters[starts[s] : ends[e - 1]] for s, e in runs])
+        total, _ = _totals(joined, np.cumsum(size) - size, np.zeros(len(size), bool), model.table)
+        of = doc[runs[:, 0]]
+        out[:, 1] += np.bincount(of, new[runs[:, 1] - 1] & (margins(total, size, of) > 0), docs)
+    return out
 
 
-_CACHES: dict[bytes, dict[bytes, float]] = {}
+def evidence_of(model: Model, texts: list[bytes]) -> np.ndarray:
+    """(strongest margin, number of words on the toxic side, number of words) of whole texts."""
+    out = np.zeros((len(texts), 3))
+    out[:, 0] = NO_EVIDENCE
+    of: list[int] = []
+    parts: list[np.ndarray] = []
+    again: list[int] = []
+
+    def flush() -> None:
+        if of:
+            ended = np.concatenate([x for p in parts for x in (p, [_END])]).astype(np.uint8)
+            found = _part_evidence(model, ended, np.array(again))
+            at = np.array(of)
+            np.maximum.at(out[:, 0], at, found[:, 0])
+            np.add.at(out[:, 1], at, found[:, 1])
+            np.add.at(out[:, 2], at, found[:, 2])
+        of.clear(), parts.clear(), again.clear()
+
+    held = 0
+    for k, text in enumerate(texts):
+        codes, at, before = _coded(text), 0, 0
+        while at < len(codes):
+            end = min(len(codes), at + PART)
+            if end < len(codes):  # a part ends after a word; the next one begins with its last OVERLAP words
+                gaps = np.flatnonzero(codes[at:end] == _SPACE)
+                words = gaps[np.diff(gaps, prepend=-1) > 1]
+                end = at + int(words[-1]) if len(words) > OVERLAP else len(codes)
+            of.append(k), parts.append(codes[at:end]), again.append(before)
+            held += end - at
+            if held >= PART:
+                flush()
+                held = 0
+            if end == len(codes):
+                break
+            at, before = at + int(words[-1 - OVERLAP]) + 1, OVERLAP
+    flush()
+    return out
 
 
 def _scored(table: bytes, bias: float, logistic: tuple[float, ...], text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(np.frombuffer(table, "<f8"), bias, np.array(logistic))
-        name = table[::997]
-        if name not in _CACHES:
-            _CACHES.clear()
-        cache = _CACHES.setdefault(name, {})
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 b = whole.slice(at, 256)
                 texts = [t or b"" for t in b.column(text_at).cast(pa.binary()).to_pylist()]
-                new = list(set().union(*(words_of(t) for t in texts)).difference(cache))
-                if new and len(cache) + len(new) <= CACHE_WORDS:
-                    cache.update(zip(new, model.margins(new).tolist()))
-                score = model.score(np.array([document_evidence(model, t, cache) for t in texts], np.float64))
+                score = model.score(evidence_of(model, texts))
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score)], names=[*b.schema.names, "__toxicity"])
 
     return run
