@@ -39,9 +39,18 @@ from pyspark.sql import functions as F
 from lakeloom.llm._shared import shuffle_partitions, staged
 
 _SILENT = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|svg|textarea|select|title)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>",
-    re.S | re.I,
+    r"<!--|<(script|style|noscript|template|iframe|svg|textarea|select|title)(?=[\s/>])[^>]*>|<[!?][^>]*>", re.I
 )
+# What ends a silent element: its closing tag (group 1) or, for some, a tag that shows it was never closed.
+_ENDS = {
+    name: re.compile(rf"<(/){name}(?=[\s/>])[^>]*>" + other.format(name), re.I)
+    for name, other in [
+        *((n, "") for n in ("script", "style", "noscript", "template", "svg", "textarea")),
+        *((n, r"|<{}(?=[\s/>])") for n in ("select", "iframe")),
+        ("title", r"|<{}(?=[\s/>])|</head(?=[\s>])|<body(?=[\s/>])"),
+    ]
+}
+_CONTAINER = re.compile(r"</?(?:head|body|html)(?=[\s/>])", re.I)
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
 _NAMES = re.compile(r"[A-Za-z]+")
@@ -91,9 +100,39 @@ def _is_other(tag: str, attributes: str, inside_main: bool) -> bool:
     return bool(re.search(r"(?:^|\s)hidden(?:\s|/|$|=)", _ATTRIBUTE.sub(" ", attributes), re.I))
 
 
+def _without_silent(html: str) -> str:
+    """The page without comments and elements that hold no text of it; of unclosed elements only the tag goes."""
+    out, at = [], 0
+    unclosed: set[str] = set()
+    while m := _SILENT.search(html, at):
+        out.append(html[at : m.start()])
+        at = m.end()
+        if m.group() == "<!--":
+            end = html.find("-->", at)
+            at = end + 3 if end >= 0 else len(html)
+        if not m.group(1):
+            continue
+        name = m.group(1).lower()
+        if name == "title":
+            out.append(" ")
+        if name == "svg" and m.group().endswith("/>"):
+            continue
+        end = None if name in unclosed else _ENDS[name].search(html, at)
+        if end and end.group(1):
+            at = end.end()
+            continue
+        if not end:
+            unclosed.add(name)  # no closing tag from here on
+        if name in ("script", "style"):  # code, up to the end of what holds it
+            container = _CONTAINER.search(html, at)
+            at = container.start() if container else len(html)
+    out.append(html[at:])
+    return "".join(out)
+
+
 def page_lines(html: str) -> list[tuple[str, bool, bool]]:
     """(text, inside the main element, dropped by markup) of every block of a page."""
-    html = _SILENT.sub(lambda m: "" if m.group(1) is None or m.group(1).lower() != "title" else " ", html)
+    html = _without_silent(html)
     lines: list[tuple[str, bool, bool]] = []
     parts: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # (tag, main so far, dropped so far)
