@@ -11,7 +11,9 @@ Differencing alone can't give right results where a template's words change from
 where neighbours share a sentence of their articles, so markup corrects it. Every page is aligned
 with its neighbours over all its lines, but lines inside an ``article`` or ``main`` element are not
 deleted for being shared, and elements that are navigation, headers, footers, sidebars, notices,
-adverts, forms or comments by tag, class, id or role go even if no neighbour has them.
+adverts, forms or comments by tag, class, id or role go even if no neighbour has them. A class, an id
+or a form tag never drops html, body, main or article, nor an element that holds the main text or
+most of the page's text (``class="no-sidebar"``); such elements are left to differencing.
 
 The neighbours are found over rows of a few hashes, one for each content of a host, so exact copies
 count once; they are range-partitioned by (host, path), so a host with a third of all pages spans
@@ -61,7 +63,7 @@ _BLOCK = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option optgroup p pre section summary "
     "table tbody td tfoot th thead tr ul".split()
 )
-_DROPPED = frozenset("nav footer aside form button head menu dialog object audio video canvas fieldset".split())
+_DROPPED = frozenset("nav footer aside button head menu dialog object audio video canvas fieldset".split())
 _MAIN = frozenset("article main".split())
 # Words in a class or id that name something other than the article.
 _OTHER = frozenset(
@@ -82,22 +84,61 @@ _CLOSES = {
 }
 
 
-def _is_other(tag: str, attributes: str, inside_main: bool) -> bool:
+_KEPT, _DOUBTFUL, _GONE = 0, 1, 2
+
+
+def _is_other(tag: str, attributes: str, inside_main: bool) -> int:
+    """Whether an element is other than the article: not, by its names only, or by what it is."""
+    if tag in ("html", "body"):
+        return _KEPT
     if tag in _DROPPED or (tag == "header" and not inside_main):
-        return True
+        return _GONE
+    found = _DOUBTFUL if tag == "form" else _KEPT
     if not attributes or "=" not in attributes and "hidden" not in attributes:
-        return False
+        return found
+    main = tag in _MAIN
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id"):
             words = set(_NAMES.findall(value))
-            if words & _OTHER or ("header" in words and not inside_main and tag not in _MAIN):
-                return True
+            if words & _OTHER or ("header" in words and not inside_main):
+                found = _DOUBTFUL
+        elif name == "role" and value == "main":
+            main = True
         elif name == "role" and value in _ROLES or name == "aria-hidden" and value == "true":
-            return True
+            return _GONE
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return bool(re.search(r"(?:^|\s)hidden(?:\s|/|$|=)", _ATTRIBUTE.sub(" ", attributes), re.I))
+            return _GONE
+    if re.search(r"(?:^|\s)hidden(?:\s|/|$|=)", _ATTRIBUTE.sub(" ", attributes), re.I):
+        return _GONE
+    return _KEPT if main else found
+
+
+def _settled(lines: list[tuple[str, bool, bool]], doubtful: list[list]) -> list[tuple[str, bool, bool]]:
+    """Lines with the elements dropped that only their names speak against.
+
+    ``doubtful``: first line, end, and whether inside the main element, outer before inner. An element stays if it has
+    most of the text that is left, or the main element and no less of its text than there is outside.
+    """
+    if not doubtful:
+        return lines
+    sizes, mains = [0], [0]
+    for text, main, dropped in lines:
+        size = 0 if dropped else len(text)
+        sizes.append(sizes[-1] + size)
+        mains.append(mains[-1] + size * main)
+    left, main_left, done = sizes[-1], mains[-1], 0
+    gone = [dropped for _, _, dropped in lines]
+    for s, e, inside_main in doubtful:
+        if e <= max(s, done):
+            continue
+        size, main = sizes[e] - sizes[s], mains[e] - mains[s]
+        holds = main and not inside_main
+        if 2 * size > left or holds and 2 * main >= main_left:
+            continue
+        gone[s:e] = [True] * (e - s)
+        left, main_left, done = left - size, main_left - main, e
+    return [(text, main, g) for (text, main, _), g in zip(lines, gone)]
 
 
 def _without_silent(html: str) -> str:
@@ -135,7 +176,8 @@ def page_lines(html: str) -> list[tuple[str, bool, bool]]:
     html = _without_silent(html)
     lines: list[tuple[str, bool, bool]] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # (tag, main so far, dropped so far)
+    stack: list[tuple[str, bool, bool, int]] = []  # (tag, main so far, dropped so far, number in doubtful or -1)
+    doubtful: list[list] = []
     main = dropped = False
 
     def flush() -> None:
@@ -146,8 +188,13 @@ def page_lines(html: str) -> list[tuple[str, bool, bool]]:
             parts.clear()
 
     def cut(depth: int) -> tuple[bool, bool]:
+        if any(number >= 0 or gone != (stack[depth - 1][2] if depth else False) for _, _, gone, number in stack[depth:]):
+            flush()
+        for *_, number in stack[depth:]:
+            if number >= 0:
+                doubtful[number][1] = len(lines)
         del stack[depth:]
-        return stack[-1][1:] if stack else (False, False)
+        return stack[-1][1:3] if stack else (False, False)
 
     at = 0
     for m in _TAG.finditer(html):
@@ -161,7 +208,7 @@ def page_lines(html: str) -> list[tuple[str, bool, bool]]:
         if closing:
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == tag:
-                    if any(t in _BLOCK for t, _, _ in stack[depth:]):
+                    if any(t in _BLOCK for t, *_ in stack[depth:]):
                         flush()
                     main, dropped = cut(depth)
                     break
@@ -177,17 +224,23 @@ def page_lines(html: str) -> list[tuple[str, bool, bool]]:
                     flush()
                     main, dropped = cut(depth)
                     break
-        dropped_now = dropped or _is_other(tag, attributes, main)
-        if dropped_now != dropped:
+        other = _is_other(tag, attributes, main)
+        dropped_now = dropped or other == _GONE
+        if dropped_now != dropped or other == _DOUBTFUL:
             flush()
         if not attributes.rstrip().endswith("/") or tag in _BLOCK:
-            stack.append((tag, main or tag in _MAIN or 'role="main"' in attributes, dropped_now))
-            main, dropped = stack[-1][1:]
+            number = -1
+            if other == _DOUBTFUL and not dropped_now:
+                number = len(doubtful)
+                doubtful.append([len(lines), -1, main])
+            stack.append((tag, main or tag in _MAIN or 'role="main"' in attributes, dropped_now, number))
+            main, dropped = stack[-1][1:3]
     rest = html[at:]
     if rest:
         parts.append(entities.unescape(rest) if "&" in rest else rest)
     flush()
-    return lines
+    cut(0)
+    return _settled(lines, doubtful)
 
 
 def open_lines(lines: list[tuple[str, bool, bool]]) -> list[int]:

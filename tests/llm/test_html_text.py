@@ -24,3 +24,24 @@ def test_unclosed_title_and_script_end_with_the_head():
     assert text(f"<html><head><title>T</head>{body}") == "Body"
     assert text(f"<html><head><script>var x;</head>{body}") == "Body"
     assert text("<article><p>Body</p></article><script>var x;") == "Body"
+
+
+ARTICLE = "<h1>Title</h1><p>First long paragraph of the body.</p><p>Second long paragraph of it.</p>"
+WHOLE = "Title First long paragraph of the body. Second long paragraph of it."
+
+
+@pytest.mark.parametrize("page", [
+    '<body class="no-sidebar"><article>{}</article></body>', '<body class="search-enabled"><p></p>{}</body>',
+    '<html class="has-banner"><body>{}</body></html>', '<article class="post comments-open">{}</article>',
+    '<body><div id="page" class="has-banner"><main>{}</main></div></body>', '<div id="page" class="has-banner">{}</div>',
+    '<body><form id="aspnetForm"><div>{}</div></form></body>', '<body><form><article>{}</article></form></body>',
+    '<div class="widget-area"><div role="main" class="social">{}</div><div class="ad">Buy</div></div>',
+    '<div class="no-sidebar"><article>{}<div class="comments">hi</div></article><div class="related"><article>Short</article></div></div>',
+    '<body><form action="/q"><label>Find</label></form><div class="ad">Buy</div>{}<div class="sidebar">Links</div></body>',
+])
+def test_names_never_drop_what_holds_the_text(page):
+    assert text(page.format(ARTICLE)) == WHOLE
+
+
+def test_text_after_a_dropped_inline_element_stays():
+    assert text('<p>One long line of text <span class="ad">Buy</span> goes on.</p>') == "One long line of text goes on."
