@@ -3,9 +3,9 @@
 A page becomes its lines: the text of its blocks in page order, scripts, styles and markup gone,
 character references decoded. Within a host, pages are sorted by URL path, and each page is
 aligned with the pages just before and after it by a longest common subsequence of lines. Lines
-shared with such a neighbour are its template (menus, notices, footers) and are deleted. A
-neighbour that shares the page's longest line is a copy of the page, says nothing about the
-template and is not used.
+shared with such a neighbour are its template (menus, notices, footers) and are deleted. Pages of a
+host with one longest line, among the lines that are not on nearly all its pages, are near copies:
+the first stands for all, and its neighbours are the nearest pages of other content.
 
 Differencing alone can't give right results where a template's words change from page to page, or
 where neighbours share a sentence of their articles, so markup corrects it. Every page is aligned
@@ -287,7 +287,8 @@ def common_lines(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
     return [i for i, _ in pairs], [j for _, j in pairs]
 
 
-_LIGHT = "host string, mark long, path string, hashes array<long>, open array<int>, longest int"
+_LIGHT = "host string, mark long, path string, hashes array<long>, open array<int>, by_size array<long>"
+FREQUENT = 0.9  # share of a host's contents from which a line on them (and on five or more) names no content
 
 
 def _host(url: Column) -> Column:
@@ -298,37 +299,61 @@ def _path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:(?:[a-zA-Z][\w+.-]*:)?//[^/?#]*)?([^?#]*)", 1)
 
 
+def _hashes(lines: list[tuple[str, bool, bool]]) -> list[int]:
+    return [xxhash.xxh64_intdigest(text) - (1 << 63) for text, _, _ in lines]
+
+
 def _light(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Place, line hashes, lines open to deletion and longest content line of every page."""
+    """Place, line hashes, lines open to deletion and their hashes, longest line first, of every page."""
     for b in batches:
         out = []
         for host, mark, path, html in zip(*(c.to_pylist() for c in b.columns)):
             lines = page_lines(html) if html else []
             if lines:
-                hashes = [xxhash.xxh64_intdigest(text) - (1 << 63) for text, _, _ in lines]
-                sizes = [-1 if dropped else len(text) for text, _, dropped in lines]
-                out.append((host, mark, path, hashes, open_lines(lines), sizes.index(max(sizes))))
+                hashes, opened = _hashes(lines), open_lines(lines)
+                by_size = sorted(opened, key=lambda k: (-len(lines[k][0]), k))
+                out.append((host, mark, path, hashes, opened, [hashes[k] for k in by_size]))
         cols = list(zip(*out)) or [()] * 6
-        kinds = (pa.string(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int32())
+        kinds = (pa.string(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()))
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(cols, kinds)],
-            names=["host", "mark", "path", "hashes", "open", "longest"],
+            names=["host", "mark", "path", "hashes", "open", "by_size"],
         )
 
 
+def _keyed(light: DataFrame) -> DataFrame:
+    """``light`` with the key of each content: its longest line that is not frequent in the host.
+
+    Contents of a host with one key are near copies. Pages that differencing deletes nothing from are
+    their own key.
+    """
+    opened = light.where(F.size("open") > 0)
+    lines = opened.select("host", F.explode(F.array_distinct("by_size")).alias("line")).groupBy("host", "line").count()
+    totals = opened.groupBy(F.col("host").alias("h")).agg(F.count("*").alias("contents"))
+    frequent = lines.where("count >= 5").join(totals, F.col("host") == F.col("h")).where(
+        F.col("count") > FREQUENT * F.col("contents")
+    ).groupBy("h").agg(F.collect_set("line").alias("frequent"))
+    rest = F.filter("by_size", lambda x: ~F.array_contains(F.coalesce("frequent", F.array().cast("array<long>")), x))
+    keys = opened.join(frequent, F.col("host") == F.col("h"), "left").withColumn(
+        "key", F.coalesce(F.get(rest, F.lit(0)), F.get("by_size", F.lit(0)))
+    )
+    columns = ["host", "mark", "path", "hashes", "open", "key"]
+    return keys.select(*columns).unionByName(light.where(F.size("open") == 0).withColumn("key", F.col("mark")).select(*columns))
+
+
 def _shared_by(a: dict, b: dict) -> list[tuple]:
-    """What the neighbours a and b delete of each other."""
+    """What the neighbours a and b delete of each other, in page order; nothing of a page within the other."""
     if a["host"] != b["host"]:
         return []
     out = []
     for page, places in zip((a, b), common_lines(a["hashes"], b["hashes"])):
-        deleted = sorted(set(page["open"]).intersection(places)) if page["longest"] not in places else []
-        if deleted:
-            out.append((page["host"], page["mark"], deleted))
+        deleted = [page["hashes"][k] for k in sorted(set(page["open"]).intersection(places))]
+        if deleted and page["key"] not in deleted:
+            out.append((page["host"], page["key"], deleted))
     return out
 
 
-_DELETED = "host string, mark long, deleted array<int>, edge struct<part:int,last:boolean,host:string,mark:long,path:string,hashes:array<long>,open:array<int>,longest:int>"
+_DELETED = "host string, key long, deleted array<long>, edge struct<part:int,last:boolean,host:string,key:long,path:string,hashes:array<long>,open:array<int>>"
 
 
 def _neighbours(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -344,10 +369,10 @@ def _neighbours(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             else:
                 out.extend((*x, None) for x in _shared_by(before, row))
             before = row
-        yield pd.DataFrame(out, columns=["host", "mark", "deleted", "edge"]).astype({"mark": "Int64"})
+        yield pd.DataFrame(out, columns=["host", "key", "deleted", "edge"]).astype({"key": "Int64"})
     if before is not None:
         out = [(None, None, None, {"part": part, "last": True, **before})]
-        yield pd.DataFrame(out, columns=["host", "mark", "deleted", "edge"]).astype({"mark": "Int64"})
+        yield pd.DataFrame(out, columns=["host", "key", "deleted", "edge"]).astype({"key": "Int64"})
 
 
 def _edges(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -355,40 +380,54 @@ def _edges(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     rows = [dict(e) for frame in frames for e in frame["edge"]]
     rows.sort(key=lambda e: (e["part"], e["last"]))
     out = [x for a, b in zip(rows, rows[1:]) if a["last"] and not b["last"] for x in _shared_by(a, b)]
-    yield pd.DataFrame(out, columns=["host", "mark", "deleted"])
+    yield pd.DataFrame(out, columns=["host", "key", "deleted"])
 
 
 def template_lines(pages: DataFrame) -> DataFrame:
-    """(host, mark, deleted): numbers of the lines each content shares with its neighbours.
+    """(host, mark, deleted): hashes of the lines each content shares with its neighbours, a list for each.
 
-    ``pages(host, mark, path, html)``; equal contents of a host are one, at their first path.
+    ``pages(host, mark, path, html)``; equal contents of a host are one, at their first path, and of
+    near copies the first one stands for all, so that its neighbours are of other contents.
     """
     light = pages.mapInArrow(_light, _LIGHT).groupBy("host", "mark").agg(
-        F.min("path").alias("path"), *(F.first(c).alias(c) for c in ("hashes", "open", "longest"))
+        F.min("path").alias("path"), *(F.first(c).alias(c) for c in ("hashes", "open", "by_size"))
+    )
+    keyed = staged(_keyed(staged(light, "page-lines")), "page-keys")
+    first = keyed.groupBy("host", "key").agg(F.min(F.struct("path", "mark", "hashes", "open")).alias("x")).select(
+        "host", "key", "x.path", "x.hashes", "x.open"
     )
-    light = staged(light, "page-lines")
-    order = ["host", "path", "mark"]
+    order = ["host", "path", "key"]
     found = staged(
-        light.repartitionByRange(shuffle_partitions(pages.sparkSession), *order).sortWithinPartitions(*order)
+        first.repartitionByRange(shuffle_partitions(pages.sparkSession), *order).sortWithinPartitions(*order)
         .mapInPandas(_neighbours, _DELETED),
         "page-neighbours",
     )
     edges = found.where("edge IS NOT NULL").select("edge").coalesce(1).mapInPandas(
-        _edges, "host string, mark long, deleted array<int>"
+        _edges, "host string, key long, deleted array<long>"
+    )
+    inner = found.where("deleted IS NOT NULL").select("host", "key", "deleted")
+    deleted = inner.unionByName(edges).groupBy("host", "key").agg(F.collect_set("deleted").alias("deleted"))
+    return keyed.where(F.size("open") > 0).select("host", "mark", "key").join(deleted, ["host", "key"]).select(
+        "host", "mark", "deleted"
     )
-    inner = found.where("deleted IS NOT NULL").select("host", "mark", "deleted")
-    return inner.unionByName(edges).groupBy("host", "mark").agg(F.flatten(F.collect_set("deleted")).alias("deleted"))
 
 
 _TEXT = "page_id long, url string, text string"
 
 
+def page_text(html: str | None, deleted: list[list[int]] | None) -> str:
+    lines = page_lines(html) if html else []
+    gone: set[int] = set()
+    if deleted:
+        hashes = _hashes(lines)
+        for template in deleted:
+            gone.update(common_lines(hashes, template)[0])
+    return main_text(lines, gone)
+
+
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        texts = [
-            main_text(page_lines(html), set(deleted or ())) if html else ""
-            for html, deleted in zip(b.column(2).to_pylist(), b.column(3).to_pylist())
-        ]
+        texts = [page_text(html, deleted) for html, deleted in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 

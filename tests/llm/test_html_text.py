@@ -3,6 +3,7 @@
 import pytest
 
 from lakeloom.llm import html_text
+from lakeloom.llm._shared import ship_package
 
 
 def text(html):
@@ -45,3 +46,28 @@ def test_names_never_drop_what_holds_the_text(page):
 
 def test_text_after_a_dropped_inline_element_stays():
     assert text('<p>One long line of text <span class="ad">Buy</span> goes on.</p>') == "One long line of text goes on."
+
+
+PAGE = "<html><body><div>Top of the page</div><p>Home</p>{}<p>Imprint</p><p>{}</p></body></html>"
+NOTICE = "We store small files on your device; by reading on you agree to this and to all of our long rules."
+
+
+def extracted(spark, pages):
+    ship_package(spark)
+    rows = [(k, f"http://h.org/a/{k:03}", page) for k, page in enumerate(pages)]
+    found = html_text.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r["text"] for r in sorted(found, key=lambda r: r["page_id"])]
+
+
+def test_runs_of_near_copies_lose_the_template(spark):
+    body = "<p>The one article that many pages repeat word for word.</p>"
+    copies = [PAGE.format(f"{body}<p>Day {k}</p>", "Imprint, too") for k in range(6)]
+    others = [PAGE.format(f"<p>Another article, number {k}, with its own words.</p>", "Imprint, too") for k in range(4)]
+    want = [f"The one article that many pages repeat word for word. Day {k}" for k in range(6)]
+    want += [f"Another article, number {k}, with its own words." for k in range(4)]
+    assert extracted(spark, others[:2] + copies + others[2:]) == want[6:8] + want[:6] + want[8:]
+
+
+def test_a_notice_longer_than_the_article_is_template(spark):
+    pages = [PAGE.format(f"<p>Short article {k} here.</p>", NOTICE) for k in range(8)]
+    assert extracted(spark, pages) == [f"Short article {k} here." for k in range(8)]
