@@ -356,6 +356,12 @@ def _shared_by(a: dict, b: dict) -> list[tuple]:
 _DELETED = "host string, key long, deleted array<long>, edge struct<part:int,last:boolean,host:string,key:long,path:string,hashes:array<long>,open:array<int>>"
 
 
+def _found(rows: list[tuple]) -> pd.DataFrame:
+    columns = dict(zip(("host", "key", "deleted", "edge"), map(list, zip(*rows)))) if rows else {}
+    of = {c: pd.Series(columns.get(c, []), dtype="Int64" if c == "key" else object) for c in ("host", "key", "deleted", "edge")}
+    return pd.DataFrame(of)  # by column: keys beside a null would turn to floats and lose digits
+
+
 def _neighbours(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Deleted lines within a sorted partition, and its first and last page."""
     part = TaskContext.get().partitionId()
@@ -369,10 +375,10 @@ def _neighbours(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             else:
                 out.extend((*x, None) for x in _shared_by(before, row))
             before = row
-        yield pd.DataFrame(out, columns=["host", "key", "deleted", "edge"]).astype({"key": "Int64"})
+        yield _found(out)
     if before is not None:
         out = [(None, None, None, {"part": part, "last": True, **before})]
-        yield pd.DataFrame(out, columns=["host", "key", "deleted", "edge"]).astype({"key": "Int64"})
+        yield _found(out)
 
 
 def _edges(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
