@@ -1,5 +1,8 @@
 """Page text: custom and unclosed elements, names on containers, pages without an article element."""
 
+import re
+
+import pyarrow.parquet as pq
 import pytest
 
 from lakeloom.llm import html_text
@@ -71,3 +74,26 @@ def test_runs_of_near_copies_lose_the_template(spark):
 def test_a_notice_longer_than_the_article_is_template(spark):
     pages = [PAGE.format(f"<p>Short article {k} here.</p>", NOTICE) for k in range(8)]
     assert extracted(spark, pages) == [f"Short article {k} here." for k in range(8)]
+
+
+def test_article_free_versions_of_the_given_pages(spark):
+    """Without an article element, alignment alone keeps the articles and deletes a menu that the pages share.
+
+    The pages' own menus change from page to page, so the test adds one menu and footer to all of them.
+    """
+    rows = pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["page_id", "url", "html"]).to_pylist()
+    want, plain = {}, []
+    for r in rows:
+        lines = html_text.page_lines(r["html"] or "")
+        assert not html_text.open_lines(lines)  # on the given pages differencing decides nothing
+        want[r["page_id"]] = [t for t, main, dropped in lines if main and not dropped]
+        html = re.sub(r"<(/?)(?:article|nav|footer|header|aside)\b[^>]*>", r"<\1div>", r["html"] or "")
+        html = html.replace("</body>", "<p>Shared imprint</p></body>").replace("<body>", "<body><p>Shared menu</p><p>Shared home</p>")
+        plain.append((r["page_id"], f"http://one.host/{r['page_id']:06}", re.sub(r'<div class="[^"]*"', "<div", html)))
+    ship_package(spark)
+    got = html_text.extract_pages(spark.createDataFrame(plain, "page_id long, url string, html string")).collect()
+    kept = sum(line in r["text"] for r in got for line in want[r["page_id"]])
+    assert kept >= 0.99 * sum(map(len, want.values()))
+    left = [(r["page_id"], r["text"][:90], r["text"][-60:]) for r in got if "Shared " in r["text"]]
+    assert len(got) == len(rows)
+    assert len(left) <= 0.1 * len(got), len(left)
