@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeloom.llm import (
-    embeddings, exact_dedup, html_text, licenses, minhash, mixing, packing, sharding, substrings, toxicity,
+    byte_bpe, clustering, embeddings, exact_dedup, html_text, licenses, minhash, mixing, packing, sharding, substrings, toxicity,
 )
 from lakeloom.llm._shared import table
 
@@ -55,14 +55,23 @@ def op10_suffix_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op12_matrix_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trips(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op13_shallot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.clustered(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_karmarkar_karp_shards, op2_cross_polytope_vectors, op3_pivotal_mix, op4_nearest_url_text,
         op5_bottom_k_near_dedup, op6_string_kernel_toxicity, op7_digest_tree_dedup, op8_grouping_genetic_packing,
         op9_conditional_compression_licenses, op10_suffix_automaton_dedup,
+        op12_matrix_byte_bpe, op13_shallot_clusters,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_digest_tree_dedup": exact_dedup.ORACLE_SQL}
+    return {"op7_digest_tree_dedup": exact_dedup.ORACLE_SQL, "op13_shallot_clusters": clustering.ORACLE_SQL}
