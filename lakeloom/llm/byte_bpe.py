@@ -247,15 +247,15 @@ def model(path: str | None) -> ByteBpe:
     return _MODELS[path]
 
 
-def _id_lists(parts: list[bytes]) -> Iterator[pa.Array]:
+def _id_lists(parts: list[bytes]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), "<i4"), pa.int32()))
 
 
-def _text_groups(texts: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def _text_groups(texts: list[bytes], most: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Slices of a batch of about ``most`` bytes each."""
     start = held = 0
-    for i, size in enumerate(np.diff(texts.offsets.to_numpy()).tolist()):
+    for i, size in enumerate(map(len, texts)):
         if held and held + size > most:
             yield start, i
             start, held = i, 0
@@ -269,9 +269,9 @@ def _encoded(at: int, path: str | None, split: str, names: list[str]):
         for b in batches:
             if not b.num_rows:
                 continue
-            texts = pa.array(b.column(at).cast(pa.binary()).to_pylist(), pa.binary())
+            texts = [t or b"" for t in b.column(at).cast(pa.binary()).to_pylist()]
             for s, e in _text_groups(texts):
-                ids = bpe.encode([pieces((t or b"").decode("utf-8", "replace")) for t in texts[s:e].to_pylist()])
+                ids = bpe.encode([pieces(t.decode("utf-8", "replace")) for t in texts[s:e]])
                 yield pa.RecordBatch.from_arrays([*(c.slice(s, e - s) for c in b.columns), _id_lists(ids)], names=names)
 
     return run
@@ -282,7 +282,7 @@ def _decoded(at: int, path: str | None, names: list[str]):
         bpe = model(path)
         for b in batches:
             if b.num_rows:
-                out = [bpe.decode(ids.to_pylist() if isinstance(ids, pa.Array) else ids or []) for ids in b.column(at).to_pylist()]
+                out = [bpe.decode(ids or []) for ids in b.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], names=names)
 
     return run
