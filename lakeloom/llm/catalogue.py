@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeloom.llm import (
-    byte_bpe, clustering, embeddings, exact_dedup, html_text, licenses, minhash, mixing, packing, sharding, substrings, toxicity,
+    byte_bpe, clustering, embeddings, exact_dedup, html_text, licenses, minhash, mixing, packing, sharding, spelling, substrings, toxicity,
 )
 from lakeloom.llm._shared import table
 
@@ -55,6 +55,10 @@ def op10_suffix_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_sorted_list_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op12_matrix_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trips(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -68,7 +72,7 @@ def queries() -> dict[str, Query]:
         op1_karmarkar_karp_shards, op2_cross_polytope_vectors, op3_pivotal_mix, op4_nearest_url_text,
         op5_bottom_k_near_dedup, op6_string_kernel_toxicity, op7_digest_tree_dedup, op8_grouping_genetic_packing,
         op9_conditional_compression_licenses, op10_suffix_automaton_dedup,
-        op12_matrix_byte_bpe, op13_shallot_clusters,
+        op11_sorted_list_spelling, op12_matrix_byte_bpe, op13_shallot_clusters,
     )
     return {f.__name__: f for f in found}
 
