@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
     BooleanType,
     DataType,
     DateType,
@@ -20,6 +22,7 @@ from pyspark.sql.types import (
     FloatType,
     MapType,
     StringType,
+    StructType,
     TimestampNTZType,
     TimestampType,
 )
@@ -31,8 +34,6 @@ DIGEST_OVER = 64
 
 
 def is_scalar(dt: DataType) -> bool:
-    from pyspark.sql.types import ArrayType, BinaryType, StructType
-
     return not isinstance(dt, (ArrayType, StructType, MapType, BinaryType))
 
 
@@ -45,6 +46,11 @@ def is_text_like(dt: DataType) -> bool:
     return isinstance(dt, (StringType, BooleanType))
 
 
+def is_non_numeric(dt: DataType) -> bool:
+    """Everything but numbers: text, booleans, dates and times, binary and nested values."""
+    return not is_numeric(dt)
+
+
 def is_temporal(dt: DataType) -> bool:
     return isinstance(dt, (DateType, TimestampType, TimestampNTZType))
 
@@ -64,12 +70,7 @@ def tagged_value(c: Column, dt: DataType) -> Column | None:
     if isinstance(dt, (FloatType, DoubleType)):
         d = c.cast("double")
         integral = (d == F.floor(d)) & (F.abs(d) < F.lit(9.0e18))
-        return F.when(F.isnan(d), F.lit(None)).otherwise(
-            F.concat(
-                F.lit("n:"),
-                F.when(integral, d.cast("bigint").cast("string")).otherwise(d.cast("string")),
-            )
-        )
+        return F.concat(F.lit("n:"), F.when(integral, d.cast("bigint").cast("string")).otherwise(d.cast("string")))
     if isinstance(dt, StringType):
         return F.concat(F.lit("s:"), c)
     if isinstance(dt, BooleanType):
@@ -86,7 +87,7 @@ def sql_tagged_value(col_sql: str, dt: DataType) -> str | None:
     if isinstance(dt, (FloatType, DoubleType, DecimalType)):
         d = f"CAST({col_sql} AS DOUBLE)"
         return (
-            f"CASE WHEN isnan({d}) THEN NULL WHEN {d} = floor({d}) AND abs({d}) < 9.0e18 "
+            f"CASE WHEN {d} IS NULL THEN NULL WHEN {d} = floor({d}) AND abs({d}) < 9.0e18 "
             f"THEN 'n:' || CAST(CAST({d} AS BIGINT) AS VARCHAR) ELSE 'n:' || CAST({d} AS VARCHAR) END"
         )
     if isinstance(dt, StringType):
@@ -140,45 +141,111 @@ def _sql_name(c: str) -> str:
     return "`" + c.replace("`", "``") + "`"
 
 
-def typed_key_sql(name: str, dt: DataType, digest_over: int | None = DIGEST_OVER) -> str | None:
+_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
+def _canonical(x: str, dt: DataType, depth: int = 0) -> str:
+    """A nested value with its maps as sorted entries and no negative zeros, as Spark SQL."""
+    v = f"v{depth}"
+    if isinstance(dt, (FloatType, DoubleType)):
+        return f"({x} + CAST(0 AS {dt.simpleString()}))"
+    if isinstance(dt, ArrayType):
+        inner = _canonical(v, dt.elementType, depth + 1)
+        return x if inner == v else f"transform({x}, {v} -> {inner})"
+    if isinstance(dt, MapType):
+        key, value = _canonical(f"{v}.key", dt.keyType, depth + 1), _canonical(f"{v}.value", dt.valueType, depth + 1)
+        return f"array_sort(transform(map_entries({x}), {v} -> named_struct('key', {key}, 'value', {value})))"
+    if isinstance(dt, StructType):
+        inner = [(f.name, _canonical(f"{x}.{_sql_name(f.name)}", f.dataType, depth)) for f in dt.fields]
+        if all(e == f"{x}.{_sql_name(n)}" for n, e in inner):
+            return x
+        fields = ", ".join("'" + n.replace("\\", "\\\\").replace("'", "\\'") + f"', {e}" for n, e in inner)
+        return f"CASE WHEN {x} IS NOT NULL THEN named_struct({fields}) END"
+    return x
+
+
+def canonical_text_sql(c: str, dt: DataType) -> str:
+    """Text that is equal for equal values: hexadecimal of binary, JSON of nested ones (maps sorted)."""
+    if isinstance(dt, BinaryType):
+        return f"hex({c})"
+    if isinstance(dt, (ArrayType, MapType, StructType)):
+        return f"to_json({_canonical(c, dt)}, map('ignoreNullFields', 'false'))"
+    return f"CAST({c} AS STRING)"
+
+
+def text_key_sql(x: str, digest_over: int | None = DIGEST_OVER) -> str:
+    """``group_key`` of a text as Spark SQL."""
+    if digest_over is None:
+        return f"concat('=', {x})"
+    n = int(digest_over)
+    digest = f"concat('=', substring({x}, 1, {n}), '#', sha2({x}, 256), ':', CAST(length({x}) AS STRING))"
+    return f"CASE WHEN length({x}) <= {n} THEN concat('=', {x}) ELSE {digest} END"
+
+
+def typed_key_sql(name: str, dt: DataType, digest_over: int | None = DIGEST_OVER) -> str:
     """``typed_key`` of column ``name`` as Spark SQL text (one expression, one parse)."""
     c = _sql_name(name)
 
-    def mk(tag: int, i: str = "CAST(NULL AS BIGINT)", d: str = "CAST(NULL AS DOUBLE)",
-           s: str = "CAST(NULL AS STRING)", null_if: str = f"{c} IS NULL") -> str:
-        return (f"CASE WHEN {null_if} THEN NULL ELSE named_struct('t', CAST({tag} AS TINYINT), "
+    def mk(tag: int, i: str = "CAST(NULL AS BIGINT)", d: str = "CAST(NULL AS DOUBLE)", s: str = "CAST(NULL AS STRING)") -> str:
+        return (f"CASE WHEN {c} IS NULL THEN NULL ELSE named_struct('t', CAST({tag} AS TINYINT), "
                 f"'i', {i}, 'd', {d}, 's', {s}) END")
 
     if is_integral(dt):
         return mk(0, i=f"CAST({c} AS BIGINT)")
-    if isinstance(dt, (FloatType, DoubleType, DecimalType)):
+    if isinstance(dt, (FloatType, DoubleType)):
         x = f"CAST({c} AS DOUBLE)"
         integral = f"({x} = floor({x}) AND abs({x}) < 9.0E18)"
-        return mk(0, i=f"CASE WHEN {integral} THEN CAST({x} AS BIGINT) END",
-                  d=f"CASE WHEN NOT {integral} THEN {x} END", null_if=f"{c} IS NULL OR isnan({x})")
+        return mk(0, i=f"CASE WHEN {integral} THEN CAST({x} AS BIGINT) END", d=f"CASE WHEN NOT {integral} THEN {x} END")
+    if isinstance(dt, DecimalType):
+        if dt.scale == 0 and dt.precision <= 18:
+            return mk(0, i=f"CAST({c} AS BIGINT)")
+        text, x = f"CAST({c} AS STRING)", f"CAST({c} AS DOUBLE)"
+        whole = "TRUE" if dt.scale == 0 else f"({c} = 0 OR {text} RLIKE '[.]0*$')"
+        integral = f"({whole} AND abs({x}) < 9.0E18)"
+        # a double stands for the decimal only where it gives back the same decimal
+        double = f"coalesce(TRY_CAST({x} AS {dt.simpleString()}) = {c}, FALSE)"
+        digits = text if dt.scale == 0 else f"TRIM(TRAILING '0' FROM {text})"
+        return mk(0, i=f"CASE WHEN {integral} THEN CAST({c} AS BIGINT) END",
+                  d=f"CASE WHEN NOT {integral} AND {double} THEN {x} END",
+                  s=f"CASE WHEN NOT {integral} AND NOT {double} THEN concat('#', {digits}) END")
     if isinstance(dt, StringType):
-        plain = f"concat('=', {c})"
-        if digest_over is None:
-            return mk(1, s=plain)
-        digest = f"concat('#', sha2({c}, 256), ':', CAST(length({c}) AS STRING))"
-        return mk(1, s=f"CASE WHEN length({c}) <= {int(digest_over)} THEN {plain} ELSE {digest} END")
+        return mk(1, s=text_key_sql(c, digest_over))
     if isinstance(dt, BooleanType):
         return mk(2, i=f"CASE WHEN {c} THEN 1L ELSE 0L END")
-    if isinstance(dt, (DateType, TimestampType, TimestampNTZType)):
-        return mk(3, i=f"unix_micros(CAST(CAST({c} AS TIMESTAMP_NTZ) AS TIMESTAMP))")
-    return None
-
+    if isinstance(dt, TimestampType):  # the instant; its wall clock time would repeat where clocks are set back
+        return mk(3, i=f"unix_micros({c})")
+    if isinstance(dt, (DateType, TimestampNTZType)):
+        return mk(3, i=f"timestampdiff(MICROSECOND, {_EPOCH}, CAST({c} AS TIMESTAMP_NTZ))")
+    tag = 5 if isinstance(dt, BinaryType) else 4
+    return mk(tag, s=text_key_sql(canonical_text_sql(c, dt), digest_over))
+
+
+def typed_key(c: str, dt: DataType, digest_over: int | None = DIGEST_OVER) -> Column:
+    """Exact, class-tagged grouping key ``struct<t, i, d, s>`` of column ``c``.
+
+    * numbers: integral values of any numeric type in ``i``, so 1 == 1.0 across columns, as
+      ``isin`` compares; other floating values in ``d`` (NaN is a value, equal to itself); decimals
+      in ``i`` or ``d`` where that is exact, else all their digits in ``s``;
+    * text: ``s`` (``=text``, or its start and a SHA-256 digest for long text); never equal to numbers;
+    * dates and timestamps: microseconds in ``i`` under their own tag; booleans likewise;
+    * binary and nested values: ``s`` of their canonical text (maps as sorted entries).
+
+    Tags are small ints: 0 number, 1 text, 2 boolean, 3 date/time, 4 nested, 5 binary. Null cells give
+    a null key. Built as one SQL expression: a per-column tree of Column calls would cost hundreds
+    of driver round trips on a wide table set.
+    """
+    return F.expr(typed_key_sql(c, dt, digest_over))
 
-def typed_key(c: str, dt: DataType, digest_over: int | None = DIGEST_OVER) -> Column | None:
-    """Fixed-width, class-tagged grouping key ``struct<t, i, d, s>`` of column ``c``.
 
-    * numbers: integral values (ints, and floats/doubles equal to an integer) in ``i``,
-      other floating values in ``d``: so 1 == 1.0 across columns, as ``isin`` compares;
-    * text: ``s`` (``=text`` or a SHA-256 digest for long text); never equal to numbers;
-    * dates and timestamps: microseconds in ``i`` under their own tag; booleans likewise.
-    Tags are small ints: 0 number, 1 text, 2 boolean, 3 date/time. Null cells give a
-    null key; nested types give None. Built as one SQL expression: a per-column tree of
-    Column calls would cost hundreds of driver round trips on a wide table set.
-    """
-    sql = typed_key_sql(c, dt, digest_over)
-    return None if sql is None else F.expr(sql)
+def key_value_sql(dt: DataType, i: str = "i", s: str = "s", digest_over: int | None = DIGEST_OVER) -> str:
+    """The text of a key's value as Spark SQL; null for a digest and for binary and nested values."""
+    if isinstance(dt, StringType):
+        whole = f"substring({s}, 2)"
+        return whole if digest_over is None else f"CASE WHEN length({s}) <= {int(digest_over) + 1} THEN {whole} END"
+    if isinstance(dt, BooleanType):
+        return f"CASE WHEN {i} = 1 THEN 'true' WHEN {i} = 0 THEN 'false' END"
+    if isinstance(dt, TimestampType):
+        return f"CAST(timestamp_micros({i}) AS STRING)"
+    if isinstance(dt, (DateType, TimestampNTZType)):
+        return f"CAST(CAST(timestampadd(MICROSECOND, {i}, {_EPOCH}) AS {dt.simpleString()}) AS STRING)"
+    return "CAST(NULL AS STRING)"

@@ -21,12 +21,11 @@ from lakeloom.functions.patterns import is_date_text
 from lakeloom.functions.values import (
     DIGEST_OVER,
     _sql_name,
-    group_key,
+    is_non_numeric,
     is_numeric,
     is_scalar,
     is_temporal,
-    is_text_like,
-    text_of,
+    typed_key,
 )
 from lakeloom.operators.parallel import spread
 from lakeloom.operators.quantiles import exact_quantiles
@@ -80,8 +79,8 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     )
 
 
-def text_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if is_text_like(f.dataType)]
+def non_numeric_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if is_non_numeric(f.dataType)]
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -90,21 +89,28 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 def describe_non_numeric(df: DataFrame, columns: Sequence[str] | None = None,
                          digest_over: int | None = DIGEST_OVER) -> DataFrame:
-    """(column, count, unique, top, freq) over text columns (R5, A10). Nulls are not counted.
+    """(column, count, unique, top, freq) over all non-numeric columns (R5, A10, P9). Nulls are not counted.
 
-    ``top`` is the smallest of the most frequent values (D6). No text column -> no rows.
+    Text, booleans, dates and times, binary and nested columns. ``top`` is the smallest of the most
+    frequent values (D6) as text, null for binary and nested columns. A column without values has
+    a row with no values counted; without such columns there are no rows.
     """
-    cols = text_columns(df) if columns is None else list(columns)
+    cols = non_numeric_columns(df) if columns is None else list(columns)
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column_name string, count long, unique long, top string, freq long")
+    named = [c for c in cols if is_scalar(df.schema[c].dataType)]
     freq = value_frequencies(long_cells(df, cols, explode_arrays=False, digest_over=digest_over))
     summary = column_summary(freq)
-    tops = resolve_keys(df, tied_keys(freq, summary, digest_over), cols,
-                        explode_arrays=False, digest_over=digest_over)
+    of_named = summary.where(F.col("column").isin(named))
+    tops = resolve_keys(df, tied_keys(freq, of_named, digest_over), named, explode_arrays=False, digest_over=digest_over)
+    every = df.sparkSession.createDataFrame([(c,) for c in cols], "name string").alias("e")  # one row a column
     s = summary.alias("s")
     t = tops.groupBy("column").agg(F.min("value").alias("value")).alias("t")
-    return s.join(t, F.col("s.column") == F.col("t.column"), "left").select(
-        F.col("s.column").alias("column_name"),
-        F.col("s.cells").alias("count"),
-        F.col("s.distinct").alias("unique"),
+    joined = every.join(s, F.col("e.name") == F.col("s.column"), "left").join(t, F.col("e.name") == F.col("t.column"), "left")
+    return joined.select(
+        F.col("e.name").alias("column_name"),
+        F.coalesce("s.cells", F.lit(0)).cast("long").alias("count"),
+        F.coalesce("s.distinct", F.lit(0)).cast("long").alias("unique"),
         F.col("t.value").alias("top"),
         F.col("s.max_freq").alias("freq"),
     )
@@ -141,9 +147,9 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, digits
 
 
 def describe_all(df: DataFrame, digits: int | None = None, **quantile_opts) -> DataFrame:
-    """Text and numeric columns in one report, other statistics null (R6: describe of all).
+    """All columns in one report, other statistics null (R6: describe of all).
 
-    Text columns carry count/unique/top/freq, numeric columns count/mean/std/min/quartiles/max.
+    Non-numeric columns carry count/unique/top/freq, numeric columns count/mean/std/min/quartiles/max.
     """
     text = describe_non_numeric(df)
     nums = describe_numeric(df, digits=digits, **quantile_opts)
@@ -154,26 +160,20 @@ def describe_all(df: DataFrame, digits: int | None = None, **quantile_opts) -> D
     )
 
 
-def _groupable(c: str, dt) -> Column:
-    """A grouping expression equal for equal values: long text digested, maps sorted."""
-    if isinstance(dt, StringType):
-        return group_key(q(c), DIGEST_OVER)
-    if not is_scalar(dt) and not isinstance(dt, ArrayType):
-        return text_of(q(c), dt)
-    return q(c)
-
-
 def duplicate_count(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    """(duplicate_qty) = rows - distinct rows, nulls equal to nulls.
+    """(duplicate_qty) = rows - distinct rows, nulls equal to nulls.
 
-    Grouping runs on fixed-width keys (long text as SHA-256 + length, maps as sorted
-    entries) with a partial aggregate, so the shuffle moves digests, not documents, and a
-    row repeated a billion times collapses before the exchange.
+    Rows are first counted by a fingerprint of two 64-bit hashes, so what is shuffled is 16 bytes a
+    row, and a row repeated a billion times collapses before the exchange. Only rows whose fingerprint
+    repeats are then compared by their exact keys (long text as SHA-256, nested values by content).
     """
     cols = list(df.columns if subset is None else subset)
-    keys = [_groupable(c, df.schema[c].dataType).alias(f"k{i}") for i, c in enumerate(cols)]
-    groups = spread(df.select(*[q(c) for c in cols])).select(*keys).groupBy(*[f"k{i}" for i in range(len(cols))]).agg(
-        F.count(F.lit(1)).alias("n"))
+    keys = [typed_key(c, df.schema[c].dataType).alias(f"k{i}") for i, c in enumerate(cols)]
+    names = [f"k{i}" for i in range(len(cols))]
+    rows = spread(df.select(*[q(c) for c in cols])).select(*keys).select(
+        F.xxhash64(*names).alias("h1"), F.xxhash64(F.lit(1), *reversed(names)).alias("h2"), *names)
+    again = rows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2")
+    groups = rows.join(again, ["h1", "h2"], "left_semi").groupBy("h1", "h2", *names).agg(F.count(F.lit(1)).alias("n"))
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicate_qty"))
 
 
@@ -182,17 +182,13 @@ def unique_columns(df: DataFrame, columns: Sequence[str] | None = None, null_is_
 
     R8 counts null as one more value: unique iff distinct non-null + (any null) == rows.
     M1 ignores nulls: every non-null value occurs once and there is at least one.
+    Values are exact: decimals by all their digits, NaN is a value, nested and binary values by content.
     """
-    cols = [c for c in (df.columns if columns is None else columns) if is_scalar(df.schema[c].dataType)
-            or isinstance(df.schema[c].dataType, ArrayType)]
+    cols = list(df.columns if columns is None else columns)
     cc = column_counts(df, cols)
-    keys, ids = long_keys(df, [c for c in cols if is_scalar(df.schema[c].dataType)])
+    keys, ids = long_keys(df, cols)
     ids_df = df.sparkSession.createDataFrame(ids, "ci int, column string")
     summary = key_stats(keys).join(F.broadcast(ids_df), "ci").select("column", "distinct", "cells", "max_freq")
-    arrays = [c for c in cols if not is_scalar(df.schema[c].dataType)]
-    if arrays:  # arrays compare by their text rendering
-        summary = summary.unionByName(column_summary(value_frequencies(long_cells(df, arrays, explode_arrays=False)))
-                                      .select("column", "distinct", "cells", "max_freq"))
     j = cc.join(summary, "column", "left")
     distinct = F.coalesce(F.col("distinct"), F.lit(0))
     max_freq = F.coalesce(F.col("max_freq"), F.lit(0))

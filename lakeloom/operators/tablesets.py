@@ -54,7 +54,7 @@ def unique_columns_table_set(tables: Mapping[str, DataFrame]) -> DataFrame:
     spark = _spark_of(tables)
     cells, counts, names = [], [], []
     for name, df in tables.items():
-        cols = [f.name for f in df.schema.fields if is_scalar(f.dataType)]
+        cols = df.columns
         if not cols:
             continue
         keys, ids = long_keys(df, cols, id_offset=len(names))
@@ -109,9 +109,9 @@ def contained_columns(
             df = daily_slice(df, day)
         entries = []
         for f in df.schema.fields:
-            key = typed_key(f.name, f.dataType, DIGEST_OVER)
-            if key is None:
+            if not is_scalar(f.dataType):
                 continue
+            key = typed_key(f.name, f.dataType, DIGEST_OVER)
             idx = len(columns)
             columns.append((name, f.name))
             if null_is_value:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from lakeloom.functions.values import DIGEST_OVER, _sql_name, group_key, is_digest, key_start, is_scalar, key_text, text_of, typed_key
+from lakeloom.functions.values import DIGEST_OVER, _sql_name, canonical_text_sql, group_key, is_digest, key_start, is_scalar, key_text, text_of, typed_key
 from lakeloom.operators.parallel import spread
 from lakeloom.operators.transforms import q
 
@@ -77,7 +77,7 @@ def long_cells(
         elif is_scalar(dt):
             pieces.append(F.expr(f"array(named_struct('column', {_lit(c)}, 'value', CAST({_sql_name(c)} AS STRING)))"))
         else:
-            pieces.append(F.array(F.struct(F.lit(c).alias("column"), text_of(q(c), dt).alias("value"))))
+            pieces.append(F.array(F.struct(F.lit(c).alias("column"), F.expr(canonical_text_sql(_sql_name(c), dt)).alias("value"))))
     if not pieces:
         return df.sparkSession.createDataFrame([], "column string, key string, value string")
     src = spread(df.select(*[q(c) for c in cols]))
@@ -143,7 +143,7 @@ def resolve_keys(
 
 def long_keys(df: DataFrame, columns: Sequence[str], digest_over: int | None = DIGEST_OVER,
               id_offset: int = 0) -> tuple[DataFrame, list[tuple[int, str]]]:
-    """Typed keys ``(ci, i, d, s)`` of every non-null scalar cell, one scan for all columns.
+    """Typed keys ``(ci, i, d, s)`` of every non-null cell, one scan for all columns.
 
     Cheaper than text cells when only equality within a column matters (distinct counts,
     uniqueness): numbers are never formatted, long text is a digest, and only an integer
@@ -151,11 +151,9 @@ def long_keys(df: DataFrame, columns: Sequence[str], digest_over: int | None = D
     """
     entries, names = [], []
     for c in columns:
-        k = typed_key(c, df.schema[c].dataType, digest_over)
-        if k is not None:
-            ci = id_offset + len(names)
-            entries.append(F.struct(F.lit(ci).alias("ci"), k.alias("k")))
-            names.append((ci, c))
+        ci = id_offset + len(names)
+        entries.append(F.struct(F.lit(ci).alias("ci"), typed_key(c, df.schema[c].dataType, digest_over).alias("k")))
+        names.append((ci, c))
     if not entries:
         return df.sparkSession.createDataFrame([], "ci int, i bigint, d double, s string"), names
     src = spread(df.select(*[q(c) for _, c in names]))

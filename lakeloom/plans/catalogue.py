@@ -240,6 +240,42 @@ def duplicate_rows(spark: SparkSession, sf: str) -> DataFrame:
     return profilers.duplicate_count(load(spark, sf, "conversations").select("role", "text"))
 
 
+def duplicate_rows_table_set(spark: SparkSession, sf: str) -> DataFrame:
+    """Duplicates among the whole rows of every table."""
+    return _per_table({t: profilers.duplicate_count(df) for t, df in load_all(spark, sf).items()})
+
+
+def describe_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    """Every non-numeric column of all tables: text, times, lists."""
+    return _per_table({t: profilers.describe_non_numeric(df) for t, df in load_all(spark, sf).items()})
+
+
+def _exact_values(spark: SparkSession, sf: str) -> DataFrame:
+    """The line items with exact money, dates, binary and nested columns, and NaN where nothing is discounted."""
+    li = load(spark, sf, "lineitem")
+    return li.select(
+        "l_orderkey", "l_linenumber",
+        (F.col("l_extendedprice").cast("decimal(20,2)") * F.lit(1000000).cast("decimal(10,0)")
+         + F.col("l_orderkey").cast("decimal(20,2)")).cast("decimal(38,2)").alias("price_key"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("decimal(20,0)").alias("line_key"),
+        F.when(F.col("l_discount") == 0, float("nan")).otherwise(F.col("l_discount")).alias("discount"),
+        F.to_date("l_shipdate").alias("ship_date"),
+        F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).cast("binary").alias("raw"),
+        F.array("l_orderkey", F.col("l_linenumber").cast("long")).alias("pair"),
+        F.struct("l_returnflag", "l_linestatus").alias("flags"),
+    )
+
+
+def unique_exact_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Unique columns among exact decimals, NaN, dates, binary and nested values."""
+    return profilers.unique_columns(_exact_values(spark, sf))
+
+
+def describe_exact_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Describe of date, binary and nested columns."""
+    return profilers.describe_non_numeric(_exact_values(spark, sf))
+
+
 def unique_columns(spark: SparkSession, sf: str) -> DataFrame:
     return profilers.unique_columns(load(spark, sf, "customer"))
 
@@ -313,11 +349,9 @@ def data_dictionary(spark: SparkSession, sf: str) -> DataFrame:
     return tablesets.data_dictionary(load_all(spark, sf), order_by=ORDER_KEYS, mode="first")
 
 
-REPORT_TABLES = ["customer", "supplier", "orders"]
-
-
 def profile_report(spark: SparkSession, sf: str) -> DataFrame:
-    return profiling.profile_report(load_all(spark, sf, REPORT_TABLES))
+    """All eleven reports of all tables."""
+    return profiling.profile_report(load_all(spark, sf), order_by=ORDER_KEYS)
 
 
 # ------------------------------------------------------------------------ registry
@@ -355,6 +389,10 @@ def queries() -> dict[str, Query]:
         "describe_all": describe_all,
         "duplicate_count": duplicate_count,
         "duplicate_rows": duplicate_rows,
+        "duplicate_rows_table_set": duplicate_rows_table_set,
+        "describe_mixed": describe_mixed,
+        "unique_exact_keys": unique_exact_keys,
+        "describe_exact_values": describe_exact_values,
         "unique_columns": unique_columns,
         "unique_columns_table_set": unique_columns_table_set,
         "null_counts": null_counts,
@@ -453,9 +491,7 @@ def _sql_value_counts_wide() -> str:
 def _sql_unique_table_set() -> str:
     parts = []
     for t in TABLE_NAMES:
-        for c, k in SCHEMAS[t]:
-            if k == "floats":
-                continue
+        for c, _ in SCHEMAS[t]:
             parts.append(
                 f"SELECT '{t}' AS table_name, '{c}' AS column_name, COUNT(*) AS row_count FROM {t} "
                 f"HAVING COUNT({c}) = COUNT(DISTINCT {c}) AND COUNT({c}) > 0"
@@ -473,6 +509,43 @@ def _sql_unique_columns() -> str:
     return _union_sql(parts)
 
 
+_SQL_EXACT = (
+    "WITH x AS (SELECT l_orderkey, l_linenumber, CAST(CAST(l_extendedprice AS DECIMAL(20,2)) * 1000000 + l_orderkey "
+    "AS DECIMAL(38,2)) AS price_key, CAST(l_orderkey * 8 + l_linenumber AS DECIMAL(20,0)) AS line_key, "
+    "CASE WHEN l_discount = 0 THEN CAST('nan' AS DOUBLE) ELSE l_discount END AS discount, CAST(l_shipdate AS DATE) AS ship_date, "
+    "CAST(l_orderkey || '-' || l_linenumber AS BLOB) AS raw, [l_orderkey, l_linenumber] AS pair, "
+    "{{'l_returnflag': l_returnflag, 'l_linestatus': l_linestatus}} AS flags FROM lineitem) {0}"
+)
+
+
+def _sql_unique_exact() -> str:
+    return _SQL_EXACT.format(_union_sql([
+        f"SELECT '{c}' AS column_name, COUNT(*) AS row_count FROM x HAVING COUNT(DISTINCT {c}) = COUNT(*)"
+        for c in ("l_orderkey", "l_linenumber", "price_key", "line_key", "discount", "ship_date", "raw", "pair", "flags")]))
+
+
+def _sql_describe_exact() -> str:
+    parts = []
+    for c in ("ship_date", "raw", "pair", "flags"):
+        top = "CAST(first(v ORDER BY n DESC, v ASC) AS VARCHAR)" if c == "ship_date" else "NULL::VARCHAR"
+        parts.append(f"SELECT '{c}' AS column_name, CAST(SUM(n) AS BIGINT) AS count, COUNT(*) AS \"unique\", {top} AS top, "
+                     f"max(n) AS freq FROM (SELECT {c} AS v, COUNT(*) AS n FROM x GROUP BY 1)")
+    return _SQL_EXACT.format(_union_sql(parts))
+
+
+def _sql_describe_mixed() -> str:
+    parts = []
+    for t in TABLE_NAMES:
+        for c, k in SCHEMAS[t]:
+            if k in ("string", "ts", "floats"):
+                top = "NULL::VARCHAR" if k == "floats" else "CAST(first(v ORDER BY n DESC, v ASC) AS VARCHAR)"
+                parts.append(
+                    f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST(coalesce(SUM(n), 0) AS BIGINT) AS count, "
+                    f"COUNT(*) AS \"unique\", {top} AS top, max(n) AS freq FROM "
+                    f"(SELECT {c} AS v, COUNT(*) AS n FROM {t} WHERE {c} IS NOT NULL GROUP BY 1)")
+    return _union_sql(parts)
+
+
 def _sql_null_counts() -> str:
     j = "SELECT d.*, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"
     cols = _sql_columns("documents") + ["quality", "toxic"]
@@ -506,10 +579,10 @@ def _sql_describe_non_numeric(padded: bool = False) -> str:
     parts = []
     pad = (", NULL::DOUBLE AS mean, NULL::DOUBLE AS std, NULL::DOUBLE AS min, NULL::DOUBLE AS p25, "
            "NULL::DOUBLE AS p50, NULL::DOUBLE AS p75, NULL::DOUBLE AS max") if padded else ""
-    for c in _sql_columns("orders", ("string",)):
+    for c in _sql_columns("orders", ("string", "ts")):
         parts.append(
             f"SELECT '{c}' AS column_name, CAST(SUM(n) AS BIGINT) AS count, COUNT(*) AS unique, "
-            f"first(v ORDER BY n DESC, v ASC) AS top, max(n) AS freq{pad} FROM "
+            f"CAST(first(v ORDER BY n DESC, v ASC) AS VARCHAR) AS top, max(n) AS freq{pad} FROM "
             f"(SELECT {c} AS v, COUNT(*) AS n FROM orders WHERE {c} IS NOT NULL GROUP BY 1)"
         )
     return _union_sql(parts)
@@ -647,6 +720,12 @@ def oracle_sql() -> dict[str, str]:
             "SELECT CAST(COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT role, text FROM conversations)) AS BIGINT) "
             "AS duplicate_qty FROM conversations"
         ),
+        "duplicate_rows_table_set": _union_sql([
+            f"SELECT '{t}' AS table_name, CAST(COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM {t})) AS BIGINT) "
+            f"AS duplicate_qty FROM {t}" for t in TABLE_NAMES]),
+        "describe_mixed": _sql_describe_mixed(),
+        "unique_exact_keys": _sql_unique_exact(),
+        "describe_exact_values": _sql_describe_exact(),
         "unique_columns": _sql_unique_columns(),
         "unique_columns_table_set": _sql_unique_table_set(),
         "null_counts": _sql_null_counts(),
@@ -659,5 +738,5 @@ def oracle_sql() -> dict[str, str]:
         "contained_columns": _sql_contained(),
         "find_value": _sql_find_value(),
         "data_dictionary": _sql_data_dictionary(),
-        "profile_report": profiling.report_sql(REPORT_TABLES),
+        "profile_report": profiling.report_sql(TABLE_NAMES),
     }

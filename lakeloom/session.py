@@ -61,3 +61,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def is_local_path(path: str) -> bool:
     return path.startswith("/") or path.startswith("file:") or os.path.isabs(path)
+
+
+def written(df, name: str):
+    """``df`` written once under the shared checkpoint folder and read back: cuts the lineage."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
