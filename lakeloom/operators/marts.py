@@ -10,7 +10,7 @@ Scale notes
   period (that would send all items of a year to one task). ``dense_rank`` of a count
   equals the rank of that count among the *distinct* counts of its period, and a
   period with N views has at most sqrt(2N) distinct counts; the window runs over that
-  small table and the rank is joined back. Top-with-ties is ``count == max(count)`` per
+  small table and the rank is joined back in salted copies. Top-with-ties is ``count == max(count)`` per
   period, a two-phase aggregate plus an equi-join.
 """
 
@@ -69,29 +69,37 @@ def fact_dim_counts(
     return j.groupBy(*out_groups).agg(F.sum(F.col("__n") * F.col("__m")).alias(count_name))
 
 
+# Copies of a rank level, dealt over as many keys: a third of all items share the lowest count of a period.
+LEVEL_COPIES = 64
+
+
 def dense_rank_counts(
     counts: DataFrame,
     partition_col: str,
     count_col: str,
     rank_col: str = "rank",
+    copies: int = LEVEL_COPIES,
 ) -> DataFrame:
     """``dense_rank() OVER (PARTITION BY partition_col ORDER BY count_col DESC)``.
 
     Valid for non-negative integer counts: the window only sees distinct
     (partition, count) pairs, at most sqrt(2 * total) per partition. Null partitions form
-    their own group, as in a window.
+    their own group, as in a window. Each level is joined back in ``copies`` copies, so that
+    the rows of one hot (partition, count) go to as many tasks.
     """
     levels = counts.select(partition_col, count_col).distinct()
     w = Window.partitionBy(partition_col).orderBy(F.col(count_col).desc())
-    ranked = levels.withColumn(rank_col, F.dense_rank().over(w))
-    r = ranked.alias("__r")
-    c = counts.alias("__c")
+    copy = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
+    r = levels.withColumn(rank_col, F.dense_rank().over(w)).withColumn("__copy", copy).alias("__r")
+    dealt = F.pmod(F.xxhash64(*[q(c) for c in counts.columns]), F.lit(copies)).cast("int")
+    c = counts.withColumn("__copy", dealt).alias("__c")
     joined = c.join(
         r,
         (F.col(f"__c.{partition_col}").eqNullSafe(F.col(f"__r.{partition_col}")))
-        & (F.col(f"__c.{count_col}") == F.col(f"__r.{count_col}")),
+        & (F.col(f"__c.{count_col}") == F.col(f"__r.{count_col}"))
+        & (F.col("__c.__copy") == F.col("__r.__copy")),
     )
-    return joined.select("__c.*", F.col(f"__r.{rank_col}"))
+    return joined.select(*[F.col(f"__c.`{x}`") for x in counts.columns], F.col(f"__r.{rank_col}"))
 
 
 def top_with_ties(counts: DataFrame, partition_col: str, count_col: str) -> DataFrame:

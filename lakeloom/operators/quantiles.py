@@ -7,17 +7,19 @@ Here a quantile is the value at a known rank (``floor``/``ceil`` of ``(n-1)p``).
 target rank we keep a bracket ``[lo, hi]`` that provably holds it (``below`` values are
 smaller than ``lo``). While a bracket holds more than ``limit`` values, a mergeable
 ``percentile_approx`` sketch over the bracket proposes a narrower one, and an exact count
-verifies it (a wrong proposal is rejected and retried with a wider margin, so sketch
-error can cost time but never correctness). Once every bracket is small, the values
-inside are grouped by value and ranked with a window partitioned by (column, target):
-at most ``limit`` distinct values per task. The driver only holds the bounds: a few
-numbers per (column, target).
+verifies it (a wrong proposal is rejected, so sketch error can cost time but never
+correctness). A bracket that a round does not narrow is not refined further. The values of
+a small bracket are grouped by value and ranked with a window partitioned by (column,
+target): at most ``limit`` distinct values per task. Larger ones are ranked by many tasks
+(``distributed_ranks``): range partitions of the distinct values, written once, with a prefix
+sum over their counts. The driver only holds the bounds: a few numbers per (column, target).
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
@@ -27,7 +29,7 @@ from lakeloom.functions.values import _sql_name
 from lakeloom.operators.parallel import spread
 from lakeloom.operators.transforms import q
 from lakeloom.operators.unpivot import _lit
-from lakeloom.session import checkpoint_root
+from lakeloom.session import checkpoint_root, written
 
 
 def numeric_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -46,6 +48,23 @@ def _in_bracket(lo_col: str = "lo", hi_col: str = "hi"):
     return (F.col(lo_col).isNull() | (v >= F.col(lo_col))) & (F.col(hi_col).isNull() | (v <= F.col(hi_col)))
 
 
+def distributed_ranks(values: DataFrame) -> DataFrame:
+    """``values(column, bid, below, v, cnt)`` with ``cum``, the running count of each (column, bid) by v.
+
+    The values are range-partitioned and written, which fixes the partitions; each partition counts
+    its own, the partition counts - a few a bracket and partition - give every partition what comes
+    before it, and the running count is a window inside a partition.
+    """
+    spread_ = values.repartitionByRange("column", "bid", "v").withColumn("part", F.spark_partition_id())
+    dealt = written(spread_, "quantile-ranges")
+    own = dealt.groupBy("column", "bid", "part").agg(F.sum("cnt").alias("in_part"))
+    earlier = Window.partitionBy("column", "bid").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = own.select("column", "bid", "part", F.coalesce(F.sum("in_part").over(earlier), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("column", "bid", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return dealt.join(offsets, ["column", "bid", "part"]).withColumn(
+        "cum", F.col("offset") + F.sum("cnt").over(inside)).select(*values.columns, "cum")
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -53,11 +72,13 @@ def exact_quantiles(
     limit: int = 1_000_000,
     accuracy: int = 10_000,
     counts: dict[str, int] | None = None,
+    refine: bool = True,
 ) -> DataFrame:
     """(column, prob, value) with pandas' linear interpolation; value null for empty columns.
 
     ``counts`` (non-null, non-NaN cells per column) may come from an aggregate the caller
-    already ran; otherwise one counting pass runs first.
+    already ran; otherwise one counting pass runs first. ``refine=False`` ranks the whole columns
+    without narrowing any bracket.
     """
     spark = df.sparkSession
     cells = numeric_cells(df, columns)
@@ -77,13 +98,11 @@ def exact_quantiles(
             lo_r, hi_r = int(math.floor(h)), int(math.ceil(h))
             plan.append((c, float(p), lo_r, hi_r, h - lo_r))
             for r in (lo_r, hi_r):
-                brackets.setdefault((c, r), {"lo": None, "hi": None, "below": 0, "inside": n, "margin": 2.0})
+                brackets.setdefault((c, r), {"lo": None, "hi": None, "below": 0, "inside": n})
 
     persisted = False
     while True:
-        # a bracket that a proposal did not narrow three times holds few, heavy values: the
-        # last step counts those before it ranks them
-        active = [k for k, b in brackets.items() if b["inside"] > limit and b.get("missed", 0) < 3
+        active = [k for k, b in brackets.items() if refine and b["inside"] > limit and not b.get("done")
                   and not (b["lo"] is not None and b["lo"] == b["hi"])]
         if not active:
             break
@@ -102,8 +121,8 @@ def exact_quantiles(
         for pr in proposals:
             b = brackets[(pr["column"], pr["rank"])]
             rel = (pr["rank"] - b["below"]) / max(b["inside"] - 1, 1)
-            i_lo = math.floor(max(0.0, rel - b["margin"] * eps) * grid)
-            i_hi = math.ceil(min(1.0, rel + b["margin"] * eps) * grid)
+            i_lo = math.floor(max(0.0, rel - 2 * eps) * grid)
+            i_hi = math.ceil(min(1.0, rel + 2 * eps) * grid)
             new_lo = b["lo"] if i_lo <= 0 else pr["qs"][i_lo]
             new_hi = b["hi"] if i_hi >= grid else pr["qs"][i_hi]
             rows2.append((pr["column"], pr["rank"], b["lo"], b["hi"], new_lo, new_hi))
@@ -128,31 +147,37 @@ def exact_quantiles(
             if below <= key[1] < below + ins and ins < b["inside"]:
                 b["lo"], b["hi"] = proposed[key]
                 b["below"], b["inside"] = below, ins
-            else:  # the sketch missed or did not narrow: keep the proven bracket, widen the margin
-                b["margin"] *= 4.0
-                b["missed"] = b.get("missed", 0) + 1
+            else:  # the sketch missed or did not narrow: the proven bracket is ranked as it is
+                b["done"] = True
 
     # final exact step: rank the distinct values inside each distinct bracket once
     bracket_ids: dict[tuple, int] = {}
-    target_rows = []
+    target_rows, large = [], set()
     for (c, r), b in brackets.items():
         bkey = (c, b["lo"], b["hi"], b["below"])
         bid = bracket_ids.setdefault(bkey, len(bracket_ids))
         target_rows.append((c, bid, r))
+        if b["inside"] > limit:
+            large.add(bid)
     if target_rows:
         bt = spark.createDataFrame([(c, bid, lo, hi, below) for (c, lo, hi, below), bid in bracket_ids.items()],
                                    "column string, bid int, lo double, hi double, below long")
         tt = spark.createDataFrame(target_rows, "column string, bid int, rank long")
-        w = Window.partitionBy("column", "bid").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ranked = (
+        values = (
             cells.join(F.broadcast(bt), "column")  # bounded: columns x distinct brackets
             .where(_in_bracket())  # only cells inside a bracket reach the shuffle
             .groupBy("column", "bid", "below", "v")  # distinct-value compression, map-side combine
             .agg(F.count(F.lit(1)).alias("cnt"))
-            .withColumn("cum", F.sum("cnt").over(w))
-            .select("column", "bid", "v", (F.col("below") + F.col("cum") - F.col("cnt")).alias("first"),
-                    (F.col("below") + F.col("cum")).alias("after"))
         )
+        w = Window.partitionBy("column", "bid").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        parts = []
+        if len(large) < len(bracket_ids):
+            parts.append(values.where(~F.col("bid").isin(sorted(large))).withColumn("cum", F.sum("cnt").over(w)))
+        if large:
+            parts.append(distributed_ranks(values.where(F.col("bid").isin(sorted(large)))))
+        ranked = reduce(lambda x, y: x.unionByName(y), parts).select(
+            "column", "bid", "v", (F.col("below") + F.col("cum") - F.col("cnt")).alias("first"),
+            (F.col("below") + F.col("cum")).alias("after"))
         ranked = (
             ranked.join(F.broadcast(tt), ["column", "bid"])  # bounded: columns x targets
             .where((F.col("first") <= F.col("rank")) & (F.col("rank") < F.col("after")))

@@ -10,10 +10,10 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 from lakeloom.functions.casts import legacy_cast
-from lakeloom.functions.json import flatten_struct_columns, infer_json_schema
+from lakeloom.functions.json import flatten_struct_columns, infer_json_schemas
 from lakeloom.functions.values import is_temporal
 
 
@@ -52,30 +52,58 @@ def flatten_payload(
     )
 
 
-def flatten_json_auto(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Append the fields of JSON text columns with dotted names.
-
-    The schema of each column is inferred from all rows with the mergeable
-    ``schema_of_variant_agg`` aggregate. The original column is kept; nested objects
-    become ``a.b`` columns; arrays stay arrays. Clashing names get the source column as
-    prefix. ``columns=None`` flattens every string column whose rows look like JSON objects.
+def flatten_json_auto(
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    mode: str = "share",
+    threshold: float = 0.5,
+    order_by: str | Sequence[str] | None = None,
+    expand_lists: int = 0,
+) -> DataFrame:
+    """Append the fields of JSON text columns with dotted names.
+
+    One aggregate infers the schemas of all text columns from all rows. ``columns=None`` flattens the
+    columns that hold JSON: with ``mode="share"`` where at least ``threshold`` of the non-null cells
+    start as objects, with ``mode="first"`` where the first row by ``order_by`` does (the reference's
+    rule). The original column is kept; a cell that is no object gives nulls; nested objects
+    become ``a.b`` columns; lists stay lists, and their first ``expand_lists`` elements become columns
+    ``a.0``, ``a.1``, ... as well. Clashing names get the source column as prefix.
     """
+    if mode not in ("share", "first"):
+        raise ValueError(f"mode must be 'first' or 'share', got {mode!r}")
+    first_by = None
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-    out = df
-    for c in columns:
-        ddl = infer_json_schema(out, c)
-        if ddl is None:
-            continue
-        parsed = F.from_json(q(c), ddl)
-        struct_t = out.select(parsed.alias("s")).schema["s"].dataType
-        fields = flatten_struct_columns(F.col("__s"), struct_t)
-        taken = set(out.columns)
-        renamed = []
-        for fcol, fname in zip(fields, _flat_names(struct_t)):
-            name = fname if fname not in taken else f"{c}.{fname}"
-            renamed.append(fcol.alias(name))
-        out = out.withColumn("__s", parsed).select(*[q(x) for x in out.columns], *renamed)
+        if mode == "first":
+            if order_by is None:
+                raise ValueError("mode='first' needs order_by: a DataFrame has no first row")
+            first_by = [order_by] if isinstance(order_by, str) else list(order_by)
+    else:
+        threshold = 0.0
+    schemas = infer_json_schemas(df, columns, threshold, first_by)
+    taken, parsed, new = set(df.columns), [], []
+    for i, (c, ddl) in enumerate(schemas.items()):
+        holder = f"__json{i}"
+        parsed.append(F.from_json(q(c), ddl).alias(holder))
+        struct_t = StructType.fromDDL(f"s {ddl}")["s"].dataType
+        fields = list(zip(_flat_names(struct_t), flatten_struct_columns(q(holder), struct_t), _flat_types(struct_t)))
+        for fname, value, dt in fields:
+            pieces = [(fname, value)]
+            if expand_lists and isinstance(dt, ArrayType):
+                pieces += [(f"{fname}.{k}", F.get(value, F.lit(k))) for k in range(expand_lists)]
+            for name, col in pieces:
+                name = name if name not in taken else f"{c}.{name}"
+                taken.add(name)
+                new.append(col.alias(name))
+    if not new:
+        return df
+    return df.select("*", *parsed).select(*[q(c) for c in df.columns], *new)
+
+
+def _flat_types(schema: StructType) -> list[DataType]:
+    out: list[DataType] = []
+    for f in schema.fields:
+        out.extend(_flat_types(f.dataType) if isinstance(f.dataType, StructType) else [f.dataType])
     return out
 
 

@@ -13,16 +13,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeloom.functions.casts import lenient_text, percent_text
 from lakeloom.functions.patterns import anchored, patterns, sql_semantic_type
 from lakeloom.functions.values import sql_tagged_value
 from lakeloom.operators import marts, profilers, tablesets, transforms
 from lakeloom.plans import medallion, profiling
 from lakeloom.plans.tables import ORDER_KEYS, SCHEMAS, TABLE_NAMES, dtype, load, load_all
 from lakeloom.session import scratch_path
-from lakeloom.sinks.catalog import write_to_managed_table
+from lakeloom.sinks.catalog import table_exists, write_to_managed_table
 from lakeloom.sinks.files import write_bronze_csv, write_csv, write_table
 from lakeloom.sources.files import read_any, read_bronze_csv, read_csv, read_table
-from lakeloom.sources.tablesets import read_table_set
+from lakeloom.sources.tablesets import catalog_table_set, read_table_set
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +31,8 @@ PAYLOAD_SCHEMA = "k STRING"
 VIEW_EVENT = "view"
 DAY = "2024-01-15"
 FIND_VALUE = "A"
+TEXT_DAY = "1996-01-02"
+NAMED_FILES = ["nation", "supplier", "benchmark"]
 
 
 # ----------------------------------------------------------------------------- marts
@@ -80,6 +83,22 @@ def flatten_payload(spark: SparkSession, sf: str) -> DataFrame:
     return transforms.flatten_payload(load(spark, sf, "events"), "props", PAYLOAD_SCHEMA)
 
 
+def flatten_json_found(spark: SparkSession, sf: str) -> DataFrame:
+    """The JSON columns are chosen by the first row, as the reference does."""
+    return transforms.flatten_json_auto(load(spark, sf, "events"), mode="first", order_by="event_id")
+
+
+def flatten_json_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    """Text columns of which one holds objects with nested objects and lists among scalars; none is named."""
+    text = F.when(F.col("l_linenumber") == 1, F.col("l_orderkey").cast("string")).otherwise(F.to_json(F.struct(
+        F.col("l_orderkey").alias("order"), F.struct("l_partkey", "l_suppkey").alias("of"),
+        F.array("l_linenumber", F.col("l_linenumber") + 1).alias("lines"))))
+    rows = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", text.alias("doc"))
+    out = transforms.flatten_json_auto(rows, expand_lists=2)
+    names = {c: c.replace(".", "_") for c in out.columns if c not in ("doc", "lines")}
+    return out.select(*[transforms.q(c).alias(n) for c, n in names.items()]).fillna(-1)  # scalar cells have no fields
+
+
 def flatten_json_auto(spark: SparkSession, sf: str) -> DataFrame:
     return transforms.flatten_json_auto(load(spark, sf, "events"), ["props"])
 
@@ -335,12 +354,66 @@ def value_counts_wide(spark: SparkSession, sf: str) -> DataFrame:
     return profilers.value_counts_wide(load(spark, sf, "orders"), 0.05)
 
 
+def describe_numeric_refined(spark: SparkSession, sf: str) -> DataFrame:
+    """Quartiles whose brackets are narrowed by sketches until few values are left to rank."""
+    return profilers.describe_numeric(load(spark, sf, "lineitem"), digits=4, limit=2000, accuracy=200)
+
+
+def describe_numeric_ranked(spark: SparkSession, sf: str) -> DataFrame:
+    """Quartiles by the distributed ranks of whole columns."""
+    return profilers.describe_numeric(load(spark, sf, "lineitem"), digits=4, limit=1000, refine=False)
+
+
+def null_percent(spark: SparkSession, sf: str) -> DataFrame:
+    """Null shares as percent text for display."""
+    counts = profilers.null_counts(_documents_labels(spark, sf))
+    return counts.select("column_name", percent_text(F.col("null_ratio_rows")).alias("null_share"))
+
+
+def list_value_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Dominant elements of a list column."""
+    words = load(spark, sf, "benchmark").select(F.split("text", " ").alias("words"))
+    return profilers.value_counts(words, 0.01)
+
+
+def lenient_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents from raw bytes, each followed by a byte that is not UTF-8, decoded without failing."""
+    raw = load(spark, sf, "documents").select("doc_id", F.concat(F.col("text").cast("binary"), F.unhex(F.lit("FF"))).alias("raw"))
+    return raw.select("doc_id", lenient_text(F.col("raw")).alias("text"))
+
+
+def _text_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as a raw layer holds them: all text, the date day-first, with the time in half of the rows."""
+    odd = F.col("o_orderkey") % 2 == 1
+    day = F.when(odd, F.date_format("o_orderdate", "dd/MM/yyyy")).otherwise(F.date_format("o_orderdate", "dd/MM/yyyy HH:mm:ss"))
+    return load(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"), day.alias("o_orderdate"), "o_orderpriority")
+
+
+def date_columns_text(spark: SparkSession, sf: str) -> DataFrame:
+    return profilers.date_columns(_text_dates(spark, sf))
+
+
+def daily_slice_text(spark: SparkSession, sf: str) -> DataFrame:
+    return transforms.daily_slice(_text_dates(spark, sf), TEXT_DAY)
+
+
 # ------------------------------------------------------------------------ table sets
 
 def contained_columns(spark: SparkSession, sf: str) -> DataFrame:
     return tablesets.contained_columns(load_all(spark, sf))
 
 
+def contained_columns_pruned(spark: SparkSession, sf: str) -> DataFrame:
+    """The same pairs, with all columns ruled out first that ranges and bitmaps refute."""
+    return tablesets.contained_columns(load_all(spark, sf), prune=True)
+
+
+def unique_columns_pruned(spark: SparkSession, sf: str) -> DataFrame:
+    """The same columns, with whole-number columns refuted first by their ranges."""
+    return tablesets.unique_columns_table_set(load_all(spark, sf), prune=True)
+
+
 def find_value(spark: SparkSession, sf: str) -> DataFrame:
     return tablesets.find_value(load_all(spark, sf), FIND_VALUE)
 
@@ -354,6 +427,51 @@ def profile_report(spark: SparkSession, sf: str) -> DataFrame:
     return profiling.profile_report(load_all(spark, sf), order_by=ORDER_KEYS)
 
 
+def report_with_own_profiler(spark: SparkSession, sf: str) -> DataFrame:
+    """A report of the registry next to a caller's own one of another shape."""
+    def longest(df: DataFrame, table: str) -> DataFrame:
+        text = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+        return df.agg(F.max(F.greatest(F.lit(0), F.lit(0), *[F.length(c) for c in text])).cast("double").alias("longest_text")).select(
+            F.lit(table).alias("table_name"), F.lit("longest").alias("profile"), "longest_text")
+
+    return profiling.profile_report(load_all(spark, sf), {"longest": longest}, reports=["shape"])
+
+
+def report_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """The null reports of all tables, written by run date and profile and read back."""
+    path = scratch_path(spark, "report")
+    profiling.write_report(profiling.profile_report(load_all(spark, sf), reports=["null_counts"]), path, run_date=DAY)
+    return read_table(spark, path).withColumn("run_date", F.col("run_date").cast("string"))
+
+
+def table_set_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of a table-set tool through the same sink."""
+    path = scratch_path(spark, "shapes")
+    profiling.write_report(tablesets.table_set_shapes(load_all(spark, sf)), path)
+    return read_table(spark, path)
+
+
+def profile_named_files(spark: SparkSession, sf: str) -> DataFrame:
+    return profiling.profile_files(spark, [f"{sf.rstrip('/')}/{t}.parquet" for t in NAMED_FILES])
+
+
+def catalog_database(spark: SparkSession, sf: str) -> DataFrame:
+    """Every table of a catalog database: shapes of the database that the given tables were saved to."""
+    schema = f"lakeloom_{uuid.uuid4().hex[:10]}"
+    location = scratch_path(spark, f"{schema}.db")
+    for t, df in load_all(spark, sf).items():
+        write_to_managed_table(df, t, schema, location=location, mode="overwrite", suffix="")
+    found = tablesets.table_set_shapes(catalog_table_set(spark, schema))
+    known = spark.createDataFrame([(t, table_exists(spark, t, schema, suffix="")) for t in TABLE_NAMES],
+                                  "table_name string, in_catalog boolean")
+    return found.join(known, "table_name")
+
+
+def presented_views(spark: SparkSession, sf: str) -> DataFrame:
+    """The yearly mart under its presentation names, newest year first."""
+    return marts.presentation(item_orders_by_year(spark, sf))
+
+
 # ------------------------------------------------------------------------ registry
 
 def queries() -> dict[str, Query]:
@@ -403,9 +521,26 @@ def queries() -> dict[str, Query]:
         "value_counts": value_counts,
         "value_counts_wide": value_counts_wide,
         "contained_columns": contained_columns,
+        "contained_columns_pruned": contained_columns_pruned,
+        "unique_columns_pruned": unique_columns_pruned,
         "find_value": find_value,
         "data_dictionary": data_dictionary,
         "profile_report": profile_report,
+        "flatten_json_found": flatten_json_found,
+        "flatten_json_mixed": flatten_json_mixed,
+        "describe_numeric_refined": describe_numeric_refined,
+        "describe_numeric_ranked": describe_numeric_ranked,
+        "null_percent": null_percent,
+        "list_value_counts": list_value_counts,
+        "lenient_documents": lenient_documents,
+        "date_columns_text": date_columns_text,
+        "daily_slice_text": daily_slice_text,
+        "report_with_own_profiler": report_with_own_profiler,
+        "report_sink": report_sink,
+        "table_set_sink": table_set_sink,
+        "profile_named_files": profile_named_files,
+        "catalog_database": catalog_database,
+        "presented_views": presented_views,
     }
 
 
@@ -546,6 +681,12 @@ def _sql_describe_mixed() -> str:
     return _union_sql(parts)
 
 
+_SQL_TEXT_DATES = (
+    "(SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE WHEN o_orderkey % 2 = 1 THEN strftime(o_orderdate, '%d/%m/%Y') "
+    "ELSE strftime(o_orderdate, '%d/%m/%Y %H:%M:%S') END AS o_orderdate, o_orderpriority, o_orderdate AS d FROM orders)"
+)
+
+
 def _sql_null_counts() -> str:
     j = "SELECT d.*, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"
     cols = _sql_columns("documents") + ["quality", "toxic"]
@@ -736,7 +877,54 @@ def oracle_sql() -> dict[str, str]:
         "value_counts": _sql_value_counts(),
         "value_counts_wide": _sql_value_counts_wide(),
         "contained_columns": _sql_contained(),
+        "contained_columns_pruned": _sql_contained(),
+        "unique_columns_pruned": _sql_unique_table_set(),
         "find_value": _sql_find_value(),
         "data_dictionary": _sql_data_dictionary(),
         "profile_report": profiling.report_sql(TABLE_NAMES),
+        "flatten_json_found": "SELECT *, TRY_CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
+        "flatten_json_mixed": (
+            "SELECT l_orderkey, l_linenumber, l_returnflag, CASE WHEN l_linenumber <> 1 THEN l_orderkey ELSE -1 END AS \"order\", "
+            "CASE WHEN l_linenumber <> 1 THEN l_partkey ELSE -1 END AS of_l_partkey, CASE WHEN l_linenumber <> 1 THEN l_suppkey ELSE -1 END "
+            "AS of_l_suppkey, CASE WHEN l_linenumber <> 1 THEN CAST(l_linenumber AS BIGINT) ELSE -1 END AS lines_0, "
+            "CASE WHEN l_linenumber <> 1 THEN CAST(l_linenumber + 1 AS BIGINT) ELSE -1 END AS lines_1 FROM lineitem"
+        ),
+        "describe_numeric_refined": _sql_describe_numeric(),
+        "describe_numeric_ranked": _sql_describe_numeric(),
+        "null_percent": (
+            "SELECT column_name, printf('%.1f%%', 100 * null_ratio_rows) AS null_share FROM (" + _sql_null_counts() + ")"
+        ),
+        "list_value_counts": (
+            "WITH u AS (SELECT unnest(string_split(text, ' ')) AS v FROM benchmark), f AS (SELECT v, COUNT(*) AS n FROM u "
+            "GROUP BY v), s AS (SELECT v, n / SUM(n) OVER () AS share FROM f) "
+            "SELECT 'words' AS column_name, v AS value, share FROM s WHERE share >= 0.01"
+        ),
+        "lenient_documents": "SELECT doc_id, text || chr(65533) AS text FROM documents",
+        "date_columns_text": (
+            "SELECT 'o_orderdate' AS column_name, min(e) AS min_date, max(e) AS max_date, CAST(datediff('day', "
+            "CAST(min(e) AS DATE), CAST(max(e) AS DATE)) AS INTEGER) AS days FROM (SELECT CASE WHEN o_orderkey % 2 = 1 THEN "
+            "date_trunc('day', o_orderdate)::TIMESTAMP ELSE date_trunc('second', o_orderdate) END AS e FROM orders)"
+        ),
+        "daily_slice_text": (
+            f"SELECT o_orderkey, o_orderdate, o_orderpriority FROM {_SQL_TEXT_DATES} WHERE CAST(d AS DATE) = DATE '{TEXT_DAY}'"
+        ),
+        "report_with_own_profiler": _union_sql([
+            f"SELECT '{t}' AS table_name, 'shape' AS profile, NULL::VARCHAR AS column_name, '{m}' AS metric, "
+            f"CAST({n} AS DOUBLE) AS num_value, NULL::VARCHAR AS str_value, NULL::DOUBLE AS longest_text FROM {t}"
+            for t in TABLE_NAMES for m, n in (("rows", "COUNT(*)"), ("cols", f"any_value({len(SCHEMAS[t])})"))
+        ] + [
+            f"SELECT '{t}', 'longest', NULL, NULL, NULL, NULL, CAST(max(greatest(0, 0"
+            + "".join(f", length({c})" for c in _sql_columns(t, ("string",))) + f")) AS DOUBLE) FROM {t}" for t in TABLE_NAMES]),
+        "report_sink": (
+            f"SELECT *, '{DAY}' AS run_date FROM ({profiling.report_sql(TABLE_NAMES)}) WHERE profile = 'null_counts'"
+        ),
+        "table_set_sink": _sql_table_set_shapes(),
+        "profile_named_files": (
+            "SELECT table_name || '.parquet' AS table_name, * EXCLUDE (table_name) FROM ("
+            + profiling.report_sql(NAMED_FILES) + ")"
+        ),
+        "catalog_database": f"SELECT *, true AS in_catalog FROM ({_sql_table_set_shapes()})",
+        "presented_views": (
+            f"SELECT {years} AS \"Year\", COUNT(*) AS \"Total Item View\" {_JOIN_OL} GROUP BY 1 ORDER BY 1 DESC"
+        ),
     }
