@@ -204,3 +204,41 @@ def presentation(df: DataFrame, newest_first: bool = True) -> DataFrame:
     if newest_first and "Year" in out.columns:
         out = out.orderBy(F.col("Year").desc_nulls_last())
     return out
+
+
+# --------------------------------------------------------------------- time intelligence
+
+
+def date_dimension(df: DataFrame, column: str) -> DataFrame:
+    """One row a day between the first and the last date of ``column``, without gaps."""
+    ends = df.agg(F.min(F.to_date(q(column))).alias("lo"), F.max(F.to_date(q(column))).alias("hi"))
+    days = ends.where("lo IS NOT NULL").select(F.explode(F.sequence("lo", "hi")).alias("date"))
+    return days.select(
+        "date", F.year("date").alias("year"), F.quarter("date").alias("quarter"), F.month("date").alias("month"),
+        F.dayofmonth("date").alias("day"), F.dayofweek("date").alias("day_of_week"))
+
+
+def year_over_year(totals: DataFrame, year: str, value: str) -> DataFrame:
+    """A yearly mart with the year before and the change to it; missing years count as zero.
+
+    The mart has one row a year, so the window over all of it is small.
+    """
+    ends = totals.where(q(year).isNotNull()).agg(F.min(year).alias("lo"), F.max(year).alias("hi"))
+    years = ends.where("lo IS NOT NULL").select(F.explode(F.sequence("lo", "hi")).alias("__year"))
+    filled = years.join(totals, F.col("__year") == q(year), "left").select(
+        F.col("__year").alias(year), F.coalesce(q(value), F.lit(0)).alias(value))
+    before = F.lag(F.col(value).cast("double")).over(Window.orderBy(year))
+    return filled.withColumn("previous", before).withColumn("change", F.col(value) - F.col("previous")).withColumn(
+        "change_ratio", F.when(F.col("previous") != 0, F.col("change") / F.col("previous")))
+
+
+def share_of_total(counts: DataFrame, value: str, within: str | None = None, out: str = "share") -> DataFrame:
+    """Each row's share of the total, of all rows or of its ``within`` group (E2): an aggregate joined back."""
+    keys = [] if within is None else [within]
+    totals = counts.groupBy(*keys).agg(F.sum(value).alias("__total"))  # one row a group
+    if within is None:
+        joined = counts.crossJoin(F.broadcast(totals))  # exactly one row: no pairs
+    else:
+        joined = counts.alias("c").join(totals.alias("t"), F.col(f"c.`{within}`").eqNullSafe(F.col(f"t.`{within}`"))).select(
+            "c.*", "__total")
+    return joined.withColumn(out, F.when(F.col("__total") != 0, q(value) / F.col("__total"))).drop("__total")

@@ -29,7 +29,7 @@ from lakeloom.functions.values import (
 )
 from lakeloom.operators.parallel import spread
 from lakeloom.operators.quantiles import exact_quantiles
-from lakeloom.operators.transforms import parse_datetime, q
+from lakeloom.operators.transforms import parse_datetime, q, vote_date_formats
 from lakeloom.operators.unpivot import (
     column_counts,
     column_summary,
@@ -258,9 +258,12 @@ def detect_date_columns(df: DataFrame, mode: str = "share", order_by: str | None
 
 
 def date_columns(df: DataFrame, mode: str = "share", order_by: str | Sequence[str] | None = None,
-                 threshold: float = 0.95, strict: bool = True, day_first: bool = True) -> DataFrame:
+                 threshold: float = 0.95, strict: bool = True, day_first: bool | None = True) -> DataFrame:
     """(column, min_date, max_date, days) for each date-like column.
 
+    ``day_first=None`` lets each text column's cells elect the order of day and month
+    (``vote_date_formats``: one more job).
+
     Detection and ranges come from one aggregate over the table: for every candidate
     column the share of date-like cells (or the first row's test), and the min and max of
     the *parsed* values (B2); each range pairs a column's own min and max (B1).
@@ -278,6 +281,7 @@ def date_columns(df: DataFrame, mode: str = "share", order_by: str | Sequence[st
         key = q(order_by) if isinstance(order_by, str) else F.struct(*[q(k) for k in order_by])
     elif mode != "share":
         raise ValueError(f"mode must be 'first' or 'share', got {mode!r}")
+    votes = vote_date_formats({"": df.select(*[q(c) for c in cols])}) if day_first is None else {}
     aggs = []
     for i, c in enumerate(cols):
         text = q(c).cast("string")
@@ -286,7 +290,8 @@ def date_columns(df: DataFrame, mode: str = "share", order_by: str | Sequence[st
         else:
             hit = F.avg(F.when(q(c).isNotNull(), is_date_text(text, strict).cast("int"))) >= F.lit(threshold)
         dt = df.schema[c].dataType
-        t = parse_datetime(q(c), dt, day_first=day_first)
+        order = votes[("", c)].day_first if ("", c) in votes else day_first is not False
+        t = parse_datetime(q(c), dt, day_first=order)
         if not is_temporal(dt):  # parse only cells that look like dates: the regex is cheap
             t = F.when(is_date_text(text, strict), t)
         aggs += [hit.alias(f"h{i}"), F.min(t).alias(f"a{i}"), F.max(t).alias(f"b{i}")]

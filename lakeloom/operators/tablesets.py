@@ -18,7 +18,7 @@ from lakeloom.functions.patterns import semantic_type
 from lakeloom.functions.casts import is_integral
 from lakeloom.functions.values import DIGEST_OVER, _sql_name, is_numeric, is_scalar, is_temporal, typed_key, typed_key_sql
 from lakeloom.operators.parallel import spread
-from lakeloom.operators.transforms import daily_slice, q
+from lakeloom.operators.transforms import daily_slices, q
 from lakeloom.operators.unpivot import _lit, column_counts, key_stats, long_keys
 
 
@@ -239,7 +239,7 @@ def contained_columns(
     """
     spark = _spark_of(tables)
     if slice_by_day:
-        tables = {name: daily_slice(df, day) for name, df in tables.items()}
+        tables = daily_slices(tables, day)
     columns = [(name, f.name) for name, df in tables.items() for f in df.schema.fields if is_scalar(f.dataType)]
     if not columns:
         return _empty(spark, "table_1 string, col_1 string, table_2 string, col_2 string")
@@ -320,9 +320,9 @@ def find_value(tables: Mapping[str, DataFrame], value: str, day: str | date | No
     """
     spark = _spark_of(tables)
     frames = []
+    if slice_by_day:
+        tables = daily_slices(tables, day)
     for name, df in tables.items():
-        if slice_by_day:
-            df = daily_slice(df, day)
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
         if not cols:
             continue
@@ -410,4 +410,4 @@ def data_dictionary(
 
 def sliced(tables: Mapping[str, DataFrame], day: str | date | None = None) -> dict[str, DataFrame]:
     """Today's slice of every table (F3): first date column == day, whole table if none."""
-    return {name: daily_slice(df, day) for name, df in tables.items()}
+    return daily_slices(tables, day)

@@ -6,7 +6,9 @@ All are projections: narrow, no shuffle, fused into one whole-stage-codegen stag
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 from lakeloom.functions.casts import legacy_cast
 from lakeloom.functions.json import flatten_struct_columns, infer_json_schemas
+from lakeloom.functions.patterns import anchored, patterns
 from lakeloom.functions.values import is_temporal
 
 
@@ -186,28 +189,83 @@ def first_temporal_column(df: DataFrame) -> str | None:
     return None
 
 
-def first_date_text_column(df: DataFrame, threshold: float = 0.95) -> str | None:
-    """The first text column (schema order) whose cells look like dates (one small job)."""
-    from lakeloom.operators.profilers import detect_date_columns
+@dataclass(frozen=True)
+class DateVote:
+    """What the cells of a text column say about its dates: share of date-like cells, order of day and month."""
 
-    text_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-    if not text_cols:
-        return None
-    found = {r["column_name"] for r in detect_date_columns(df.select(*[q(c) for c in text_cols]),
-                                                            threshold=threshold).collect()}
-    return next((c for c in text_cols if c in found), None)
+    share: float
+    day_first: bool
 
 
-def daily_slice(df: DataFrame, day: str | date | None = None, date_column: str | None = None) -> DataFrame:
+# Cells with the year last: two numbers of two digits, of which only the day may exceed twelve.
+_YEAR_LAST = "^[0-9]{2}[-./ ][0-9]{2}[-./ ][0-9]{4}"
+
+
+def _vote_sql(column: str) -> dict[str, str]:
+    """Aggregates of one text column: date-like share, and the cells only day-first or month-first fits."""
+    c = "`" + column.replace("`", "``") + "`"
+    p = patterns(True)
+    like = f"({c} RLIKE '{anchored(p['date'])}' OR {c} RLIKE '{anchored(p['date_alt'])}')"
+    first, second = f"CAST(substring({c}, 1, 2) AS INT)", f"CAST(substring({c}, 4, 2) AS INT)"
+
+    def cells(number: str) -> str:
+        return f"count(CASE WHEN {c} RLIKE '{_YEAR_LAST}' THEN CASE WHEN {number} > 12 THEN 1 END END)"
+
+    return {"share": f"avg(CASE WHEN {c} IS NOT NULL THEN CAST({like} AS INT) END)", "dmy": cells(first), "mdy": cells(second)}
+
+
+def vote_date_formats(tables: Mapping[str, DataFrame], default_day_first: bool = True) -> dict[tuple[str, str], DateVote]:
+    """(table, column) -> vote for every text column of a table set (X8, R13, F3), in one job.
+
+    A cell whose first number exceeds twelve can only be day-first, one whose second does only
+    month-first; the larger number of such cells wins, a tie goes to ``default_day_first``. All are
+    mergeable aggregates, one row a table.
+    """
+    frames, names = [], []
+    for table, df in tables.items():
+        text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+        if not text:
+            continue
+        aggs, entries = [], []
+        for c in text:
+            i = len(names)
+            names.append((table, c))
+            aggs += [F.expr(f"{sql} AS {k}{i}") for k, sql in _vote_sql(c).items()]
+            entries.append(f"named_struct('i', {i}, 'share', share{i}, 'dmy', dmy{i}, 'mdy', mdy{i})")
+        frames.append(df.agg(*aggs).select(F.expr(f"inline(array({', '.join(entries)}))")))
+    if not frames:
+        return {}
+    out = {}
+    for r in reduce(lambda a, b: a.unionByName(b), frames).collect():  # one row a text column
+        first = default_day_first if r["dmy"] == r["mdy"] else r["dmy"] > r["mdy"]
+        out[names[r["i"]]] = DateVote(float(r["share"] or 0.0), first)
+    return out
+
+
+def daily_slice(
+    df: DataFrame,
+    day: str | date | None = None,
+    date_column: str | None = None,
+    day_first: bool | None = None,
+    threshold: float = 0.95,
+    votes: Mapping[str, DateVote] | None = None,
+) -> DataFrame:
     """Rows of one day by the first date column; the whole table when it has none.
 
-    The first typed date/timestamp column is used, else the first text column whose
-    values look like dates (parsed, day-first). ``day`` defaults to today. On typed
-    columns the predicate is a range that reaches the parquet scan.
+    The first typed date/timestamp column is used, else the first text column of which at least
+    ``threshold`` of the cells look like dates. ``day_first=None`` lets the column's cells elect the order of
+    day and month (``vote_date_formats``; ``votes`` may come from a job over a whole table set). ``day``
+    defaults to today. On typed columns the predicate is a range that reaches the parquet scan.
     """
     col_name = date_column or first_temporal_column(df)
-    if col_name is None:
-        col_name = first_date_text_column(df)
+    if col_name is None or not is_temporal(df.schema[col_name].dataType):
+        text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType) and col_name in (None, f.name)]
+        if votes is None and (col_name is None or day_first is None):
+            votes = {c: v for (_, c), v in vote_date_formats({"": df.select(*[q(c) for c in text])}).items()} if text else {}
+        if col_name is None:
+            col_name = next((c for c in text if c in votes and votes[c].share >= threshold), None)
+        if day_first is None:
+            day_first = votes[col_name].day_first if votes and col_name in votes else True
     if col_name is None:
         return df
     dt = df.schema[col_name].dataType
@@ -218,4 +276,14 @@ def daily_slice(df: DataFrame, day: str | date | None = None, date_column: str |
         start = day_col.cast("timestamp_ntz")
         end = F.date_add(day_col, 1).cast("timestamp_ntz")
         return df.where((c.cast("timestamp_ntz") >= start) & (c.cast("timestamp_ntz") < end))
-    return df.where(F.to_date(parse_datetime(q(col_name))) == day_col)
+    return df.where(F.to_date(parse_datetime(q(col_name), day_first=day_first)) == day_col)
+
+
+def daily_slices(tables: Mapping[str, DataFrame], day: str | date | None = None) -> dict[str, DataFrame]:
+    """One day of every table of a set; the date columns of all tables without a typed one are found in one job."""
+    untyped = {t: df for t, df in tables.items() if first_temporal_column(df) is None}
+    votes = vote_date_formats(untyped)
+    return {
+        t: daily_slice(df, day, votes={c: v for (table, c), v in votes.items() if table == t} if t in untyped else None)
+        for t, df in tables.items()
+    }

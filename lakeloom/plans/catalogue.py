@@ -398,6 +398,26 @@ def daily_slice_text(spark: SparkSession, sf: str) -> DataFrame:
     return transforms.daily_slice(_text_dates(spark, sf), TEXT_DAY)
 
 
+def date_columns_voted(spark: SparkSession, sf: str) -> DataFrame:
+    """Text dates of which one column has the day first and another the month; the cells elect the order."""
+    li = load(spark, sf, "lineitem").select(
+        F.date_format("l_shipdate", "dd.MM.yyyy").alias("european"), F.date_format("l_shipdate", "MM/dd/yyyy").alias("american"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("iso"), "l_shipdate", "l_returnflag")
+    return profilers.date_columns(li, day_first=None)
+
+
+def daily_slice_set(spark: SparkSession, sf: str) -> DataFrame:
+    """One day of every table of a set whose dates are text in several formats; one job finds them all."""
+    li = load(spark, sf, "lineitem")
+    tables = {
+        "orders": _text_dates(spark, sf),
+        "lineitem": li.select("l_orderkey", "l_linenumber", F.date_format("l_shipdate", "MM-dd-yyyy").alias("shipped")),
+        "events": load(spark, sf, "events"),
+        "customer": load(spark, sf, "customer"),
+    }
+    return tablesets.table_set_shapes(tablesets.sliced(tables, TEXT_DAY))
+
+
 # ------------------------------------------------------------------------ table sets
 
 def contained_columns(spark: SparkSession, sf: str) -> DataFrame:
@@ -472,6 +492,20 @@ def presented_views(spark: SparkSession, sf: str) -> DataFrame:
     return marts.presentation(item_orders_by_year(spark, sf))
 
 
+def order_date_dimension(spark: SparkSession, sf: str) -> DataFrame:
+    return marts.date_dimension(load(spark, sf, "orders"), "o_orderdate")
+
+
+def orders_year_over_year(spark: SparkSession, sf: str) -> DataFrame:
+    return marts.year_over_year(item_orders_by_year(spark, sf), "year", "total_item_view")
+
+
+def priority_share_by_year(spark: SparkSession, sf: str) -> DataFrame:
+    counts = load(spark, sf, "orders").groupBy(F.year("o_orderdate").alias("year"), "o_orderpriority").agg(
+        F.count(F.lit(1)).alias("orders"))
+    return marts.share_of_total(counts, "orders", within="year")
+
+
 # ------------------------------------------------------------------------ registry
 
 def queries() -> dict[str, Query]:
@@ -541,6 +575,11 @@ def queries() -> dict[str, Query]:
         "profile_named_files": profile_named_files,
         "catalog_database": catalog_database,
         "presented_views": presented_views,
+        "date_columns_voted": date_columns_voted,
+        "daily_slice_set": daily_slice_set,
+        "order_date_dimension": order_date_dimension,
+        "orders_year_over_year": orders_year_over_year,
+        "priority_share_by_year": priority_share_by_year,
     }
 
 
@@ -924,6 +963,33 @@ def oracle_sql() -> dict[str, str]:
             + profiling.report_sql(NAMED_FILES) + ")"
         ),
         "catalog_database": f"SELECT *, true AS in_catalog FROM ({_sql_table_set_shapes()})",
+        "date_columns_voted": _union_sql([
+            f"SELECT '{c}' AS column_name, min(d) AS min_date, max(d) AS max_date, CAST(datediff('day', CAST(min(d) AS DATE), "
+            f"CAST(max(d) AS DATE)) AS INTEGER) AS days FROM (SELECT {x} AS d FROM lineitem)"
+            for c, x in (("european", "date_trunc('day', l_shipdate)::TIMESTAMP"), ("american", "date_trunc('day', l_shipdate)::TIMESTAMP"),
+                         ("iso", "date_trunc('day', l_shipdate)::TIMESTAMP"), ("l_shipdate", "l_shipdate"))]),
+        "daily_slice_set": _union_sql([
+            f"SELECT '{t}' AS table_name, COUNT(*) AS rows, CAST({n} AS INTEGER) AS cols FROM {t}{where}" for t, n, where in (
+                ("orders", 3, f" WHERE CAST(o_orderdate AS DATE) = DATE '{TEXT_DAY}'"),
+                ("lineitem", 3, f" WHERE CAST(l_shipdate AS DATE) = DATE '{TEXT_DAY}'"),
+                ("events", 6, f" WHERE CAST(ts AS DATE) = DATE '{TEXT_DAY}'"), ("customer", 5, ""))]),
+        "order_date_dimension": (
+            "SELECT d AS date, CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) "
+            "AS month, CAST(day(d) AS INTEGER) AS day, CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week FROM (SELECT "
+            "CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d FROM (SELECT CAST(min(o_orderdate) AS DATE) AS lo, "
+            "CAST(max(o_orderdate) AS DATE) AS hi FROM orders))"
+        ),
+        "orders_year_over_year": (
+            f"WITH t AS (SELECT {years} AS year, COUNT(*) AS n {_JOIN_OL} GROUP BY 1), y AS (SELECT unnest(range(lo, hi + 1)) AS year "
+            "FROM (SELECT min(year) AS lo, max(year) AS hi FROM t)), f AS (SELECT CAST(y.year AS INTEGER) AS year, coalesce(n, 0) "
+            "AS total_item_view FROM y LEFT JOIN t USING (year)), p AS (SELECT *, lag(CAST(total_item_view AS DOUBLE)) OVER (ORDER BY year) AS previous "
+            "FROM f) SELECT *, total_item_view - previous AS change, CASE WHEN previous <> 0 THEN (total_item_view - previous) / previous "
+            "END AS change_ratio FROM p"
+        ),
+        "priority_share_by_year": (
+            "WITH c AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderpriority, COUNT(*) AS orders FROM orders "
+            "GROUP BY 1, 2) SELECT *, orders / sum(orders) OVER (PARTITION BY year) AS share FROM c"
+        ),
         "presented_views": (
             f"SELECT {years} AS \"Year\", COUNT(*) AS \"Total Item View\" {_JOIN_OL} GROUP BY 1 ORDER BY 1 DESC"
         ),
