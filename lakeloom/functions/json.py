@@ -38,7 +38,7 @@ def infer_json_schemas(df: DataFrame, columns: Sequence[str], threshold: float =
     One aggregate for all columns: ``schema_of_variant_agg`` merges partial schemas on the executors
     and only one row of DDL strings reaches the driver. Only cells that hold objects count; scalars,
     lists and broken text parse to null later. A column is given if at least ``threshold`` of its
-    non-null cells start as objects, or, with ``first_by``, if the first row by those columns looks like JSON.
+    non-null cells begin and end as objects do, or, with ``first_by``, if the first row by those columns looks like JSON.
     """
     columns = list(columns)
     if not columns:
@@ -47,7 +47,7 @@ def infer_json_schemas(df: DataFrame, columns: Sequence[str], threshold: float =
     for i, c in enumerate(columns):
         name = "`" + c.replace("`", "``") + "`"
         aggs.append(F.expr(f"schema_of_variant_agg({_object_variant(c)}) AS s{i}"))
-        aggs.append(F.expr(f"avg(CASE WHEN {name} IS NOT NULL THEN CAST(ltrim({name}) LIKE '{{%' AS INT) END) AS p{i}"))
+        aggs.append(F.expr(f"avg(CASE WHEN {name} IS NOT NULL THEN CAST(trim({name}) LIKE '{{%}}' AS INT) END) AS p{i}"))
         if first_by is not None:
             key = ", ".join("`" + k.replace("`", "``") + "`" for k in first_by)
             aggs.append(F.expr(f"min_by({name}, struct({key})) AS f{i}"))

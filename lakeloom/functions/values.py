@@ -182,6 +182,19 @@ def text_key_sql(x: str, digest_over: int | None = DIGEST_OVER) -> str:
     return f"CASE WHEN length({x}) <= {n} THEN concat('=', {x}) ELSE {digest} END"
 
 
+def micros_sql(x: str, dt: DataType) -> str:
+    """Microseconds of a date or time, equal for equal wall clock times whatever the session's time zone.
+
+    Of a timestamp with time zone it is the instant: its wall clock time repeats where clocks are set back.
+    """
+    if isinstance(dt, TimestampType):
+        return f"unix_micros({x})"
+    days = f"unix_date(CAST({x} AS DATE)) * 86400000000L"
+    if isinstance(dt, DateType):
+        return days
+    return f"({days} + hour({x}) * 3600000000L + minute({x}) * 60000000L + CAST(extract(SECOND FROM {x}) * 1000000 AS BIGINT))"
+
+
 def typed_key_sql(name: str, dt: DataType, digest_over: int | None = DIGEST_OVER) -> str:
     """``typed_key`` of column ``name`` as Spark SQL text (one expression, one parse)."""
     c = _sql_name(name)
@@ -212,10 +225,8 @@ def typed_key_sql(name: str, dt: DataType, digest_over: int | None = DIGEST_OVER
         return mk(1, s=text_key_sql(c, digest_over))
     if isinstance(dt, BooleanType):
         return mk(2, i=f"CASE WHEN {c} THEN 1L ELSE 0L END")
-    if isinstance(dt, TimestampType):  # the instant; its wall clock time would repeat where clocks are set back
-        return mk(3, i=f"unix_micros({c})")
-    if isinstance(dt, (DateType, TimestampNTZType)):
-        return mk(3, i=f"timestampdiff(MICROSECOND, {_EPOCH}, CAST({c} AS TIMESTAMP_NTZ))")
+    if is_temporal(dt):
+        return mk(3, i=micros_sql(c, dt))
     tag = 5 if isinstance(dt, BinaryType) else 4
     return mk(tag, s=text_key_sql(canonical_text_sql(c, dt), digest_over))
 
@@ -246,6 +257,8 @@ def key_value_sql(dt: DataType, i: str = "i", s: str = "s", digest_over: int | N
         return f"CASE WHEN {i} = 1 THEN 'true' WHEN {i} = 0 THEN 'false' END"
     if isinstance(dt, TimestampType):
         return f"CAST(timestamp_micros({i}) AS STRING)"
-    if isinstance(dt, (DateType, TimestampNTZType)):
-        return f"CAST(CAST(timestampadd(MICROSECOND, {i}, {_EPOCH}) AS {dt.simpleString()}) AS STRING)"
+    if isinstance(dt, DateType):
+        return f"CAST(date_from_unix_date(CAST({i} div 86400000000L AS INT)) AS STRING)"
+    if isinstance(dt, TimestampNTZType):
+        return f"CAST(timestampadd(MICROSECOND, {i}, {_EPOCH}) AS STRING)"
     return "CAST(NULL AS STRING)"

@@ -16,7 +16,7 @@ from pyspark.sql.types import DoubleType, FloatType, StringType
 
 from lakeloom.functions.patterns import semantic_type
 from lakeloom.functions.casts import is_integral
-from lakeloom.functions.values import DIGEST_OVER, _sql_name, is_numeric, is_scalar, is_temporal, typed_key, typed_key_sql
+from lakeloom.functions.values import DIGEST_OVER, _sql_name, is_numeric, is_scalar, is_temporal, micros_sql, typed_key, typed_key_sql
 from lakeloom.operators.parallel import spread
 from lakeloom.operators.transforms import daily_slices, q
 from lakeloom.operators.unpivot import _lit, column_counts, key_stats, long_keys
@@ -93,7 +93,7 @@ def column_sketches(tables: Mapping[str, DataFrame], columns: Sequence[tuple[str
             if is_numeric(dt):
                 order, exact = f"CAST({x} AS DOUBLE)", x if is_integral(dt) else None
             elif is_temporal(dt):
-                order = f"CAST(unix_micros(CAST({x} AS TIMESTAMP)) AS DOUBLE)"
+                order = f"CAST({micros_sql(x, dt)} AS DOUBLE)"
             elif not isinstance(dt, StringType):
                 order = "CAST(NULL AS DOUBLE)"
             found = {"n": f"count({x})", "lo": f"min({order})", "hi": f"max({order})"}

@@ -67,7 +67,7 @@ def flatten_json_auto(
 
     One aggregate infers the schemas of all text columns from all rows. ``columns=None`` flattens the
     columns that hold JSON: with ``mode="share"`` where at least ``threshold`` of the non-null cells
-    start as objects, with ``mode="first"`` where the first row by ``order_by`` does (the reference's
+    begin and end as objects do, with ``mode="first"`` where the first row by ``order_by`` does (the reference's
     rule). The original column is kept; a cell that is no object gives nulls; nested objects
     become ``a.b`` columns; lists stay lists, and their first ``expand_lists`` elements become columns
     ``a.0``, ``a.1``, ... as well. Clashing names get the source column as prefix.

@@ -42,7 +42,7 @@ def _detected(flag: str, threshold: float) -> str:
 
 def _column_entries(threshold: float) -> dict[str, list[str]]:
     """The reports that are read off one row of statistics a column."""
-    nulls, share = "(rows - cells)", "{0} / cells"
+    nulls, share = "(rows - cells)", "{0} / nullif(cells, 0)"
     dates = {"min_date": ("NULL", "min_date"), "max_date": ("NULL", "max_date"),
              "days": ("datediff(CAST(max_date AS DATE), CAST(min_date AS DATE))", "NULL")}
     return {
