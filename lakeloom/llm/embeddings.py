@@ -34,6 +34,7 @@ from lakeloom.llm.components import connected_components
 COSINE = 0.98
 TABLES = 6
 BLOCK = 1024
+LEAST_WIDTH = 64  # vectors are padded to it, as rotations of a few axes mix sparse vectors too little
 
 
 def _hadamard(x: np.ndarray) -> np.ndarray:
@@ -56,7 +57,7 @@ def _mix64(x: np.ndarray) -> np.ndarray:
 def bucket_keys(unit: np.ndarray, tables: int, hashes: int, seed: int = 0) -> np.ndarray:
     """(rows, tables * (1 + hashes)) bucket keys: home and runner-up buckets of every table."""
     n, width = unit.shape
-    d = 1 << max(1, (width - 1).bit_length())
+    d = max(LEAST_WIDTH, 1 << max(1, (width - 1).bit_length()))
     padded = np.zeros((n, d))
     padded[:, :width] = unit
     rng = np.random.default_rng([seed, d])
@@ -70,7 +71,7 @@ def bucket_keys(unit: np.ndarray, tables: int, hashes: int, seed: int = 0) -> np
             axes = np.argpartition(np.abs(x), -2, axis=1)[:, -2:]
             size = np.take_along_axis(np.abs(x), axes, 1)
             best = np.take_along_axis(axes, size.argmax(1)[:, None], 1)[:, 0]
-            next_ = np.take_along_axis(axes, size.argmin(1)[:, None], 1)[:, 0]
+            next_ = axes.sum(axis=1) - best  # the other one, also where both are equal
             rows = np.arange(n)
             first.append(2 * best + (x[rows, best] < 0))
             second.append(2 * next_ + (x[rows, next_] < 0))
