@@ -246,7 +246,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for doc, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
             if text and may_hold(text.lower()):
-                out.extend((doc, *x, x[3] == 0) for x in scanner.scan(text.decode()))
+                out.extend((doc, *x, x[3] == 0) for x in scanner.scan(text.decode("utf-8", "replace")))
         cols = list(zip(*out)) or [()] * 6
         kinds = (pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.int32(), pa.bool_())
         yield pa.RecordBatch.from_arrays(
