@@ -11,7 +11,7 @@ island wins; bins at least ``full`` full are final, the pieces of the rest meet
 other blocks in a next level, until one block is left. A level keeps only the last, poorly
 filled bins of each block, so levels shrink by orders of magnitude.
 
-Defined cases: a null or empty text is the single id 0; a document of more than ``capacity``
+Defined cases: a null or empty text is the single id 0; bytes that are not UTF-8 count as U+FFFD; a document of more than ``capacity``
 ids is cut into full pieces and one shorter last piece; repeated rows are packed each; a null
 doc_id is carried through; an empty table gives an empty result; extra columns are not read.
 """
@@ -35,7 +35,8 @@ from lakeloom.llm._shared import bucket_count, staged
 
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 2048
-CACHE_WORDS = 200_000  # per worker; the cache is emptied when full, which changes no result
+CACHE_BYTES = 96 << 20  # of each of the two generations of a worker's word cache
+CACHE_ENDINGS = 100_000
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PLACED = f"{_PIECES}, bin long, offset long, fill long"
@@ -74,6 +75,8 @@ class WordIds(dict):
         self.model = self.tokenizer.model
         self.bytes = _byte_letters()
         self.endings: dict[str, bytes] = {}
+        self.old: dict[bytes, bytes] = {}  # the generation before; words still in use move up
+        self.held = 0
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -89,9 +92,18 @@ class WordIds(dict):
         return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= CACHE_WORDS:
+        if self.held > CACHE_BYTES:
+            self.old, self.held = dict(self), 0
             self.clear()
-        text = word.decode()
+        value = self.old.get(word)
+        if value is None:
+            value = self.ids_of(word)
+        self[word] = value
+        self.held += len(word) + len(value) + 170
+        return value
+
+    def ids_of(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
         low = text.lower()
         stem = low.rstrip(_ENDING)
         value = self.letters(stem)
@@ -100,11 +112,10 @@ class WordIds(dict):
         elif len(stem) < len(low):
             ending = low[len(stem) :]
             if ending not in self.endings:
-                if len(self.endings) >= CACHE_WORDS:
+                if len(self.endings) >= CACHE_ENDINGS:
                     self.endings.clear()
                 self.endings[ending] = self.whole(ending)
             value += self.endings[ending]
-        self[word] = value
         return value
 
     def __call__(self, text: bytes) -> bytes:
