@@ -11,12 +11,12 @@ No list is ever expanded into all its pairs:
    estimate filters the pairs, the exact Jaccard similarity of the full sets confirms them, and
    the confirmed links form components - a large group of near copies is one component now.
 2. rest: only lists whose members still lie in several components go on, with the classes that meet
-   other components in at least ``LEAST_LISTS`` of their lists. They are cut into blocks; each pair
-   of blocks is one unit of work that counts retained values shared by members of different
+   other components in at least ``LEAST_LISTS`` of their lists. They are cut into blocks by
+   component; each pair of blocks of different components is one unit of work that counts retained values shared by members of different
    components, and emits a spanning forest of the pairs that have enough in common for 0.8 -
    nothing per pair. The trees join up to families, which every pair still open lies in.
 3. families: a family is cut into blocks by the number of its shingles. Each pair of blocks is a
-   unit that compares all its members exactly, on their full sets, and emits a spanning forest of
+   unit that compares its members of different components exactly, on their full sets, and emits a spanning forest of
    the links. (In a family of copies with many edits each, most pairs fall short of 0.8; they are
    compared inside the unit, but never written.) The components are formed again from all links.
 
@@ -149,8 +149,11 @@ def _forest(batches_of: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.R
     return pa.RecordBatch.from_arrays([pa.array(m[:, 0]), pa.array(m[:, 1])], names=["u", "v"])
 
 
-def _open_pairs(sketches: list[np.ndarray], open_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column of the ``open_`` pairs that share enough retained values."""
+ROWS = 64  # of a unit whose pairs are looked at together: no matrix grows with the square of a unit
+
+
+def _open_pairs(sketches: list[np.ndarray], open_) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the pairs that share enough retained values; ``open_(s, e)`` says which of rows s to e count."""
     size = np.array([len(s) for s in sketches])
     row = np.repeat(np.arange(len(sketches)), size)
     _, value, times = np.unique(np.concatenate(sketches), return_inverse=True, return_counts=True)
@@ -158,17 +161,22 @@ def _open_pairs(sketches: list[np.ndarray], open_: np.ndarray) -> tuple[np.ndarr
     row, value = row[shared], value[shared]
     column = np.full(len(times), -1)
     found = []
-    for at in range(0, len(sketches), 128):
-        mine = (row >= at) & (row < at + 128)
-        kinds = np.unique(value[mine])
+    for at in range(0, len(sketches), ROWS):
+        end = min(at + ROWS, len(sketches))
+        wanted = open_(at, end)
+        if not wanted.any():
+            continue
+        kinds = np.unique(value[(row >= at) & (row < end)])
         column[kinds] = np.arange(len(kinds))
         known = column[value] >= 0
         table = np.zeros((len(sketches), len(kinds)), np.float32)
         table[row[known], column[value[known]]] = 1
         column[kinds] = -1
-        enough = table[at : at + 128] @ table.T >= LEAST_SHARE * np.minimum(size[at : at + 128, None], size[None, :])
-        i, j = np.nonzero(enough & open_[at : at + 128])
+        enough = table[at:end] @ table.T >= LEAST_SHARE * np.minimum(size[at:end, None], size[None, :])
+        i, j = np.nonzero(enough & wanted)
         found.append((i + at, j))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     i, j = zip(*found)
     return np.concatenate(i), np.concatenate(j)
 
@@ -185,16 +193,19 @@ def _likely(percent: int):
             values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
             out = []
             for s, e in zip(bounds[:-1], bounds[1:]):
-                c, m = comp[s:e], n[s:e]
+                c, m, half, whole = comp[s:e], n[s:e], side[s:e], bool(one[s])
                 if e - s < 2 or (c == c[0]).all():
                     continue
-                open_ = c[:, None] != c[None, :]
-                if not one[s]:
-                    open_ &= side[s:e][:, None] != side[s:e][None, :]
-                open_ &= 100 * np.minimum(m[:, None], m[None, :]) >= percent * np.maximum(m[:, None], m[None, :])
-                open_ = np.triu(open_, 1)
-                if open_.any():
-                    i, j = _open_pairs([values[offsets[r] : offsets[r + 1]] for r in range(s, e)], open_)
+
+                def open_(a: int, b: int) -> np.ndarray:
+                    pairs = (c[a:b, None] != c[None, :]) & (np.arange(len(c))[None, :] > np.arange(a, b)[:, None])
+                    if not whole:
+                        pairs &= half[a:b, None] != half[None, :]
+                    x, y = m[a:b, None], m[None, :]
+                    return pairs & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
+
+                i, j = _open_pairs([values[offsets[r] : offsets[r + 1]] for r in range(s, e)], open_)
+                if len(i):
                     out.append((rep[s:e], i, j))
             if out:
                 yield _forest(out)
@@ -207,7 +218,7 @@ def _exact(percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, bounds in key_runs(batches, ["key", "x", "y"]):
-            rep, side = rows.column("rep").to_numpy(), rows.column("side").to_numpy()
+            rep, side, comp = (rows.column(c).to_numpy() for c in ("rep", "side", "comp"))
             one = rows.column("x").to_numpy() == rows.column("y").to_numpy()
             lists = rows.column("shingles").combine_chunks()
             values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
@@ -226,6 +237,7 @@ def _exact(percent: int):
                     near = 100 * both >= percent * (size[k + 1 :] + size[k] - both)
                     if not one[s]:
                         near &= side[s + k + 1 : e] != side[s + k]
+                    near &= comp[s + k + 1 : e] != comp[s + k]  # linked already
                     hit = np.flatnonzero(near) + k + 1
                     i.append(np.full(len(hit), k))
                     j.append(hit)
@@ -237,13 +249,36 @@ def _exact(percent: int):
     return run
 
 
-def _units(members: DataFrame, blocks: DataFrame) -> DataFrame:
-    """``members`` with a pair of blocks (x <= y) of their key, for each pair they take part in."""
-    own = members.join(blocks, "key").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    dealt = own.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return dealt.select(
-        *members.columns, F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"),
-        (F.col("own") <= F.col("with")).cast("int").alias("side"),
+def _units(members: DataFrame, most: int) -> DataFrame:
+    """``members(key, rep, comp, weight, ...)`` with a pair of blocks (x <= y) for each unit they take part in.
+
+    A component heavier than half of ``most`` has blocks of its own, the others of its key share blocks, each
+    whole in one. Two blocks of one component form no unit: nothing in them is open.
+    """
+    sizes = members.groupBy("key", "comp").agg(F.sum("weight").alias("weight"))
+    own = F.col("weight") > most / 2  # so that no shared block is much over ``most``
+    shared = sizes.groupBy("key").agg(F.ceil(F.sum(F.when(~own, F.col("weight"))) / most).cast("int").alias("shares"))
+    dealt = staged(
+        sizes.join(shared, "key").select(
+            "key", "comp", own.alias("own"),
+            F.when(own, F.ceil(F.col("weight") / most)).otherwise(F.greatest(F.lit(1), "shares")).cast("int").alias("parts"),
+        ),
+        "near-blocks",
+    )
+    # blocks are numbered by what they hold: of one component, or shared
+    place = F.pmod(F.when(F.col("own"), F.xxhash64("rep")).otherwise(F.xxhash64("comp")), F.col("parts"))
+    owner = F.when(F.col("own"), F.col("comp"))
+    rows = members.join(dealt, ["key", "comp"]).withColumn("block", F.xxhash64(owner, place))
+    names = [c for c in members.columns if c != "weight"]
+    held = dealt.withColumn("place", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    blocks = held.where("own").select("key", F.xxhash64("comp", F.col("place").cast("long")).alias("block"), F.col("comp").alias("owner"))
+    common = rows.where("NOT own").select("key", "block", F.lit(None).cast("long").alias("owner")).distinct()
+    blocks = staged(blocks.unionByName(common), "near-block-list")
+    other = blocks.select("key", F.col("block").alias("with"), F.col("owner").alias("other"))
+    pairs = blocks.join(other, "key").where("owner IS NULL OR other IS NULL OR owner <> other").select("key", "block", "with")
+    return rows.join(pairs, ["key", "block"]).select(
+        *names, F.least("block", "with").alias("x"), F.greatest("block", "with").alias("y"),
+        (F.col("block") <= F.col("with")).cast("int").alias("side"),
     )
 
 
@@ -287,15 +322,16 @@ def near_links(docs: DataFrame, reps: DataFrame, shingle: int, percent: int, k:
         F.col("lists") >= F.least(F.lit(LEAST_LISTS), F.greatest(F.lit(1), F.col("n") - F.lit(k // 4)))
     ).select("rep")
     members = staged(_several(members.join(staged(often, "near-often"), "rep", "left_semi")), "near-members")
-    blocks = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    units = _units(members, staged(blocks, "near-blocks")).join(reps.select("rep", "n", "sketch"), "rep")
+    units = _units(members.withColumn("weight", F.lit(1)), BLOCK).join(reps.select("rep", "n", "sketch"), "rep")
     trees = _sorted_units(units).mapInArrow(_likely(percent), _FOREST)
 
     families = staged(connected_components(trees).select(F.col("id").alias("rep"), F.col("component").alias("key")), "near-families")
     sets = full_sets(docs, families.select(F.col("rep").alias("doc_id")), shingle).withColumnRenamed("doc_id", "rep")
-    sized = sets.select("rep", F.size("shingles").alias("n")).join(families, "rep")
-    blocks = sized.groupBy("key").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-    units = _units(families, staged(blocks, "near-blocks")).join(sets, "rep")
+    sized = sets.select("rep", F.size("shingles").alias("weight")).join(families, "rep")
+    sized = sized.join(comps.withColumnRenamed("id", "rep"), "rep", "left").select(
+        "key", "rep", F.coalesce("component", "rep").alias("comp"), "weight"
+    )
+    units = _units(sized, BLOCK_SHINGLES).join(sets, "rep")
     more = staged(_sorted_units(units).mapInArrow(_exact(percent), _FOREST), "near-links")
     return connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(more))
 
