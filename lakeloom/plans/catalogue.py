@@ -955,7 +955,7 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT '{t}', 'longest', NULL, NULL, NULL, NULL, CAST(max(greatest(0, 0"
             + "".join(f", length({c})" for c in _sql_columns(t, ("string",))) + f")) AS DOUBLE) FROM {t}" for t in TABLE_NAMES]),
         "report_sink": (
-            f"SELECT *, '{DAY}' AS run_date FROM ({profiling.report_sql(TABLE_NAMES)}) WHERE profile = 'null_counts'"
+            f"SELECT *, '{DAY}' AS run_date FROM ({profiling.report_sql(TABLE_NAMES)}) WHERE profile IN ('null_counts', 'null_ratio')"
         ),
         "table_set_sink": _sql_table_set_shapes(),
         "profile_named_files": (

@@ -55,9 +55,9 @@ def _column_entries(threshold: float) -> dict[str, list[str]]:
         "unique_cols": _melted("unique_cols", "kind = 'cell' AND distinct + CAST(rows > cells AS INT) = rows",
                                {"row_count": ("rows", "NULL")}),
         "null_counts": _melted("null_counts", "kind = 'cell'", {
-            "null_count": (nulls, "NULL"), "non_null_count": ("cells", "NULL"),
-            "null_ratio_nonnull": (f"CASE WHEN cells > 0 THEN {nulls} / cells END", "NULL"),
-            "null_ratio_rows": (f"CASE WHEN rows > 0 THEN {nulls} / rows END", "NULL")}),
+            "null_count": (nulls, "NULL"), "non_null_count": ("cells", "NULL")}) + _melted("null_ratio", "kind = 'cell'", {
+                "of_non_null": (f"CASE WHEN cells > 0 THEN {nulls} / cells END", "NULL"),
+                "of_rows": (f"CASE WHEN rows > 0 THEN {nulls} / rows END", "NULL")}),
         "json_cols": _melted("json_cols", _detected("json", threshold), {"share": (share.format("json"), "NULL")}),
         "xml_cols": _melted("xml_cols", _detected("xml", threshold), {"share": (share.format("xml"), "NULL")}),
         "date_cols": _melted("date_cols", _detected("date", threshold), dates),
@@ -65,6 +65,7 @@ def _column_entries(threshold: float) -> dict[str, list[str]]:
 
 
 # Every report of the default registry, in its order; the flatten step is an operator, not a report.
+# ``null_counts`` gives its ratios as rows of the profile ``null_ratio``.
 REPORTS = ("head", "col_types", "shape", "describe_non_num", "duplicate_count", "unique_cols", "null_counts",
            "json_cols", "xml_cols", "date_cols", "value_counts")
 HEAD_ROWS = 5
@@ -186,10 +187,10 @@ def report_sql(tables: Sequence[str]) -> str:
                          f"FROM {first} WHERE place <= {HEAD_ROWS}")
             parts.append(row(t, "col_types", c, "dtype", "NULL", f"'{spark_names[k]}'"))
             nulls = f"(COUNT(*) - COUNT({c}))"
-            for metric, sql in (("null_count", nulls), ("non_null_count", f"COUNT({c})"),
-                                ("null_ratio_nonnull", f"CASE WHEN COUNT({c}) > 0 THEN {nulls} / COUNT({c}) END"),
-                                ("null_ratio_rows", f"CASE WHEN COUNT(*) > 0 THEN {nulls} / COUNT(*) END")):
-                parts.append(row(t, "null_counts", c, metric, sql) + f" FROM {t}")
+            for prof, metric, sql in (("null_counts", "null_count", nulls), ("null_counts", "non_null_count", f"COUNT({c})"),
+                                      ("null_ratio", "of_non_null", f"CASE WHEN COUNT({c}) > 0 THEN {nulls} / COUNT({c}) END"),
+                                      ("null_ratio", "of_rows", f"CASE WHEN COUNT(*) > 0 THEN {nulls} / COUNT(*) END")):
+                parts.append(row(t, prof, c, metric, sql) + f" FROM {t}")
             parts.append(
                 row(t, "unique_cols", c, "row_count", "COUNT(*)")
                 + f" FROM {t} HAVING COUNT(DISTINCT {c}) + MAX(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) = COUNT(*)"

@@ -27,14 +27,14 @@ def values(rows, profile_name, metric, field="num_value"):
 
 
 def test_every_report_is_there(report):
-    assert {r["profile"] for r in report[0]} == set(REPORTS) - {"unique_cols"}
+    assert {r["profile"] for r in report[0]} == set(REPORTS) - {"unique_cols"} | {"null_ratio"}
     assert values(report[0], "shape", "rows") == {None: 5.0} and values(report[0], "duplicate_count", "duplicate_qty") == {None: 1.0}
 
 
 def test_reports_of_an_empty_table(report):
     empty = report[1]
     assert values(empty, "shape", "rows") == {None: 0.0} and values(empty, "shape", "cols") == {None: 2.0}
-    assert values(empty, "null_counts", "null_ratio_rows") == {"k": None, "s": None}
+    assert values(empty, "null_ratio", "of_rows") == {"k": None, "s": None}
     assert values(empty, "describe_non_num", "count") == {"s": 0.0}
     assert not [r for r in empty if r["profile"] in ("json_cols", "xml_cols", "date_cols", "value_counts", "head")]
 
@@ -44,7 +44,7 @@ def test_describe_null_counts_and_detectors(report):
     assert values(rows, "describe_non_num", "top", "str_value") == {
         "s": "a", "j": '{"a": 1}', "x": "<b/>", "d": "01/03/2024", "tags": None, "long.text": "L" * 200}
     assert values(rows, "describe_non_num", "unique")["tags"] == 3.0
-    assert values(rows, "null_counts", "null_ratio_nonnull")["s"] == pytest.approx(2 / 3)
+    assert values(rows, "null_ratio", "of_non_null")["s"] == pytest.approx(2 / 3)
     assert values(rows, "json_cols", "share") == {"j": 1.0} and values(rows, "xml_cols", "share") == {"x": 1.0}
     assert values(rows, "date_cols", "min_date", "str_value") == {"d": "2024-01-31 00:00:00"}
     assert values(rows, "date_cols", "days") == {"d": 30.0}
@@ -87,7 +87,7 @@ def test_one_scan_and_one_shuffle_for_all_counts(spark):
 
 def test_reports_can_be_chosen_and_mixed(spark):
     df = spark.createDataFrame([(1,), (None,)], "k int")
-    assert {r["profile"] for r in profile(df, reports=["shape", "null_counts"]).collect()} == {"shape", "null_counts"}
+    assert {r["profile"] for r in profile(df, reports=["shape", "null_counts"]).collect()} == {"shape", "null_counts", "null_ratio"}
     alone = DEFAULT_PROFILERS["shape"](df, "t").collect()
     assert sorted((r["metric"], r["num_value"]) for r in alone) == [("cols", 1.0), ("rows", 2.0)]
     with pytest.raises(ValueError):
