@@ -35,7 +35,7 @@ from lakeloom.llm._shared import bucket_count, staged
 
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 2048
-CACHE_BYTES = 96 << 20  # of each of the two generations of a worker's word cache
+CACHE_BYTES = 40 << 20  # of each of the two generations of a worker's word cache
 CACHE_ENDINGS = 100_000
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
