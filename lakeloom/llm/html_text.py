@@ -5,15 +5,19 @@ character references decoded. Within a host, pages are sorted by URL path, and e
 aligned with the pages just before and after it by a longest common subsequence of lines. Lines
 shared with such a neighbour are its template (menus, notices, footers) and are deleted. Pages of a
 host with one longest line, among the lines that are not on nearly all its pages, are near copies:
-the first stands for all, and its neighbours are the nearest pages of other content.
+of those with the same template lines the first stands for all, and its neighbours are the nearest pages of
+other content.
 
 Differencing alone can't give right results where a template's words change from page to page, or
 where neighbours share a sentence of their articles, so markup corrects it. Every page is aligned
-with its neighbours over all its lines, but lines inside an ``article`` or ``main`` element are not
-deleted for being shared, and elements that are navigation, headers, footers, sidebars, notices,
-adverts, forms or comments by tag, class, id or role go even if no neighbour has them. A class, an id
+with its neighbours over all its lines, but lines inside the main element are not deleted for being
+shared, and elements that are navigation, headers, footers, sidebars, notices, adverts, forms or comments by tag,
+class, id or role go even if no neighbour has them. The main element is ``main``, else the
+``article`` with most text. Other articles are cards (teasers), and so are all articles beside a text much longer than
+they are; cards, and in that case the text beside them, are left to differencing. A class, an id
 or a form tag never drops html, body, main or article, nor an element that holds the main text or
-most of the page's text (``class="no-sidebar"``); such elements are left to differencing.
+most of the page's text (``class="no-sidebar"``); inside the main element only a whole name does
+(``ad-box``, not ``notice-period``), and tables, lists of terms and headings may be called a menu.
 
 The neighbours are found over rows of a few hashes, one for each content of a host, so exact copies
 count once; they are range-partitioned by (host, path), so a host with a third of all pages spans
@@ -72,6 +76,14 @@ _OTHER = frozenset(
     "modal popup overlay newsletter subscribe signup login search comment comments disqus respond reply replies share "
     "sharing social related recommended widget pagination pager copyright".split()
 )
+# Words beside those in a compound name ("related-posts"); other compounds inside the main element name its content.
+_FILLING = frozenset(
+    "area author bar block body bottom box button buttons card container content count form group icon icons inner item "
+    "items label link links list meta outer panel post posts section slot text thread title top unit wrap wrapper".split()
+)
+# Inside the main element these hold its data, whatever they are called ("menu"), but for foreign matter.
+_DATA = frozenset("table dl pre blockquote figure h1 h2 h3 h4 h5 h6".split())
+_DATA_WORDS = frozenset("menu nav navigation notice notices alert search share login signup overlay widget copyright".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 # An opening tag that ends an open element of the second kind, up to the nearest of the third.
 _CLOSES = {
@@ -85,6 +97,22 @@ _CLOSES = {
 
 
 _KEPT, _DOUBTFUL, _GONE = 0, 1, 2
+OUTSIDE, MAIN, CARD = 0, 1, 2  # where a line is; CARD: in an article element that is not the page's main one
+TEASER = 3  # article elements with less than 1 / 3 of the text beside them are cards,
+STORY = 100  # if that text has as many characters
+
+
+def _names_other(tag: str, value: str, inside_main: bool) -> bool:
+    """Whether a class or id names something other than the article; inside the main element only by whole names."""
+    if not inside_main:
+        words = set(_NAMES.findall(value))
+        return bool(words & _OTHER) or "header" in words
+    other = _OTHER - _DATA_WORDS if tag in _DATA else _OTHER
+    for token in value.split():
+        words = set(_NAMES.findall(token))
+        if words & other and words <= _OTHER | _FILLING:
+            return True
+    return False
 
 
 def _is_other(tag: str, attributes: str, inside_main: bool) -> int:
@@ -100,8 +128,7 @@ def _is_other(tag: str, attributes: str, inside_main: bool) -> int:
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id"):
-            words = set(_NAMES.findall(value))
-            if words & _OTHER or ("header" in words and not inside_main):
+            if _names_other(tag, value, inside_main):
                 found = _DOUBTFUL
         elif name == "role" and value == "main":
             main = True
@@ -141,6 +168,31 @@ def _settled(lines: list[tuple[str, bool, bool]], doubtful: list[list]) -> list[
     return [(text, main, g) for (text, main, _), g in zip(lines, gone)]
 
 
+def _placed(lines: list[tuple[str, bool, bool]], elements: list[list], doubtful: list[list]) -> list[tuple[str, int, bool]]:
+    """Lines with their place: OUTSIDE, MAIN or CARD.
+
+    ``elements``: first line, end and tag of the outermost article and main elements. The article element with most text
+    is the main one, the others are cards; all are cards where there is over ``TEASER`` times their text beside
+    them, not counting the elements in ``doubtful`` that hold no article. A main element is never a card.
+    """
+    places = [MAIN if main else OUTSIDE for _, main, _ in lines]
+    articles = [(s, e) for s, e, tag in elements if tag == "article"]
+    if articles:
+        sizes = [sum(len(text) for text, _, gone in lines[s:e] if not gone) for s, e in articles]
+        largest = sizes.index(max(sizes))
+        other_main = len(articles) < len(elements)
+        counted = [not main and not gone for _, main, gone in lines]
+        for s, e, _ in doubtful:
+            if not any(main for _, main, _ in lines[s:e]):
+                counted[s:e] = [False] * (e - s)
+        beside = sum(len(text) for (text, _, _), c in zip(lines, counted) if c)
+        teasers = not other_main and beside > max(STORY, TEASER * sum(sizes))
+        for k, (s, e) in enumerate(articles):
+            if teasers or (k != largest and not other_main):
+                places[s:e] = [CARD] * (e - s)
+    return [(text, place, gone) for (text, _, gone), place in zip(lines, places)]
+
+
 def _without_silent(html: str) -> str:
     """The page without comments and elements that hold no text of it; of unclosed elements only the tag goes."""
     out, at = [], 0
@@ -171,13 +223,14 @@ def _without_silent(html: str) -> str:
     return "".join(out)
 
 
-def page_lines(html: str) -> list[tuple[str, bool, bool]]:
-    """(text, inside the main element, dropped by markup) of every block of a page."""
+def page_lines(html: str) -> list[tuple[str, int, bool]]:
+    """(text, OUTSIDE, MAIN or CARD, dropped by markup) of every block of a page."""
     html = _without_silent(html)
     lines: list[tuple[str, bool, bool]] = []
     parts: list[str] = []
     stack: list[tuple[str, bool, bool, int]] = []  # (tag, main so far, dropped so far, number in doubtful or -1)
     doubtful: list[list] = []
+    elements: list[list] = []  # outermost article and main elements: first line, end, tag
     main = dropped = False
 
     def flush() -> None:
@@ -193,6 +246,9 @@ def page_lines(html: str) -> list[tuple[str, bool, bool]]:
         for *_, number in stack[depth:]:
             if number >= 0:
                 doubtful[number][1] = len(lines)
+        if elements and elements[-1][1] < 0 and not (depth and stack[depth - 1][1]):
+            flush()
+            elements[-1][1] = len(lines)
         del stack[depth:]
         return stack[-1][1:3] if stack else (False, False)
 
@@ -233,26 +289,29 @@ def page_lines(html: str) -> list[tuple[str, bool, bool]]:
             if other == _DOUBTFUL and not dropped_now:
                 number = len(doubtful)
                 doubtful.append([len(lines), -1, main])
-            stack.append((tag, main or tag in _MAIN or 'role="main"' in attributes, dropped_now, number))
+            opens = not main and (tag in _MAIN or 'role="main"' in attributes)
+            if opens:
+                flush()
+                elements.append([len(lines), -1, tag])
+            stack.append((tag, main or opens, dropped_now, number))
             main, dropped = stack[-1][1:3]
     rest = html[at:]
     if rest:
         parts.append(entities.unescape(rest) if "&" in rest else rest)
     flush()
     cut(0)
-    return _settled(lines, doubtful)
+    return _placed(_settled(lines, doubtful), elements, doubtful)
 
 
-def open_lines(lines: list[tuple[str, bool, bool]]) -> list[int]:
-    """Numbers of the lines that markup leaves to differencing: none where it names the main element."""
-    if any(main and not dropped for _, main, dropped in lines):
-        return []
-    return [k for k, (_, _, dropped) in enumerate(lines) if not dropped]
+def open_lines(lines: list[tuple[str, int, bool]]) -> list[int]:
+    """Numbers of the lines that markup leaves to differencing: beside a main element only its cards, else all."""
+    named = any(place == MAIN and not dropped for _, place, dropped in lines)
+    return [k for k, (_, place, dropped) in enumerate(lines) if not dropped and (place == CARD if named else True)]
 
 
-def main_text(lines: list[tuple[str, bool, bool]], deleted: set[int]) -> str:
+def main_text(lines: list[tuple[str, int, bool]], deleted: set[int]) -> str:
     kept = set(open_lines(lines)) - deleted
-    return " ".join(text for k, (text, main, dropped) in enumerate(lines) if k in kept or main and not dropped)
+    return " ".join(text for k, (text, place, dropped) in enumerate(lines) if k in kept or place == MAIN and not dropped)
 
 
 def common_lines(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
@@ -289,6 +348,7 @@ def common_lines(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
 
 _LIGHT = "host string, mark long, path string, hashes array<long>, open array<int>, by_size array<long>"
 FREQUENT = 0.9  # share of a host's contents from which a line on them (and on five or more) names no content
+USUAL = 0.5  # share from which a line tells kinds of near copies apart
 
 
 def _host(url: Column) -> Column:
@@ -304,14 +364,15 @@ def _hashes(lines: list[tuple[str, bool, bool]]) -> list[int]:
 
 
 def _light(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Place, line hashes, lines open to deletion and their hashes, longest line first, of every page."""
+    """Place, line hashes, lines open to deletion, and hashes of what is kept or open, longest line first, of every page."""
     for b in batches:
         out = []
         for host, mark, path, html in zip(*(c.to_pylist() for c in b.columns)):
             lines = page_lines(html) if html else []
             if lines:
                 hashes, opened = _hashes(lines), open_lines(lines)
-                by_size = sorted(opened, key=lambda k: (-len(lines[k][0]), k))
+                kept = [k for k, (_, place, dropped) in enumerate(lines) if place == MAIN and not dropped] if opened else []
+                by_size = sorted({*opened, *kept}, key=lambda k: (-len(lines[k][0]), k))
                 out.append((host, mark, path, hashes, opened, [hashes[k] for k in by_size]))
         cols = list(zip(*out)) or [()] * 6
         kinds = (pa.string(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()))
@@ -325,20 +386,26 @@ def _keyed(light: DataFrame) -> DataFrame:
     """``light`` with the key of each content: its longest line that is not frequent in the host.
 
     Contents of a host with one key are near copies. Pages that differencing deletes nothing from are
-    their own key.
+    their own key. ``kind`` tells near copies apart by the usual lines they have: a page cut off before its
+    footer doesn't speak for the whole ones.
     """
     opened = light.where(F.size("open") > 0)
     lines = opened.select("host", F.explode(F.array_distinct("by_size")).alias("line")).groupBy("host", "line").count()
     totals = opened.groupBy(F.col("host").alias("h")).agg(F.count("*").alias("contents"))
     frequent = lines.where("count >= 5").join(totals, F.col("host") == F.col("h")).where(
-        F.col("count") > FREQUENT * F.col("contents")
-    ).groupBy("h").agg(F.collect_set("line").alias("frequent"))
-    rest = F.filter("by_size", lambda x: ~F.array_contains(F.coalesce("frequent", F.array().cast("array<long>")), x))
+        F.col("count") > USUAL * F.col("contents")
+    ).groupBy("h").agg(
+        F.collect_set(F.when(F.col("count") > FREQUENT * F.col("contents"), F.col("line"))).alias("frequent"),
+        F.sort_array(F.collect_set("line")).alias("usual"),
+    )
+    none = F.array().cast("array<long>")
+    rest = F.filter("by_size", lambda x: ~F.array_contains(F.coalesce("frequent", none), x))
     keys = opened.join(frequent, F.col("host") == F.col("h"), "left").withColumn(
         "key", F.coalesce(F.get(rest, F.lit(0)), F.get("by_size", F.lit(0)))
-    )
-    columns = ["host", "mark", "path", "hashes", "open", "key"]
-    return keys.select(*columns).unionByName(light.where(F.size("open") == 0).withColumn("key", F.col("mark")).select(*columns))
+    ).withColumn("kind", F.xxhash64(F.array_intersect(F.coalesce("usual", none), "by_size")))
+    columns = ["host", "mark", "path", "hashes", "open", "key", "kind"]
+    own = light.where(F.size("open") == 0).withColumn("key", F.col("mark")).withColumn("kind", F.lit(0).cast("long"))
+    return keys.select(*columns).unionByName(own.select(*columns))
 
 
 def _shared_by(a: dict, b: dict) -> list[tuple]:
@@ -393,16 +460,16 @@ def template_lines(pages: DataFrame) -> DataFrame:
     """(host, mark, deleted): hashes of the lines each content shares with its neighbours, a list for each.
 
     ``pages(host, mark, path, html)``; equal contents of a host are one, at their first path, and of
-    near copies the first one stands for all, so that its neighbours are of other contents.
+    near copies the first one of each kind stands for all, so that its neighbours are of other contents.
     """
     light = pages.mapInArrow(_light, _LIGHT).groupBy("host", "mark").agg(
         F.min("path").alias("path"), *(F.first(c).alias(c) for c in ("hashes", "open", "by_size"))
     )
     keyed = staged(_keyed(staged(light, "page-lines")), "page-keys")
-    first = keyed.groupBy("host", "key").agg(F.min(F.struct("path", "mark", "hashes", "open")).alias("x")).select(
+    first = keyed.groupBy("host", "key", "kind").agg(F.min(F.struct("path", "mark", "hashes", "open")).alias("x")).select(
         "host", "key", "x.path", "x.hashes", "x.open"
     )
-    order = ["host", "path", "key"]
+    order = ["host", "path", "key", "open"]
     found = staged(
         first.repartitionByRange(shuffle_partitions(pages.sparkSession), *order).sortWithinPartitions(*order)
         .mapInPandas(_neighbours, _DELETED),
