@@ -129,7 +129,8 @@ def survivors(docs: DataFrame, found: DataFrame) -> DataFrame:
     keep = found.where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).distinct()
     marked = docs.withColumn("__digest", digest)
     kept = marked.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__sha")), "left_semi")
-    first = Window.partitionBy("doc_id", "__digest").orderBy("doc_id")
+    # repeats of one id: the longest text, then the smallest, whichever task reads it first
+    first = Window.partitionBy("doc_id", "__digest").orderBy(F.length("text").desc_nulls_last(), "text")
     return kept.withColumn("__copy", F.row_number().over(first)).where("__copy = 1").select(*docs.columns)
 
 

@@ -44,6 +44,7 @@ from lakeloom.llm._shared import staged
 from lakeloom.llm.words import shingle_set
 
 SAMPLE = 800  # labelled documents of each class, the documented bound of the training sample
+SAMPLE_BYTES = 1 << 20  # the longest text to learn from; scores read texts of any length
 LANDMARKS = 128
 DECAY = 0.7
 REACH = 5  # a triple spans at most REACH + 1 characters
@@ -406,17 +407,22 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[list[bytes], list[int], float]:
-    """Whole texts and labels of at most ``sample`` documents of each class, not held out.
+    """Whole texts and labels of at most ``sample`` documents of each class, not held out, one text of each id.
+
+    Only texts of at most ``SAMPLE_BYTES`` are learned from; of a repeated id the last text in code-point order.
 
     With the odds of a toxic label among all usable labels, over those in the sample.
     """
     usable = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(
         "doc_id IS NOT NULL AND toxic IN (0, 1)"
     ).where(~held_out(F.col("doc_id"))).distinct()
-    known = staged(usable.join(docs.select("doc_id"), "doc_id", "left_semi"), "toxicity-labels")
+    short = docs.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= SAMPLE_BYTES)
+    known = staged(usable.join(short.select("doc_id"), "doc_id", "left_semi"), "toxicity-labels")
     picks = [known.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for t in (0, 1)]
     chosen = staged(picks[0].unionByName(picks[1]), "toxicity-sample")
-    rows = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").collect()  # at most 2 * sample
+    rows = (  # at most 2 * sample, of at most SAMPLE_BYTES each
+        short.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.max("text").alias("text")).collect()
+    )
     rows = sorted(rows, key=lambda r: (r["doc_id"], r["text"] or "", r["toxic"]))
     totals = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}  # two rows
     picked = sum(r["toxic"] for r in rows)

@@ -77,3 +77,50 @@ def test_exact_dedup_oracle(spark):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
     want = con.execute(exact_dedup.ORACLE_SQL).df().sort_values("doc_id")
     assert got[sorted(got)].values.tolist() == want[sorted(want)].values.tolist()
+
+
+ODD = (
+    "doc_id long, text string, lang string, source string, n_chars long, kept boolean, component_id long, score double, "
+    "digest string, copies int, words int"
+)
+
+
+def odd_documents(spark):
+    long = " ".join(f"w{k}" for k in range(30))
+    texts = [None, "", " ", "one", "one", long, long + " end", long.upper(), "ünï " * 8, "x" * 50_000]
+    rows = [(k, t, None, None, None, True, 7, 0.5, "d", 1, 1) for k, t in enumerate(texts)]
+    rows += [rows[5], (5, long + " other words", "en", "s", 3, None, None, None, None, None, None)]
+    return spark.createDataFrame(rows, ODD)
+
+
+def test_stages_on_nulls_repeats_and_clashing_names(spark):
+    """Null, empty and repeated rows and extra columns named like the stages' own."""
+    docs = odd_documents(spark)
+    kept = staged(corpus_pipeline.drop_toxic(spark, docs, SF), "test-odd")
+    assert kept.schema == docs.schema and kept.count() == docs.count()  # nothing toxic in it
+    exact = staged(corpus_pipeline.drop_exact_copies(spark, kept, SF), "test-odd")
+    assert exact.columns == docs.columns
+    texts = ["".join((r["text"] or "").split()) for r in exact.collect()]
+    assert len(texts) == len(set(texts)) == len({"".join((r["text"] or "").split()) for r in docs.collect()})
+    near = staged(corpus_pipeline.drop_near_copies(spark, exact, SF), "test-odd")
+    assert near.columns == docs.columns
+    gone = {r["doc_id"] for r in exact.collect()} - {r["doc_id"] for r in near.collect()}
+    assert gone == {6, 7}  # one word more, and the same in capitals, as document 5
+    mixed = staged(corpus_pipeline.mix_sources(spark, near, SF), "test-odd")
+    assert mixed.columns == docs.columns
+    packed = corpus_pipeline.pack_sequences(spark, mixed, SF).toPandas()
+    assert (packed.groupby("sequence_id").length.sum() <= 2048).all()
+
+
+def test_stages_on_an_empty_table(spark):
+    docs = spark.createDataFrame([], ODD)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = staged(stage(spark, docs, SF), "test-empty")
+        assert docs.count() == 0
+
+
+def test_survivors_of_a_repeated_id_do_not_depend_on_the_reading_order(spark):
+    rows = [(1, "a b  c"), (1, "a b c"), (1, "ab c"), (2, "abc")]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string").repartition(3)
+        assert [tuple(r) for r in exact_dedup.survivors(docs, exact_dedup.exact_dedup(docs)).collect()] == [(1, "a b  c")]
