@@ -8,12 +8,14 @@ smaller than the session's broadcast limit, and shuffles otherwise).
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -103,3 +105,22 @@ def key_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tup
 def binary_matrix(column: pa.ChunkedArray, kind: str) -> np.ndarray:
     """The rows of a binary column of equal lengths as a matrix."""
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run`` for mapInArrow, whose Python worker gives freed memory back to the system at the end of a task.
+
+    Spark keeps workers for the tasks of later stages; what their allocators hold on to would add to those.
+    """
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim:
+                trim(0)
+
+    return mapped

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm._shared import WHITE, shuffle_partitions, staged
+from lakeloom.llm._shared import WHITE, lean, shuffle_partitions, staged
 
 _MARKS = "doc_id long, digest binary, norm_bytes long, points long, run int"
 _RUN = "slot int, digest binary, norm_bytes long, points long, keep_id long, n long"
@@ -79,12 +79,12 @@ def _merged(runs: DataFrame) -> DataFrame:
     ordered = runs.sortWithinPartitions(
         "slot", "digest", "norm_bytes", F.desc("points"), F.asc_nulls_last("keep_id")
     )
-    return ordered.mapInArrow(_merge_runs, _RUN)
+    return ordered.mapInArrow(lean(_merge_runs), _RUN)
 
 
 def digest_marks(docs: DataFrame) -> DataFrame:
     """doc_id, digest, norm_bytes, points and the run (scan partition) of every row."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_digests, _MARKS)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(_digests), _MARKS)
 
 
 def merge_tree(marks: DataFrame, fan_in: int = 16) -> DataFrame:

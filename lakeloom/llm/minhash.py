@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm._shared import key_runs, staged
+from lakeloom.llm._shared import key_runs, lean, staged
 from lakeloom.llm.components import connected_components
 from lakeloom.llm.words import shingle_set
 
@@ -115,7 +115,7 @@ def estimated(pairs: DataFrame, reps: DataFrame, percent: int, k: int) -> DataFr
 def full_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
     """(doc_id, shingles): the whole shingle sets of the documents ``ids(doc_id)``."""
     sets = docs.join(staged(ids.distinct(), "near-needed"), "doc_id", "left_semi")
-    return staged(sets.mapInArrow(_full_sets(shingle), "doc_id long, shingles array<long>"), "near-sets")
+    return staged(sets.mapInArrow(lean(_full_sets(shingle)), "doc_id long, shingles array<long>"), "near-sets")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -323,7 +323,7 @@ def near_links(docs: DataFrame, reps: DataFrame, shingle: int, percent: int, k:
     ).select("rep")
     members = staged(_several(members.join(staged(often, "near-often"), "rep", "left_semi")), "near-members")
     units = _units(members.withColumn("weight", F.lit(1)), BLOCK).join(reps.select("rep", "n", "sketch"), "rep")
-    trees = _sorted_units(units).mapInArrow(_likely(percent), _FOREST)
+    trees = _sorted_units(units).mapInArrow(lean(_likely(percent)), _FOREST)
 
     families = staged(connected_components(trees).select(F.col("id").alias("rep"), F.col("component").alias("key")), "near-families")
     sets = full_sets(docs, families.select(F.col("rep").alias("doc_id")), shingle).withColumnRenamed("doc_id", "rep")
@@ -332,14 +332,14 @@ def near_links(docs: DataFrame, reps: DataFrame, shingle: int, percent: int, k:
         "key", "rep", F.coalesce("component", "rep").alias("comp"), "weight"
     )
     units = _units(sized, BLOCK_SHINGLES).join(sets, "rep")
-    more = staged(_sorted_units(units).mapInArrow(_exact(percent), _FOREST), "near-links")
+    more = staged(_sorted_units(units).mapInArrow(lean(_exact(percent)), _FOREST), "near-links")
     return connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(more))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, k: int = K) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = staged(docs.mapInArrow(_sketches(shingle, k), _SETS), "near-sketches")
+    sets = staged(docs.mapInArrow(lean(_sketches(shingle, k)), _SETS), "near-sketches")
     reps = staged(
         sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("c1", "c2").agg(
             F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min_by("sketch", "doc_id").alias("sketch")

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm._shared import bucket_count, staged
+from lakeloom.llm._shared import bucket_count, lean, staged
 
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 2048
@@ -151,7 +151,7 @@ def _pieces(path: str | None, capacity: int):
 
 def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_pieces(path, capacity), _PIECES)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(_pieces(path, capacity)), _PIECES)
 
 
 # ------------------------------------------------------------------ one island's packings

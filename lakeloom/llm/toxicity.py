@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from lakeloom.llm._shared import staged
+from lakeloom.llm._shared import lean, staged
 from lakeloom.llm.words import shingle_set
 
 SAMPLE = 800  # labelled documents of each class, the documented bound of the training sample
@@ -439,7 +439,7 @@ def with_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Dat
         return docs.withColumn("__toxicity", F.lit(0.0))
     schema = StructType([*docs.schema.fields, StructField("__toxicity", DoubleType())])
     run = _scored(model.table.astype("<f8").tobytes(), model.bias, tuple(model.logistic), docs.columns.index("text"))
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
