@@ -12,12 +12,13 @@ of the group. The counts are written once; every report is read off them:
 * JSON, markup and date columns with their ranges: the flags weighted by the counts.
 
 Only texts over ``DIGEST_OVER`` characters that are to be reported need a further read of their
-columns, as counts hold digests of those.
+columns, as counts hold digests of those. Columns of which only the number of cells is asked for
+(``counted``) send no cell through the shuffle: one aggregate row a table counts them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -29,6 +30,7 @@ from lakeloom.functions.json import looks_like_json, looks_like_xml
 from lakeloom.functions.patterns import is_date_text
 from lakeloom.functions.values import (
     DIGEST_OVER,
+    _sql_name,
     is_digest,
     is_non_numeric,
     is_temporal,
@@ -43,6 +45,7 @@ from lakeloom.session import written
 
 ROW, CELL, ELEMENT = "row", "cell", "element"  # what a numbered column counts
 _FLAGS = {"json": 1, "xml": 2, "date": 4}
+COUNTS_DDL = "c int, t tinyint, i bigint, d double, s string, cnt bigint, flags int, day timestamp_ntz"
 
 
 @dataclass(frozen=True)
@@ -81,8 +84,9 @@ def _flags(c: str, dt: DataType, strict: bool, day_first: bool) -> tuple[Column,
 
 
 def _cells(df: DataFrame, columns: Sequence[ProfiledColumn], strict: bool, day_first: bool) -> DataFrame:
-    """(c, k, f, d) of every non-null cell of one table, its rows' fingerprints included."""
-    names = list(dict.fromkeys(x.name for x in columns if x.name is not None))
+    """(c, k, f, d) of every non-null cell of ``columns`` of one table; a fingerprint covers all its columns."""
+    of_rows = any(x.kind == ROW for x in columns)
+    names = list(dict.fromkeys(df.columns if of_rows else (x.name for x in columns)))
     keys = [typed_key(c, df.schema[c].dataType).alias(f"k{i}") for i, c in enumerate(names)]
     place = {c: f"k{i}" for i, c in enumerate(names)}
     src = spread(df.select(*[q(c) for c in names])).select(*[q(c) for c in names], *keys)
@@ -115,14 +119,28 @@ def _cells(df: DataFrame, columns: Sequence[ProfiledColumn], strict: bool, day_f
 
 def value_counts_of_set(tables: Mapping[str, DataFrame], columns: Sequence[ProfiledColumn], strict: bool = True,
                         day_first: bool = True) -> DataFrame:
-    """(c, t, i, d, s, cnt, flags, day): every distinct value of every column; one scan a table, one shuffle."""
-    parts = [_cells(df, [x for x in columns if x.table == t], strict, day_first) for t, df in tables.items()]
+    """(c, t, i, d, s, cnt, flags, day): every distinct value of ``columns``; one scan a table, one shuffle."""
+    of_table = {t: [x for x in columns if x.table == t] for t in tables}
+    parts = [_cells(df, of_table[t], strict, day_first) for t, df in tables.items() if of_table[t]]
     cells = reduce(lambda a, b: a.unionByName(b), parts).select("c", "k.t", "k.i", F.col("k.d").alias("d"), "k.s", "f",
                                                                 F.col("d").alias("day"))
     return cells.groupBy("c", "t", "i", "d", "s").agg(
         F.count(F.lit(1)).alias("cnt"), F.max("f").alias("flags"), F.max("day").alias("day"))
 
 
+def cells_of_set(tables: Mapping[str, DataFrame], columns: Sequence[ProfiledColumn]) -> DataFrame | None:
+    """(c, cells) of ``columns`` without their values: one aggregate row a table, nothing else is shuffled."""
+    parts = []
+    for t, df in tables.items():
+        mine = [x for x in columns if x.table == t and x.kind != ELEMENT]  # an element's cells are asked for with its values
+        if not mine:
+            continue
+        number = {x.c: f"count({'1' if x.kind == ROW else _sql_name(x.name)}) AS n{x.c}" for x in mine}
+        entries = ", ".join(f"named_struct('c', {c}, 'cells', n{c})" for c in number)
+        parts.append(df.agg(*map(F.expr, number.values())).select(F.expr(f"inline(array({entries}))")))
+    return reduce(lambda a, b: a.unionByName(b), parts) if parts else None
+
+
 def column_stats(counts: DataFrame) -> DataFrame:
     """One row per numbered column that has cells; partial and final aggregates, bounded by the schema."""
     weighted = {n: F.sum(F.when(F.col("flags").bitwiseAND(F.lit(b)) != 0, F.col("cnt")).otherwise(0)).alias(n)
@@ -172,7 +190,7 @@ class SetProfile:
 
     tables: Mapping[str, DataFrame]
     columns: list[ProfiledColumn]
-    counts: DataFrame
+    counts: DataFrame  # of the counted columns
     stats: DataFrame  # one row a numbered column; rows of its table in ``rows``
     shares: DataFrame  # (c, value, share) of the dominant texts
     tops: DataFrame  # (c, top)
@@ -182,16 +200,25 @@ class SetProfile:
         return self.counts.sparkSession
 
 
-def profile_set(tables: Mapping[str, DataFrame], percentage: float = 0.05, strict: bool = True,
-                day_first: bool = True) -> SetProfile:
+def profile_set(tables: Mapping[str, DataFrame], percentage: float = 0.05, strict: bool = True, day_first: bool = True,
+                counted: Callable[[ProfiledColumn], bool] | None = None) -> SetProfile:
+    """The profile of all columns; ``counted`` says of which the values are needed, not only the number of cells."""
     columns = numbered_columns(tables)
-    counts = written(value_counts_of_set(tables, columns, strict, day_first), "profile-counts")
-    spark = counts.sparkSession
+    valued = [x for x in columns if counted is None or counted(x)]
+    spark = next(iter(tables.values())).sparkSession
+    if valued:
+        counts = written(value_counts_of_set(tables, valued, strict, day_first), "profile-counts")
+    else:
+        counts = spark.createDataFrame([], COUNTS_DDL)
     names = spark.createDataFrame(
         [(x.c, x.table, x.name, x.kind, x.dtype.simpleString() if x.dtype is not None else None,
           x.kind == CELL and is_non_numeric(x.dtype), len(tables[x.table].columns)) for x in columns],
         "c int, table_name string, column_name string, kind string, dtype string, describe boolean, cols int")
     found = column_stats(counts)
+    known_values = {x.c for x in valued}
+    uncounted = cells_of_set(tables, [x for x in columns if x.c not in known_values])
+    if uncounted is not None:
+        found = written(found.unionByName(uncounted, allowMissingColumns=True), "profile-cells")
     sizes = found.select("c", "cells").join(names.where(F.col("kind") == ROW).select("c", "table_name"), "c").select(
         "table_name", F.col("cells").alias("rows"))
     # K rows, one a column of the set
@@ -199,7 +226,7 @@ def profile_set(tables: Mapping[str, DataFrame], percentage: float = 0.05, stric
         0, ["cells", "distinct", "max_freq", "rows", *_FLAGS])
     stats = written(stats, "profile-stats")
 
-    texts = [x.c for x in columns if _counts_texts(x)]
+    texts = [x.c for x in valued if _counts_texts(x)]
     known = F.broadcast(stats.select("c", "cells", "max_freq", F.col("s").alias("top_s")))
     of_texts = counts.where(F.col("c").isin(texts)).select("c", "s", "cnt").join(known, "c") if texts else None
     if of_texts is None:
@@ -212,11 +239,11 @@ def profile_set(tables: Mapping[str, DataFrame], percentage: float = 0.05, stric
         tied = of_texts.where((F.col("cnt") == F.col("max_freq")) & is_digest(F.col("s")) & is_digest(F.col("top_s")) & start)
         wanted = written(tied.select("c", "s").unionByName(dominant.where(is_digest(F.col("s"))).select("c", "s")),
                          "profile-digests")
-        values = written(long_texts(tables, columns, wanted), "profile-texts")
+        values = written(long_texts(tables, valued, wanted), "profile-texts")
         plain = F.expr(key_value_sql(StringType()))
         shares = dominant.where(~is_digest(F.col("s"))).select("c", plain.alias("value"), "share").unionByName(
             dominant.join(values, ["c", "s"]).select("c", "value", "share"))
-    tops = _tops(columns, counts, stats, values)
+    tops = _tops(valued, counts, stats, values) if valued else spark.createDataFrame([], "c int, top string")
     return SetProfile(tables, columns, counts, stats, shares, tops)
 
 

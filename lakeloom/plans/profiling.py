@@ -12,12 +12,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, VariantType
+from pyspark.sql.types import ArrayType, MapType, StringType, VariantType
 
 from lakeloom.functions.patterns import anchored, patterns
-from lakeloom.functions.values import _sql_name, canonical_text_sql, is_numeric
+from lakeloom.functions.values import _sql_name, canonical_text_sql, is_non_numeric, is_numeric, is_temporal
 from lakeloom.operators import profilers
-from lakeloom.operators.table_profile import profile_set
+from lakeloom.operators.table_profile import CELL, ELEMENT, ROW, ProfiledColumn, profile_set
 from lakeloom.operators.transforms import q
 
 REPORT_DDL = "table_name string, profile string, column_name string, metric string, num_value double, str_value string"
@@ -71,6 +71,23 @@ REPORTS = ("head", "col_types", "shape", "describe_non_num", "duplicate_count",
 HEAD_ROWS = 5
 
 
+def _is_text(x: ProfiledColumn) -> bool:
+    return x.kind == CELL and isinstance(x.dtype, StringType)
+
+
+# Of which columns a report needs the values; the others need no more than numbers of rows and cells.
+_VALUES_OF: dict[str, Callable[[ProfiledColumn], bool]] = {
+    "describe_non_num": lambda x: x.kind == CELL and is_non_numeric(x.dtype),
+    "duplicate_count": lambda x: x.kind == ROW,
+    "unique_cols": lambda x: x.kind == CELL,
+    "null_counts": lambda x: True,
+    "json_cols": _is_text,
+    "xml_cols": _is_text,
+    "date_cols": lambda x: _is_text(x) or (x.kind == CELL and is_temporal(x.dtype)),
+    "value_counts": lambda x: _is_text(x) or x.kind == ELEMENT,
+}
+
+
 def _head(df: DataFrame, table: str, order_by: Sequence[str] | str | None, n: int) -> DataFrame:
     """The first rows by ``order_by`` (all orderable columns where none is named), a metric a row."""
     keys = [order_by] if isinstance(order_by, str) else list(order_by or [
@@ -102,8 +119,8 @@ def profile_report(
 ) -> DataFrame:
     """The reports of a whole table set (M5) as one DataFrame.
 
-    All but ``head`` come from one pass over each table (``table_profile``); ``head`` is a top-n of its
-    own. ``profilers_`` are functions ``(df, table) -> report rows`` of the caller; given alone they
+    All but ``head`` come from one pass over each table (``table_profile``), which counts the values of
+    the columns that the named reports need them of; ``head`` is a top-n of its own. ``profilers_`` are functions ``(df, table) -> report rows`` of the caller; given alone they
     take the place of the default reports, with ``reports`` they come on top of those named.
     """
     if reports is None:
@@ -115,7 +132,7 @@ def profile_report(
     frames: list[DataFrame] = []
     entries = [e for name, es in _column_entries(threshold).items() if name in reports for e in es]
     if entries or "value_counts" in reports:
-        found = profile_set(tables, percentage)
+        found = profile_set(tables, percentage, counted=lambda x: any(r in _VALUES_OF and _VALUES_OF[r](x) for r in reports))
         known = found.stats.join(F.broadcast(found.tops), "c", "left")  # one row a column
         if entries:
             frames.append(known.select("table_name", "column_name", F.expr(f"inline(array({', '.join(entries)}))"))

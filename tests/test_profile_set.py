@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from lakeloom.operators import profilers
+from lakeloom.operators import profilers, table_profile
 from lakeloom.operators.table_profile import numbered_columns, value_counts_of_set
 from lakeloom.plans.profiling import DEFAULT_PROFILERS, REPORTS, profile, profile_report
 
@@ -98,3 +98,33 @@ def test_values_that_are_null_or_nan(spark):
     df = spark.createDataFrame([(float("nan"),), (1.0,), (None,)], "x double")
     rows = profile(df, "t").collect()
     assert values(rows, "null_counts", "null_count") == {"x": 1.0} and values(rows, "unique_cols", "row_count") == {"x": 3.0}
+
+
+@pytest.fixture()
+def counted(monkeypatch):
+    """The (kind, name) of the columns whose values were counted, a set a call."""
+    seen, real = [], table_profile.value_counts_of_set
+
+    def spy(tables, columns, *options):
+        seen.append({(x.kind, x.name) for x in columns})
+        return real(tables, columns, *options)
+
+    monkeypatch.setattr(table_profile, "value_counts_of_set", spy)
+    return seen
+
+
+def test_shapes_count_no_values(spark, counted):
+    df = spark.createDataFrame(ROWS, DDL)
+    rows = profile_report({"t": df, "empty": df.limit(0)}, reports=["shape", "col_types"]).collect()
+    assert counted == []
+    assert {(r["table_name"], r["metric"]): r["num_value"] for r in rows if r["profile"] == "shape"} == {
+        ("t", "rows"): 5.0, ("t", "cols"): 7.0, ("empty", "rows"): 0.0, ("empty", "cols"): 7.0}
+
+
+def test_a_report_alone_equals_its_part_of_all(spark, report, counted):
+    df = spark.createDataFrame(ROWS, DDL)
+    names = {"null_counts": ("null_counts", "null_ratio")}
+    for name in set(REPORTS) - {"head"}:
+        alone = sorted(map(str, profile(df, "t", reports=[name]).collect()))
+        assert alone == sorted(str(r) for r in report[0] if r["profile"] in names.get(name, (name,))), name
+    assert {("row", None)} in counted and {("cell", c) for c in ("s", "j", "x", "d", "long.text")} in counted
