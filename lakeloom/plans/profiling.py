@@ -80,7 +80,6 @@ _VALUES_OF: dict[str, Callable[[ProfiledColumn], bool]] = {
     "describe_non_num": lambda x: x.kind == CELL and is_non_numeric(x.dtype),
     "duplicate_count": lambda x: x.kind == ROW,
     "unique_cols": lambda x: x.kind == CELL,
-    "null_counts": lambda x: True,
     "json_cols": _is_text,
     "xml_cols": _is_text,
     "date_cols": lambda x: _is_text(x) or (x.kind == CELL and is_temporal(x.dtype)),

@@ -121,6 +121,15 @@ def test_shapes_count_no_values(spark, counted):
         ("t", "rows"): 5.0, ("t", "cols"): 7.0, ("empty", "rows"): 0.0, ("empty", "cols"): 7.0}
 
 
+def test_nulls_count_no_values(spark, counted):
+    df = spark.createDataFrame(ROWS, DDL)
+    rows = profile_report({"t": df, "empty": df.limit(0)}, reports=["null_counts"]).collect()
+    assert counted == []
+    assert values([r for r in rows if r["table_name"] == "t"], "null_counts", "null_count") == {
+        "k": 0.0, "s": 2.0, "j": 2.0, "x": 3.0, "d": 2.0, "tags": 1.0, "long.text": 2.0}
+    assert set(values([r for r in rows if r["table_name"] == "empty"], "null_ratio", "of_rows").values()) == {None}
+
+
 def test_a_report_alone_equals_its_part_of_all(spark, report, counted):
     df = spark.createDataFrame(ROWS, DDL)
     names = {"null_counts": ("null_counts", "null_ratio")}
