@@ -5,7 +5,7 @@ All are projections: narrow, no shuffle, fused into one whole-stage-codegen stag
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -164,22 +164,43 @@ _DAY_FIRST_FORMATS = ("dd.MM.yyyy", "dd/MM/yyyy", "dd-MM-yyyy", "yyyy/MM/dd", "y
 _MONTH_FIRST_FORMATS = ("MM.dd.yyyy", "MM/dd/yyyy", "MM-dd-yyyy", "yyyy/MM/dd", "yyyy.MM.dd")
 
 
+def _once(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of(value)`` with the value worked out once; a filter would do so at every place that names it."""
+    return F.get(F.transform(F.array(value), lambda x: of(x)), F.lit(0))
+
+
+def _separated(head: Column, fmt: str) -> Column:
+    """Whether a text has the separators of ``fmt`` where any text that the format reads has them."""
+    year_last = fmt.endswith("yyyy")
+    sep = fmt[2] if year_last else fmt[4]
+    places = (3, 6) if year_last else (-3, -6)  # a year may have more than four digits, day and month have two
+    return (F.substring(head, places[0], 1) == sep) & (F.substring(head, places[1], 1) == sep)
+
+
 def parse_datetime(c: Column, dt: DataType | None = None, day_first: bool = True) -> Column:
     """Mixed-format text to ``timestamp_ntz``; null when no format fits.
 
-    Day-first is explicit: ``05.06.2013`` is 5 June with ``day_first=True``.
+    Day-first is explicit: ``05.06.2013`` is 5 June with ``day_first=True``. No text fits two formats, and
+    a format is tried only on texts with its separators: a failed parse costs far more than a read one.
     """
     if dt is not None and is_temporal(dt):
         return c.cast("timestamp_ntz")
-    text = F.trim(c.cast("string"))
-    head = F.regexp_extract(text, r"^(\S+)", 1)
     fmts = _DAY_FIRST_FORMATS if day_first else _MONTH_FIRST_FORMATS
-    tries = [text.try_cast("timestamp_ntz")]
-    days = [F.try_to_timestamp(head, F.lit(f)) for f in fmts]
-    clock = F.regexp_extract(text, r"^\S+\s+(.+)$", 1)
-    tries += [F.concat(F.date_format(d, "yyyy-MM-dd "), clock).try_cast("timestamp_ntz") for d in days]
-    tries += [d.cast("timestamp_ntz") for d in days]  # no time of day, or one that can't be read
-    return F.coalesce(*tries)
+
+    def day_of(head: Column) -> Column:
+        return F.coalesce(*[F.when(_separated(head, f), F.try_to_timestamp(head, F.lit(f))) for f in fmts])
+
+    def moment(text: Column, head: Column, day: Column) -> Column:
+        clock = F.regexp_extract(text, r"^\S+\s+(.+)$", 1)
+        timed = F.concat(F.date_format(day, "yyyy-MM-dd "), clock).try_cast("timestamp_ntz")
+        whole_day = day.cast("date").cast("timestamp_ntz")
+        return F.coalesce(F.when(head == text, whole_day).otherwise(timed), day.cast("timestamp_ntz"))  # or an unread time
+
+    def read(text: Column) -> Column:
+        other = _once(F.regexp_extract(text, r"^(\S+)", 1), lambda h: _once(day_of(h), lambda d: moment(text, h, d)))
+        return F.coalesce(text.try_cast("timestamp_ntz"), other)
+
+    return _once(F.trim(c.cast("string")), read)
 
 
 def first_temporal_column(df: DataFrame) -> str | None:
@@ -276,7 +297,7 @@ def daily_slice(
         start = day_col.cast("timestamp_ntz")
         end = F.date_add(day_col, 1).cast("timestamp_ntz")
         return df.where((c.cast("timestamp_ntz") >= start) & (c.cast("timestamp_ntz") < end))
-    return df.where(F.to_date(parse_datetime(q(col_name), day_first=day_first)) == day_col)
+    return df.where(_once(parse_datetime(q(col_name), day_first=day_first), lambda t: F.to_date(t) == day_col))
 
 
 def daily_slices(tables: Mapping[str, DataFrame], day: str | date | None = None) -> dict[str, DataFrame]:

@@ -74,6 +74,16 @@ def test_a_day_of_a_set_with_text_dates(spark):
     assert [r["k"] for r in daily_slice(eu, "2013-06-18", date_column="d").collect()] == [4]
 
 
+def test_a_text_date_is_worked_out_once_a_row(spark):
+    df = spark.createDataFrame([(" 17.06.2013 ",), ("17/06/2013 23:59",), ("17-06-2013 25:00",), ("2013/06/17",), ("2013.06.17 08:00",),
+                                ("2013-06-17T01:02:03",), ("17.06/2013",), ("31.02.2013",), ("06/17/2013",), (None,)], "raw string")
+    day = daily_slice(df.select(F.reverse(F.reverse("raw")).alias("d")), "2013-06-17", date_column="d", day_first=True)
+    assert sorted(r["d"] for r in day.collect()) == sorted([" 17.06.2013 ", "17/06/2013 23:59", "17-06-2013 25:00", "2013/06/17",
+                                                            "2013.06.17 08:00", "2013-06-17T01:02:03"])
+    where = next(line for line in day._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in line)
+    assert where.count("reverse(reverse(") == 1  # a filter works out a value at every place that names it
+
+
 def test_distributed_ranks_equal_a_window(spark):
     rng = random.Random(3)
     rows = [("a" if k % 3 else "b", 0, 0, float(v), rng.randint(1, 5)) for k, v in enumerate(rng.sample(range(5000), 900))]
