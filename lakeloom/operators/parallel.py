@@ -30,6 +30,15 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def scans_only(df: DataFrame) -> bool:
+    """Whether ``df`` is no more than files read, filtered and projected: cheap to read again, and the same rows."""
+    try:
+        nodes = str(df._jdf.queryExecution().optimizedPlan()).splitlines()
+    except Exception:  # Spark Connect
+        return False
+    return all(re.match(r"[ :+-]*(Project|Filter|Relation) ", n) for n in nodes)
+
+
 def spread(df: DataFrame, min_partitions: int | None = None, min_bytes: int = MIN_SPREAD_BYTES) -> DataFrame:
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism

@@ -104,6 +104,24 @@ def test_quantiles_by_any_road(spark, limit, refine, accuracy):
         assert v == pytest.approx(float(np.percentile(x, 100 * p)), abs=1e-12)
 
 
+def test_quantiles_read_files_again_and_hold_no_copy_of_the_cells(spark, scratch, monkeypatch):
+    rng = random.Random(4)
+    rows = [(rng.randint(1, 7), rng.choice([rng.gauss(0, 5), None]), 4) for _ in range(3000)]
+    path = scratch("quantiles")
+    spark.createDataFrame(rows, "few int, many double, one int").repartition(3).write.parquet(path)
+    df = spark.read.parquet(path)
+
+    def refuse(self, *level):
+        raise AssertionError("cells were persisted")
+
+    monkeypatch.setattr(type(df), "persist", refuse)
+    got = {(r["column"], r["prob"]): r["value"] for r in exact_quantiles(df, df.columns, (0.1, 0.25, 0.5), limit=100, accuracy=1000).collect()}
+    for i, c in enumerate(df.columns):
+        cells = [r[i] for r in rows if r[i] is not None]
+        for p in (0.1, 0.25, 0.5):
+            assert got[c, p] == pytest.approx(float(np.percentile(cells, 100 * p)), abs=1e-12)
+
+
 def test_rank_levels_are_salted(spark):
     counts = spark.createDataFrame([(2020, k, 1) for k in range(300)] + [(2020, 900, 7), (None, 1, 2), (None, 2, 5)],
                                    "year int, item int, n long")
