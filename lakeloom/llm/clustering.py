@@ -59,7 +59,7 @@ def first_centroids(kept: DataFrame, k: int = K, seed: int = SEED) -> np.ndarray
     """The k vectors with the smallest sha256 of ``<seed>:<vec_id>``: a distributed top-k of k rows."""
     rank = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")).cast("binary"), 256)
     rows = kept.where("vec_id IS NOT NULL").orderBy(rank, "parts").limit(k).collect()
-    return np.array([r["parts"] for r in rows], np.int64).reshape(len(rows), -1)
+    return np.array([r["parts"] for r in rows], np.int64).reshape(len(rows), len(rows[0]["parts"]) if rows else 0)
 
 
 class Shallot:
