@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm._shared import staged
+from lakeloom.llm._shared import lean, staged
 
 ONE_TASK = 1_000_000  # edges, 16 MB
 HELD = 2_000_000  # edges that a task holds before it contracts them
@@ -91,9 +91,9 @@ def connected_components(edges: DataFrame, one_task: int = ONE_TASK) -> DataFram
     an empty result. Null ends are dropped.
     """
     ends = edges.select(F.col("u").cast("long"), F.col("v").cast("long")).where("u <> v")
-    edges = staged(ends.mapInArrow(_contracted, "u long, v long"), "cc-forest")
+    edges = staged(ends.mapInArrow(lean(_contracted), "u long, v long"), "cc-forest")
     if edges.count() <= one_task:
-        edges = staged(edges.coalesce(1).mapInArrow(_contracted, "u long, v long"), "cc-trees")
+        edges = staged(edges.coalesce(1).mapInArrow(lean(_contracted), "u long, v long"), "cc-trees")
     else:
         while True:
             edges = staged(_small_star(_large_star(edges)), "cc-round")

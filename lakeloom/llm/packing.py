@@ -1,6 +1,6 @@
 """Best-fit packing of tokenised documents by a distributed grouping genetic algorithm.
 
-Documents become token ids once (a bounded per-worker cache maps a white-space word to its ids,
+Documents become token ids once (a bounded cache of a task maps a white-space word to its ids,
 which is exact because the tokenizer's splitter never crosses white space). Pieces are dealt
 into blocks of about ``block`` pieces; every block lives on several islands (tasks), each with
 its own population of packings. A packing is a set of whole bins. Crossover injects the
@@ -35,7 +35,7 @@ from lakeloom.llm._shared import bucket_count, lean, staged
 
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 2048
-CACHE_BYTES = 40 << 20  # of each of the two generations of a worker's word cache
+CACHE_BYTES = 40 << 20  # of each of the two generations of a task's word cache
 CACHE_ENDINGS = 100_000
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -122,13 +122,9 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
-_WORD_IDS: dict[str | None, WordIds] = {}
-
-
 def _pieces(path: str | None, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = _WORD_IDS.setdefault(path, None) or WordIds(path)
-        _WORD_IDS[path] = ids
+        ids = WordIds(path)  # gone with the task, before its worker gives freed memory back
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 b = whole.slice(at, 500)

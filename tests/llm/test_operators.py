@@ -468,3 +468,22 @@ def test_word_cache_generations_change_nothing(monkeypatch):
 def test_every_operator_has_a_query():
     assert sorted(int(n.split("_")[0][2:]) for n in catalogue.queries()) == list(range(1, 14))
     assert set(catalogue.oracle_sql()) <= set(catalogue.queries())
+
+
+def test_a_finished_task_holds_no_word_cache(monkeypatch):
+    import weakref
+
+    import pyarrow as pa
+    from lakeloom.llm._shared import lean
+
+    made, real = [], packing.WordIds
+
+    class Seen(real):
+        def __init__(self, path=None):
+            super().__init__(path)
+            made.append(weakref.ref(self))
+
+    monkeypatch.setattr(packing, "WordIds", Seen)
+    docs = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["some words here", None])], names=["doc_id", "text"])
+    pieces = [b.num_rows for b in lean(packing._pieces(None, 2048))(iter([docs]))]
+    assert pieces == [2] and len(made) == 1 and made[0]() is None
