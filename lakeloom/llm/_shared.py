@@ -31,6 +31,9 @@ WHITE = b" \t\n\x0b\x0c\r"
 
 # Whole texts differ by orders of magnitude in size, so batches for Python are bounded by bytes.
 BATCH_BYTES = 8 << 20
+# Of a job whose stages follow each other on the same executors, see ``small_batches``.
+SMALL_BATCH_BYTES = 1 << 20
+SMALL_BATCH_ROWS = 512
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -51,6 +54,17 @@ def ship_package(spark: SparkSession) -> None:
     sc._lakeloom_shipped = True
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Batches for Python and from Parquet that stay small, for a job of several stages (see ``ship_package``).
+
+    Its executors keep what the largest batch of any stage took - Arrow's buffers outside the heap, the readers'
+    columns on it, the worker's copies of the texts. Batches of other bounds give the same rows.
+    """
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(SMALL_BATCH_BYTES))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(SMALL_BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named columns of one table (all rows, whole values)."""
     ship_package(spark)

@@ -77,6 +77,7 @@ class WordIds(dict):
         self.endings: dict[str, bytes] = {}
         self.old: dict[bytes, bytes] = {}  # the generation before; words still in use move up
         self.held = 0
+        self.room = CACHE_BYTES
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -92,7 +93,7 @@ class WordIds(dict):
         return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
-        if self.held > CACHE_BYTES:
+        if self.held > self.room:
             self.old, self.held = dict(self), 0
             self.clear()
         value = self.old.get(word)
@@ -122,9 +123,10 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
-def _pieces(path: str | None, capacity: int):
+def _pieces(path: str | None, capacity: int, cache: int = CACHE_BYTES):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = WordIds(path)  # gone with the task, before its worker gives freed memory back
+        ids.room = cache
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 b = whole.slice(at, 500)
@@ -145,9 +147,9 @@ def _pieces(path: str | None, capacity: int):
     return run
 
 
-def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of every piece."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(_pieces(path, capacity)), _PIECES)
+def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, cache: int = CACHE_BYTES) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 of every piece; ``cache``: bytes of a generation of a task's word cache."""
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(_pieces(path, capacity, cache)), _PIECES)
 
 
 # ------------------------------------------------------------------ one island's packings
@@ -361,6 +363,8 @@ def pack(
     return out
 
 
-def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, **options) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, cache: int = CACHE_BYTES, **options
+) -> DataFrame:
     """The contract's rows: one per piece."""
-    return pack(staged(token_pieces(docs, path, capacity), "pieces"), capacity, **options)
+    return pack(staged(token_pieces(docs, path, capacity, cache), "pieces"), capacity, **options)

@@ -487,3 +487,13 @@ def test_a_finished_task_holds_no_word_cache(monkeypatch):
     docs = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["some words here", None])], names=["doc_id", "text"])
     pieces = [b.num_rows for b in lean(packing._pieces(None, 2048))(iter([docs]))]
     assert pieces == [2] and len(made) == 1 and made[0]() is None
+
+
+def test_a_smaller_word_cache_gives_the_same_pieces():
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choice("abcde,.") for _ in range(rng.randint(1, 9))) for _ in range(400)) for _ in range(40)]
+    docs = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array(texts)], names=["doc_id", "text"])
+    rows = [[b.to_pylist() for b in packing._pieces(None, 64, cache)(iter([docs]))] for cache in (packing.CACHE_BYTES, 2000)]
+    assert rows[0] == rows[1]

@@ -124,3 +124,21 @@ def test_survivors_of_a_repeated_id_do_not_depend_on_the_reading_order(spark):
     for order in (rows, rows[::-1]):
         docs = spark.createDataFrame(order, "doc_id long, text string").repartition(3)
         assert [tuple(r) for r in exact_dedup.survivors(docs, exact_dedup.exact_dedup(docs)).collect()] == [(1, "a b  c")]
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_batches_of_a_stage_stay_small(spark, name):
+    """What a stage leaves to run is read in batches of about 1 MB; a stage that keeps the default has them of 8 MB."""
+    import pyarrow as pa
+
+    docs = table(spark, SF, "documents")  # sets the bounds of a single operator
+    dict(corpus_pipeline.STAGES)[name](spark, docs, SF)
+    long = spark.range(0, 100, 1, 1).selectExpr("id", "repeat('some words ', 10000) AS text")
+
+    def bytes_of(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    sizes = [r["n"] for r in long.mapInArrow(bytes_of, "n long").collect()]
+    assert sum(sizes) >= 100 * 110_000 and max(sizes) < 2_000_000
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 512
